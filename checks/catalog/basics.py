@@ -52,7 +52,7 @@ def a2(spark, sf_dir):
     return parse_date(dated, sort=True)
 
 
-@query("a3_write_predictions", with_predictions("SELECT ID, round(pred, 6) AS POWER FROM predictions"))
+@query("a3_write_predictions", with_predictions("SELECT ID, round(pred + 1e-9, 6) AS POWER FROM predictions"))
 def a3(spark, sf_dir):
     path = scratch(spark, "predictions-csv")
     write_predictions(predictions(spark, sf_dir).select("ID", F.col("pred").alias("POWER")), path)
@@ -98,15 +98,15 @@ def b4(spark, sf_dir):
 
 
 @query("b5_arith_features", with_readings("""
-SELECT ID, round(V_1 + V_2 + V_6, 6) AS V1_2_6, round(V_3 + V_4 + V_5, 6) AS V3_4_5,
-       round(V_1 * V_1, 6) AS V_1_square_2, round(1 / (V_1 + 0.001), 6) AS "1_/_V_1" FROM readings"""))
+SELECT ID, round(V_1 + V_2 + V_6 + 1e-9, 6) AS V1_2_6, round(V_3 + V_4 + V_5 + 1e-9, 6) AS V3_4_5,
+       round(V_1 * V_1 + 1e-9, 6) AS V_1_square_2, round(1 / (V_1 + 0.001) + 1e-9, 6) AS "1_/_V_1" FROM readings"""))
 def b5(spark, sf_dir):
     made = columns.arith_features(readings(spark, sf_dir))
     return rounded(made.select("ID", "V1_2_6", "V3_4_5", "V_1_square_2", "1_/_V_1"))
 
 
 @query("b6_inverse_features", with_readings("SELECT ID, " + ", ".join(
-    f"round(1 / nullif({name} + 0.001, 0), 6) AS inv{name}" for name in columns.INVERSE_COLUMNS)
+    f"round(1 / nullif({name} + 0.001, 0) + 1e-9, 6) AS inv{name}" for name in columns.INVERSE_COLUMNS)
     + " FROM (SELECT *, V_3 + V_4 + V_5 AS V3_4_5 FROM readings)"))
 def b6(spark, sf_dir):
     made = columns.inverse_features(columns.arith_features(readings(spark, sf_dir)))
@@ -114,7 +114,7 @@ def b6(spark, sf_dir):
 
 
 @query("b7_across", with_readings("SELECT ID, " + ", ".join(
-    f"round(log10({c} + 10), 6) AS {c}_log10, round({c} * {c}, 6) AS {c}_sq" for c in ("V_1", "V_6", "V_9"))
+    f"round(log10({c} + 10) + 1e-9, 6) AS {c}_log10, round({c} * {c} + 1e-9, 6) AS {c}_sq" for c in ("V_1", "V_6", "V_9"))
     + " FROM readings"))
 def b7(spark, sf_dir):
     cols = ["V_1", "V_6", "V_9"]
@@ -124,7 +124,7 @@ def b7(spark, sf_dir):
 
 
 @query("b11_attach_by_key", with_readings("""
-SELECT r.ID, r.SOT, round(p.o_totalprice / 2000, 6) AS POWER
+SELECT r.ID, r.SOT, round(p.o_totalprice / 2000 + 1e-9, 6) AS POWER
 FROM readings r JOIN orders p ON r.ID = p.o_orderkey WHERE dataset = 'test'"""))
 def b11(spark, sf_dir):
     template = test(spark, sf_dir, False).select("ID", "SOT").withColumn("POWER", F.lit(0.0))
@@ -139,7 +139,7 @@ def b12(spark, sf_dir):
 
 
 @query("b13_unpivot_long", with_readings("""
-SELECT ID, DATE, param, round(val, 6) AS val FROM (
+SELECT ID, DATE, param, round(val + 1e-9, 6) AS val FROM (
   SELECT ID, DATE, V_5, V_8, V_13, POWER FROM readings) UNPIVOT INCLUDE NULLS (val FOR param IN (V_5, V_8, V_13, POWER))"""))
 def b13(spark, sf_dir):
     wide = readings(spark, sf_dir, False).select("ID", "DATE", "V_5", "V_8", "V_13", "POWER")
@@ -194,7 +194,7 @@ def c4(spark, sf_dir):
 
 
 @query("c5_date_range_filter", with_readings("""
-SELECT DATE, round(mean, 6) AS mean FROM (SELECT DATE, avg(POWER) AS mean FROM train GROUP BY DATE)
+SELECT DATE, round(mean + 1e-9, 6) AS mean FROM (SELECT DATE, avg(POWER) AS mean FROM train GROUP BY DATE)
 WHERE DATE BETWEEN DATE '1996-02-21' AND DATE '1998-03-05' AND mean > 150"""))
 def c5(spark, sf_dir):
     daily = train(spark, sf_dir, False).groupBy("DATE").agg(F.avg("POWER").alias("mean"))
@@ -245,7 +245,7 @@ def c9_date(spark, sf_dir):
 # --- D joins -------------------------------------------------------------------------------------
 
 @query("d1_natural_left_join", with_readings("""
-SELECT r.ID, r.DATE, r.V_1k, round(m.mean, 6) AS mean
+SELECT r.ID, r.DATE, r.V_1k, round(m.mean + 1e-9, 6) AS mean
 FROM (SELECT ID, DATE, CAST(floor(V_1 / 10) AS BIGINT) AS V_1k FROM readings) r
 LEFT JOIN (SELECT CAST(floor(V_1 / 10) AS BIGINT) AS V_1k, avg(POWER) AS mean FROM train GROUP BY 1) m
   ON r.V_1k IS NOT DISTINCT FROM m.V_1k"""))
@@ -257,7 +257,7 @@ def d1(spark, sf_dir):
 
 
 @query("d3_join_site", with_readings("""
-SELECT r.ID, round(s.mean, 6) AS mean FROM readings r
+SELECT r.ID, round(s.mean + 1e-9, 6) AS mean FROM readings r
 LEFT JOIN (SELECT LAT, LON, avg(POWER) AS mean FROM train GROUP BY LAT, LON) s
   ON r.LAT IS NOT DISTINCT FROM s.LAT AND r.LON IS NOT DISTINCT FROM s.LON"""))
 def d3(spark, sf_dir):
@@ -266,7 +266,7 @@ def d3(spark, sf_dir):
 
 
 @query("d5_pairwise_distance", """
-SELECT SOT, ref, round(sqrt((LAT - rlat) ** 2 + (LON - rlon) ** 2), 6) AS distance FROM (
+SELECT SOT, ref, round(sqrt((LAT - rlat) ** 2 + (LON - rlon) ** 2) + 1e-9, 6) AS distance FROM (
   SELECT c_name AS SOT, 18 + (c_custkey * 37 % 350) / 10.0::DOUBLE AS LAT,
          73 + (c_custkey * 61 % 620) / 10.0::DOUBLE AS LON FROM customer),
   (VALUES ('north', 39.9::DOUBLE, 116.4::DOUBLE), ('east', 31.2::DOUBLE, 121.5::DOUBLE)) AS refs(ref, rlat, rlon)""")
@@ -307,7 +307,7 @@ def h2(spark, sf_dir):
     return order.slice_range(train(spark, sf_dir, False).select("ID", "DATE"), 1, 100, ["DATE", "ID"])
 
 
-@query("h3_top_k", with_readings("SELECT SOT, round(mean, 6) AS mean FROM (SELECT SOT, avg(POWER) AS mean FROM train GROUP BY SOT) ORDER BY mean DESC, SOT LIMIT 20"))
+@query("h3_top_k", with_readings("SELECT SOT, round(mean + 1e-9, 6) AS mean FROM (SELECT SOT, avg(POWER) AS mean FROM train GROUP BY SOT) ORDER BY mean DESC, SOT LIMIT 20"))
 def h3(spark, sf_dir):
     means = train(spark, sf_dir, False).groupBy("SOT").agg(F.avg("POWER").alias("mean"))
     return rounded(order.top_k(means, ["mean", "SOT"], 20, [True, False]))
@@ -350,7 +350,7 @@ def i4(spark, sf_dir):
 
 
 @query("i5_week_fraction", with_readings("""
-SELECT ID, round(weekofyear(DATE) / 52.0::DOUBLE, 6) AS week, (floor((dayofyear(DATE) - 1) / 7) + 1)::INTEGER AS week_sevens
+SELECT ID, round(weekofyear(DATE) / 52.0::DOUBLE + 1e-9, 6) AS week, (floor((dayofyear(DATE) - 1) / 7) + 1)::INTEGER AS week_sevens
 FROM readings"""))
 def i5(spark, sf_dir):
     date = F.col("DATE")
@@ -366,7 +366,7 @@ def i6(spark, sf_dir):
 
 
 @query("i7_ymd_cycle", with_readings("""
-SELECT ID, ymd, round(sin(2 * pi() * ymd / 365), 6) AS sin, round(cos(2 * pi() * ymd / 365), 6) AS cos
+SELECT ID, ymd, round(sin(2 * pi() * ymd / 365) + 1e-9, 6) AS sin, round(cos(2 * pi() * ymd / 365) + 1e-9, 6) AS cos
 FROM (SELECT ID, (year(DATE) * 10000 + month(DATE) * 100 + day(DATE))::INTEGER AS ymd FROM readings)"""))
 def i7(spark, sf_dir):
     ymd = calendar.ymd_number(F.col("DATE"))
@@ -375,7 +375,7 @@ def i7(spark, sf_dir):
 
 
 @query("i8_day_of_year_cycle", with_readings("SELECT ID, " + ", ".join(
-    f"round({fn}({2 * n} * pi() * dayofyear(DATE) / 365), 6) AS {fn}_{n}" for n in (1, 3) for fn in ("sin", "cos"))
+    f"round({fn}({2 * n} * pi() * dayofyear(DATE) / 365) + 1e-9, 6) AS {fn}_{n}" for n in (1, 3) for fn in ("sin", "cos"))
     + " FROM readings"))
 def i8(spark, sf_dir):
     doy = F.dayofyear("DATE")
@@ -402,8 +402,8 @@ def i10(spark, sf_dir):
 
 
 @query("i11_math", with_readings("""
-SELECT ID, round(log10(V_1 + 0.1), 6) AS log_a, CASE WHEN V_5 + 10 > 0 THEN round(log10(V_5 + 10), 6) END AS log_b,
-       CASE WHEN V_5 > 0 THEN round(log10(V_5), 6) END AS log_c, round(V_1 * V_1, 6) AS sq, round(sqrt(V_6), 6) AS root
+SELECT ID, round(log10(V_1 + 0.1) + 1e-9, 6) AS log_a, CASE WHEN V_5 + 10 > 0 THEN round(log10(V_5 + 10) + 1e-9, 6) END AS log_b,
+       CASE WHEN V_5 > 0 THEN round(log10(V_5) + 1e-9, 6) END AS log_c, round(V_1 * V_1 + 1e-9, 6) AS sq, round(sqrt(V_6) + 1e-9, 6) AS root
 FROM readings"""))
 def i11(spark, sf_dir):
     v1, v5 = F.col("V_1"), F.col("V_5")
@@ -424,7 +424,7 @@ def i12(spark, sf_dir):
 
 
 @query("i13_conditional", with_readings("""
-SELECT ID, CASE WHEN V_1 IS NULL THEN NULL WHEN V_1 > 25 THEN 1 ELSE 0 END AS high, round(coalesce(V_1, V_13), 6) AS filled
+SELECT ID, CASE WHEN V_1 IS NULL THEN NULL WHEN V_1 > 25 THEN 1 ELSE 0 END AS high, round(coalesce(V_1, V_13) + 1e-9, 6) AS filled
 FROM readings"""))
 def i13(spark, sf_dir):
     return rounded(readings(spark, sf_dir).select(

@@ -116,14 +116,17 @@ def with_predictions(body: str, *ctes: str) -> str:
     return "WITH " + ",".join([PREDICTIONS_SQL, *ctes]) + body
 
 
-def rounded(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Round every floating column, for comparison with another engine's summation order."""
+def rounded(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = (), nudge: float = 1e-9) -> DataFrame:
+    """Round every floating column, for comparison with another engine's summation order.
+
+    ``nudge`` moves exact decimal ties off the rounding boundary (the SQL side adds the same).
+    """
     return df.select(*[
-        F.round(F.col(f"`{name}`"), digits).alias(name) if kind in ("double", "float") and name not in keep
+        F.round(F.col(f"`{name}`") + F.lit(nudge) if nudge else F.col(f"`{name}`"), digits).alias(name) if kind in ("double", "float") and name not in keep
         else F.col(f"`{name}`")
         for name, kind in df.dtypes
     ])
 
 
 def sql_rounded(cols: list[str], digits: int = 6) -> str:
-    return ", ".join(f'round({name}, {digits}) AS {name}' for name in cols)
+    return ", ".join(f'round({name} + 1e-9, {digits}) AS {name}' for name in cols)

@@ -178,10 +178,10 @@ def trailing_features(
     train: DataFrame, test: DataFrame, cols: list[str], size: int, order: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Trailing means over train followed by test; the first ``size`` training rows are dropped."""
-    tagged = train.withColumn("__part", F.lit(0)).unionByName(
-        test.withColumn("__part", F.lit(1)), allowMissingColumns=True
+    tagged = train.withColumn("__side", F.lit(0)).unionByName(
+        test.withColumn("__side", F.lit(1)), allowMissingColumns=True
     )
-    rolled = trailing_roll(tagged, cols, size, ["__part", *order])
-    head = drop_head(rolled.where("__part = 0").drop("__part"), size, order)
+    rolled = trailing_roll(tagged, cols, size, ["__side", *order])
+    head = drop_head(rolled.where("__side = 0").drop("__side"), size, order)
     lacking = [name for name in train.columns if name not in test.columns]
-    return head, rolled.where("__part = 1").drop("__part", *lacking)
+    return head, rolled.where("__side = 1").drop("__side", *lacking)
