@@ -1 +1 @@
-from checks.catalog import basics, features  # noqa: F401
+from checks.catalog import basics, features, statistics  # noqa: F401

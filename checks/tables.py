@@ -121,9 +121,9 @@ def rounded(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = (), nudge: f
 
     ``nudge`` moves exact decimal ties off the rounding boundary (the SQL side adds the same).
     """
-    return df.select(*[
-        F.round(F.col(f"`{name}`") + F.lit(nudge) if nudge else F.col(f"`{name}`"), digits).alias(name) if kind in ("double", "float") and name not in keep
-        else F.col(f"`{name}`")
+    return df.selectExpr(*[
+        f"round(`{name}` + {nudge!r}D, {digits}) AS `{name}`" if kind in ("double", "float") and name not in keep
+        else f"`{name}`"
         for name, kind in df.dtypes
     ])
 

@@ -9,6 +9,13 @@ Sub-packages
     plans      feature tables, named feature recipes and end-to-end workflows
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from voltweave.session import build_session
 
+# Functions used inside tasks travel with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["build_session"]

@@ -10,9 +10,10 @@ rank error is at most half the distance the bracket leaves on each side.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltweave.functions.sql import literal, quoted, text_literal
 from voltweave.operators.joins import natural_left_join
 from voltweave.sources.staging import stage
 
@@ -25,57 +26,54 @@ def quantiles_long(
     """One row per group, column and probability: ``by..., variable, prob, n, value``."""
     by = by or []
     slack = 2.0 / accuracy
-    whole_group = 5 * accuracy  # up to this size a group is ranked without a bracket
     edges = [edge for p in probs for edge in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    base = df.select(*by, *[F.col(name).cast("double").alias(f"x{i}") for i, name in enumerate(cols)])
+    keys = [quoted(name) for name in by]
+    fields = range(len(cols))
+    base = df.selectExpr(*keys, *[f"double({quoted(name)}) AS x{i}" for i, name in enumerate(cols)])
 
-    sketches = []
-    for i in range(len(cols)):
-        sketches += [
-            F.count(f"x{i}").alias(f"n{i}"),
-            F.percentile_approx(f"x{i}", edges, accuracy).alias(f"e{i}"),
-        ]
-    sketch = base.groupBy(*by).agg(*sketches)
+    points = f"array({', '.join(literal(edge) for edge in edges)})"
+    sketch = base.groupBy(*by).agg(*[
+        F.expr(f"struct(count(x{i}) AS n, percentile_approx(x{i}, {points}, {accuracy}) AS e) AS s{i}") for i in fields
+    ])
     if by:
         joined = natural_left_join(base, stage(sketch, "sketch"), by)
+        cells = [f"struct({i} AS v, x{i} AS x, s{i}.n AS n, s{i}.e AS e)" for i in fields]
     else:
         # One row of learned edges: read once and used as literals.
-        row = sketch.first()
-        joined = base.select("*", *[
-            column
-            for i in range(len(cols))
-            for column in (
-                F.lit(row[f"n{i}"]).cast("long").alias(f"n{i}"),
-                F.lit(row[f"e{i}"]).cast("array<double>").alias(f"e{i}"),
-            )
-        ])
+        learned, joined = sketch.first(), base
+        cells = []
+        for i in fields:
+            n, found = learned[f"s{i}"]["n"], learned[f"s{i}"]["e"] or []
+            values = ", ".join(literal(edge) for edge in found)
+            cells.append(f"struct({i} AS v, x{i} AS x, {n}L AS n, cast(array({values}) AS array<double>) AS e)")
+    long = joined.selectExpr(*keys, f"inline(array({', '.join(cells)}))").where("x IS NOT NULL")
 
-    parts: list[Column] = []
-    for i in range(len(cols)):
-        x, n, edge = F.col(f"x{i}"), F.col(f"n{i}"), F.col(f"e{i}")
-        for j, p in enumerate(probs):
-            open_bracket = n <= whole_group
-            below = ~open_bracket & F.lit(p - slack > 0) & (x < edge[2 * j])
-            above = ~open_bracket & F.lit(p + slack < 1) & (x > edge[2 * j + 1])
-            piece = F.struct(
-                F.lit(i).alias("v"), F.lit(j).alias("q"), n.alias("n"), F.when(~below, x).alias("x")
-            )
-            parts.append(F.when(x.isNotNull() & ~above, piece))
-    pieces = joined.select(*by, F.explode(F.array_compact(F.array(*parts))).alias("piece"))
-    counts = pieces.groupBy(*by, "piece.v", "piece.q", "piece.n", "piece.x").agg(F.count(F.lit(1)).alias("c"))
+    whole = f"n <= {5 * accuracy}"  # up to this size a group is ranked without a bracket
+    parts = []
+    for j, p in enumerate(probs):
+        below = f"NOT {whole} AND x < e[{2 * j}]" if p - slack > 0 else "false"
+        above = f"NOT {whole} AND x > e[{2 * j + 1}]" if p + slack < 1 else "false"
+        parts.append(f"CASE WHEN NOT ({above}) THEN struct({j} AS q, CASE WHEN NOT ({below}) THEN x END AS x) END")
+    pieces = long.selectExpr(*keys, "v", "n", f"inline(array_compact(array({', '.join(parts)}))) AS (q, x)")
+    counts = pieces.groupBy(*by, "v", "n", "q", "x").agg(F.expr("count(1) AS c"))
 
-    group = [*by, "v", "q", "n"]
-    upto = Window.partitionBy(*group).orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("upto", F.sum("c").over(upto))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("q") + 1)
-    rank = (F.col("n") - 1) * prob
-    picked = ranked.groupBy(*group).agg(
-        F.min(F.when(F.col("upto") > F.floor(rank), F.col("x"))).alias("low"),
-        F.min(F.when(F.col("upto") > F.ceil(rank), F.col("x"))).alias("high"),
+    group = ", ".join([*keys, "v", "n", "q"])
+    ranked = counts.selectExpr(
+        "*",
+        f"sum(c) OVER (PARTITION BY {group} ORDER BY x ASC NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto",
+        f"(n - 1) * element_at(array({', '.join(literal(p) for p in probs)}), q + 1) AS rank",
+    )
+    picked = ranked.groupBy(*by, "v", "n", "q", "rank").agg(
+        F.expr("min(CASE WHEN upto > floor(rank) THEN x END) AS low"),
+        F.expr("min(CASE WHEN upto > ceil(rank) THEN x END) AS high"),
+    )
+    return picked.selectExpr(
+        *keys,
+        f"element_at(array({', '.join(text_literal(col) for col in cols)}), v + 1) AS variable",
+        f"element_at(array({', '.join(literal(p) for p in probs)}), q + 1) AS prob",
+        "n",
+        "low + (high - low) * (rank - floor(rank)) AS value",
     )
-    name = F.element_at(F.array(*[F.lit(col) for col in cols]), F.col("v") + 1)
-    value = F.col("low") + (F.col("high") - F.col("low")) * (rank - F.floor(rank))
-    return picked.select(*by, name.alias("variable"), prob.alias("prob"), "n", value.alias("value"))
 
 
 def quantiles(
@@ -89,14 +87,14 @@ def quantiles(
     """One row per group, one column per (column, probability name)."""
     by = by or []
     long = quantiles_long(df, cols, list(probs.values()), by, accuracy)
-    wanted = [
-        F.max(F.when((F.col("variable") == col) & (F.col("prob") == float(p)), F.col("value"))).alias(
-            names.format(col=col, fn=fn)
+    return long.groupBy(*by).agg(*[
+        F.expr(
+            f"max(CASE WHEN variable = {text_literal(col)} AND prob = {literal(p)} THEN value END) "
+            f"AS {quoted(names.format(col=col, fn=fn))}"
         )
         for col in cols
         for fn, p in probs.items()
-    ]
-    return long.groupBy(*by).agg(*wanted)
+    ])
 
 
 def quantile_values(df: DataFrame, col: str, probs: list[float], accuracy: int = ACCURACY) -> list[float]:

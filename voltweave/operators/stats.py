@@ -6,15 +6,18 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from voltweave.functions.normal import normal_quantile
+from voltweave.functions.sql import literal, quoted, text_literal
 from voltweave.operators.aggregates import daily_mean, daily_median
 from voltweave.operators.columns import numeric_columns
 from voltweave.operators.joins import natural_left_join
 from voltweave.operators.order import row_index
-from voltweave.operators.quantiles import quantile_values, quantiles
+from voltweave.operators.quantiles import quantile_values, quantiles, quantiles_long
 from voltweave.sources.staging import stage
 
 
@@ -48,46 +51,74 @@ def student_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return np.clip(np.where(swap, 1 - beta, beta), 0.0, 1.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def student_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(student_p(t.to_numpy(dtype=float), df.to_numpy(dtype=float)))
 
 
+def pair_sums(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Sums over the rows where both columns are present, per ordered pair ``i, j``.
+
+    Columns are shifted by their means first, which keeps the sums of products well conditioned.
+    """
+    centre = df.selectExpr(*[f"avg(double({quoted(name)})) AS x{i}" for i, name in enumerate(cols)]).first()
+    shifted = df.selectExpr(*[
+        f"double({quoted(name)}) - {literal(centre[i] or 0.0)} AS x{i}" for i, name in enumerate(cols)
+    ])
+    width = len(cols)
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+    def reduce_rows(batches):
+        total = np.zeros((4, width, width))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            here = (~np.isnan(x)).astype(float)
+            x = np.where(here > 0, x, 0.0)
+            total += np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+        i, j = (grid.ravel() for grid in np.indices((width, width)))
+        n, sx, sxx, sxy = (part.ravel() for part in total)
+        sy, syy = total[1].T.ravel(), total[2].T.ravel()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype("int32")), pa.array(j.astype("int32")),
+             *[pa.array(part) for part in (n, sx, sy, sxx, syy, sxy)]],
+            names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"],
+        )
+
+    parts = shifted.mapInArrow(reduce_rows, schema)
+    return parts.groupBy("i", "j").agg(*[
+        F.sum(name).alias(name) for name in ("n", "sx", "sy", "sxx", "syy", "sxy")
+    ])
+
+
 def correlation_table(df: DataFrame, cols: list[str] | None = None, p_adjust: str = "bonferroni") -> DataFrame:
     """Pearson r of all ordered pairs (self pairs included), with n, t and adjusted p.
 
-    One aggregation over the data; each pair uses the rows where both columns are present. The
-    probabilities are computed on the result, which has one row per pair.
+    Each pair uses the rows where both columns are present. Every task reduces its rows to one
+    matrix of pair sums, so the shuffle carries one row per pair and task. The probabilities are
+    computed on the result, which has one row per pair.
     """
     if p_adjust not in ("bonferroni", "none"):
         raise ValueError(f"unknown adjustment {p_adjust!r}")
     cols = cols or numeric_columns(df)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    x = [F.col(name).cast("double") for name in cols]
-    sums = df.agg(
-        *[F.corr(x[i], x[j]).alias(f"r_{i}_{j}") for i, j in pairs],
-        *[F.count(F.when(x[i].isNotNull(), x[j])).alias(f"n_{i}_{j}") for i, j in pairs],
-        *[F.count(x[i]).alias(f"n_{i}_{i}") for i in range(len(cols))],
+    width = len(cols)
+    sums = pair_sums(df, cols)
+    mean_i, mean_j = F.try_divide("sx", "n"), F.try_divide("sy", "n")
+    var_i, var_j = F.col("sxx") - F.col("sx") * mean_i, F.col("syy") - F.col("sy") * mean_j
+    r = F.try_divide(F.col("sxy") - F.col("sx") * mean_j, F.sqrt(var_i) * F.sqrt(var_j))
+    name = F.array(*[F.lit(col) for col in cols])
+    table = sums.select(
+        F.element_at(name, F.col("i") + 1).alias("Parameter1"),
+        F.element_at(name, F.col("j") + 1).alias("Parameter2"),
+        F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r"),
+        F.col("n").cast("long").alias("n_Obs"),
     )
-
-    def entry(i: int, j: int) -> Column:
-        low, high = min(i, j), max(i, j)
-        r = F.lit(1.0) if i == j else F.col(f"r_{low}_{high}")
-        return F.struct(
-            F.lit(cols[i]).alias("Parameter1"), F.lit(cols[j]).alias("Parameter2"),
-            r.alias("r"), F.col(f"n_{low}_{high}").alias("n_Obs"),
-        )
-
-    table = sums.select(F.explode(F.array(*[
-        entry(i, j) for i in range(len(cols)) for j in range(len(cols))
-    ])).alias("p")).select("p.*")
     dof = (F.col("n_Obs") - 2).cast("double")
     t = F.try_divide(F.col("r") * F.sqrt(dof), F.sqrt(F.lit(1.0) - F.col("r") * F.col("r")))
     scored = table.select(
         "*", F.when(dof > 0, dof).alias("df_error"), F.when(F.abs("r") < 1, t).alias("t")
     )
     raw = F.when(F.abs("r") >= 1, 0.0).when(F.col("t").isNotNull(), student_p_value("t", "df_error"))
-    factor = len(pairs) if p_adjust == "bonferroni" else 1
+    factor = width * (width - 1) // 2 if p_adjust == "bonferroni" else 1
     return scored.withColumn("p", F.least(raw * F.lit(float(max(factor, 1))), F.lit(1.0)))
 
 
@@ -240,25 +271,21 @@ def qq_points(df: DataFrame, col: str, key: str = "ID") -> DataFrame:
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row per numeric column: count, mean, std, min, quartiles (interpolated), max."""
     cols = cols or numeric_columns(df)
-    parts = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    sums = df.agg(*[fn(name).cast("double").alias(f"{i}_{part}") for i, name in enumerate(cols)
-                    for part, fn in parts.items()])
-    rows = F.array(*[
-        F.struct(F.lit(name).alias("variable"), *[F.col(f"{i}_{part}").alias(part) for part in parts])
-        for i, name in enumerate(cols)
-    ])
-    base = sums.select(F.explode(rows).alias("r")).select("r.*")
-    return natural_left_join(base, quartile_rows(df, cols), ["variable"]).withColumn(
-        "count", F.col("count").cast("long")
+    rows = ", ".join(
+        f"struct({text_literal(name)} AS variable, count({quoted(name)}) AS count, double(avg({quoted(name)})) AS mean, "
+        f"double(stddev_samp({quoted(name)})) AS std, double(min({quoted(name)})) AS min, double(max({quoted(name)})) AS max)"
+        for name in cols
     )
+    base = df.selectExpr(f"array({rows}) AS r").selectExpr("inline(r)")
+    return natural_left_join(base, quartile_rows(df, cols), ["variable"])
 
 
 def quartile_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column with its three quartiles."""
-    wide = quantiles(df, cols, {"25": 0.25, "50": 0.5, "75": 0.75}, names="{col}\x1f{fn}")
-    learned = wide.first().asDict()  # three numbers per column
-    rows = [(name, *[learned[f"{name}\x1f{q}"] for q in ("25", "50", "75")]) for name in cols]
-    return df.sparkSession.createDataFrame(rows, "variable string, q25 double, q50 double, q75 double")
+    long = quantiles_long(df, cols, [0.25, 0.5, 0.75])
+    return long.groupBy("variable").agg(*[
+        F.expr(f"max(CASE WHEN prob = {p}D THEN value END) AS q{int(p * 100)}") for p in (0.25, 0.5, 0.75)
+    ])
 
 
 def profile(df: DataFrame, bins: int = 8) -> DataFrame:

@@ -12,19 +12,18 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.operators.order import CHUNK_ROWS, drop_head, ordered_chunks
+from voltweave.functions.sql import over, quoted
+from voltweave.operators.order import CHUNK_ROWS, ordered_chunks
+from voltweave.sources.staging import stage
 
 # Name suffix of each rolling mean and the rows it takes on either side.
 ROLL_HALF_WIDTHS = {"roll_1": 1, "roll_5": 2, "roll_7": 3}
 
 
-def series(order: str = "DATE", partition_by: Iterable[str] = ()) -> WindowSpec:
-    keys = F.col(order).asc_nulls_last()
-    partition_by = list(partition_by)
-    return Window.partitionBy(*partition_by).orderBy(keys) if partition_by else Window.orderBy(keys)
+WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
 def centred_roll(
@@ -35,11 +34,14 @@ def centred_roll(
     partition_by: Iterable[str] = (),
 ) -> DataFrame:
     """Mean over the rows up to ``h`` before and after; windows are partial at both ends."""
-    w = series(order, partition_by)
+    keys = list(partition_by)
     widths = half_widths or ROLL_HALF_WIDTHS
-    return df.withColumns({
-        f"{col}_{suffix}": F.avg(col).over(w.rowsBetween(-h, h)) for col in cols for suffix, h in widths.items()
-    })
+    return df.selectExpr("*", *[
+        f"avg({quoted(col)}) {over(order, keys, f'ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING')} "
+        f"AS {quoted(f'{col}_{suffix}')}"
+        for col in cols
+        for suffix, h in widths.items()
+    ])
 
 
 def shift_fill_self(
@@ -51,12 +53,13 @@ def shift_fill_self(
     partition_by: Iterable[str] = (),
 ) -> DataFrame:
     """Lags and leads; where there is no such row the row's own value is used."""
-    w = series(order, partition_by)
-    made = {}
-    for col in cols:
-        made.update({f"{col}_lag_{k}": F.coalesce(F.lag(col, k).over(w), F.col(col)) for k in lags})
-        made.update({f"{col}_lead_{k}": F.coalesce(F.lead(col, k).over(w), F.col(col)) for k in leads})
-    return df.withColumns(made)
+    w = over(order, list(partition_by))
+    shifts = [("lag", k) for k in lags] + [("lead", k) for k in leads]
+    return df.selectExpr("*", *[
+        f"coalesce({fn}({quoted(col)}, {k}) {w}, {quoted(col)}) AS {quoted(f'{col}_{fn}_{k}')}"
+        for col in cols
+        for fn, k in shifts
+    ])
 
 
 def lag_fill_self(df: DataFrame, cols: list[str], ks: Iterable[int] = (1, 2, 3), **window) -> DataFrame:
@@ -77,25 +80,37 @@ def shift_fill_edge(
 ) -> DataFrame:
     """Lags and leads whose undefined edge rows all get the mean of the ``k`` rows at that edge.
 
-    In a series shorter than ``k`` every row is an edge row.
+    In a series shorter than ``k`` every row is an edge row. All series travel as one array column,
+    so the number of window expressions depends on the number of shifts, not on the number of
+    series.
     """
-    lags, leads = list(lags), list(leads)
-    w = series(order, partition_by)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = df.withColumns({
-        "__first": F.row_number().over(w),
-        "__last": F.count(F.lit(1)).over(whole) - F.row_number().over(w) + 1,
-    })
-
-    def filled(col: str, shifted: Column, place: str, k: int) -> Column:
-        edge = F.col(place) <= k
-        return F.when(edge, F.avg(F.when(edge, F.col(col))).over(whole)).otherwise(shifted)
-
-    made = {}
-    for col in cols:
-        made.update({f"{col}_lag_{k}": filled(col, F.lag(col, k).over(w), "__first", k) for k in lags})
-        made.update({f"{col}_lead_{k}": filled(col, F.lead(col, k).over(w), "__last", k) for k in leads})
-    return placed.withColumns(made).drop("__first", "__last")
+    keys = list(partition_by)
+    w, whole = over(order, keys), over(order, keys, WHOLE)
+    values = ", ".join(f"double({quoted(col)})" for col in cols)
+    placed = df.selectExpr(
+        "*", f"array({values}) AS __v", f"row_number() {w} AS __first",
+        f"count(1) {whole} - row_number() {w} + 1 AS __last",
+    )
+    sides = [("lag", "__first", sorted(set(lags))), ("lead", "__last", sorted(set(leads)))]
+    shifted, filled, wanted = [], [], []
+    for fn, place, ks in sides:
+        shifted += [f"{fn}(__v, {k}) {w} AS __{fn}_{k}" for k in ks]
+        shifted += [
+            f"max(CASE WHEN {place} = {j} THEN __v END) {whole} AS __{fn}_edge_{j}"
+            for j in range(1, max(ks, default=0) + 1)
+        ]
+        for k in ks:
+            edge = ", ".join(f"__{fn}_edge_{j}[i]" for j in range(1, k + 1))
+            mean = (
+                f"transform(sequence(0, {len(cols) - 1}), i -> aggregate(filter(array({edge}), x -> x IS NOT NULL), "
+                "struct(0D AS s, 0 AS n), (a, x) -> struct(a.s + x AS s, a.n + 1 AS n), a -> try_divide(a.s, a.n)))"
+            )
+            filled.append(f"CASE WHEN {place} <= {k} THEN {mean} ELSE __{fn}_{k} END AS __{fn}_{k}")
+            wanted.append((fn, k))
+    arrays = placed.selectExpr("*", *shifted).selectExpr(*[quoted(name) for name in df.columns], *filled)
+    return arrays.selectExpr(*[quoted(name) for name in df.columns], *[
+        f"__{fn}_{k}[{i}] AS {quoted(f'{col}_{fn}_{k}')}" for i, col in enumerate(cols) for fn, k in wanted
+    ])
 
 
 def lag_fill_edge(df: DataFrame, cols: list[str], ks: Iterable[int] = (1, 2, 3, 4, 5), **window) -> DataFrame:
@@ -107,11 +122,10 @@ def lead_fill_edge(df: DataFrame, cols: list[str], ks: Iterable[int] = (1, 2, 3,
 
 
 def delta(df: DataFrame, col: str, order: str = "DATE", partition_by: Iterable[str] = ()) -> DataFrame:
-    w = series(order, partition_by)
-    return df.withColumns({
-        f"{col}_lag_1": F.lag(col, 1).over(w),
-        f"{col}_delta_1": F.col(col) - F.lag(col, 1).over(w),
-    })
+    before = f"lag({quoted(col)}, 1) {over(order, list(partition_by))}"
+    return df.selectExpr(
+        "*", f"{before} AS {quoted(f'{col}_lag_1')}", f"{quoted(col)} - {before} AS {quoted(f'{col}_delta_1')}"
+    )
 
 
 def roll_then_lag(
@@ -123,12 +137,14 @@ def roll_then_lag(
     partition_by: Iterable[str] = (),
 ) -> DataFrame:
     """Plain lags of each rolling mean."""
+    keys = list(partition_by)
     widths = half_widths or ROLL_HALF_WIDTHS
-    rolled = centred_roll(df, [col], widths, order, partition_by)
-    w = series(order, partition_by)
-    return rolled.withColumns({
-        f"{col}_{suffix}_lag_{k}": F.lag(f"{col}_{suffix}", k).over(w) for suffix in widths for k in lags
-    })
+    rolled = centred_roll(df, [col], widths, order, keys)
+    return rolled.selectExpr("*", *[
+        f"lag({quoted(f'{col}_{suffix}')}, {k}) {over(order, keys)} AS {quoted(f'{col}_{suffix}_lag_{k}')}"
+        for suffix in widths
+        for k in lags
+    ])
 
 
 def acf(daily: DataFrame, col: str, max_lag: int | None = None, order: str = "DATE") -> DataFrame:
@@ -136,19 +152,13 @@ def acf(daily: DataFrame, col: str, max_lag: int | None = None, order: str = "DA
     if max_lag is None:
         n = daily.where(F.col(col).isNotNull()).count()  # a daily series: bounded by the calendar
         max_lag = max(min(n - 1, int(10 * math.log10(n))), 0) if n else 0
-    w = series(order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    centred = daily.where(F.col(col).isNotNull()).select(order, (F.col(col) - F.avg(col).over(whole)).alias("d"))
-    shifted = centred.select("d", *[F.lag("d", k).over(w).alias(f"d{k}") for k in range(1, max_lag + 1)])
-    sums = shifted.agg(
-        F.sum(F.col("d") * F.col("d")).alias("s0"),
-        *[F.sum(F.col("d") * F.col(f"d{k}")).alias(f"s{k}") for k in range(1, max_lag + 1)],
+    centred = daily.where(F.col(col).isNotNull()).selectExpr(
+        quoted(order), f"{quoted(col)} - avg({quoted(col)}) {over(order, (), WHOLE)} AS d"
     )
-    pairs = F.array(*[
-        F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"s{k}"), F.col("s0")).alias("acf"))
-        for k in range(max_lag + 1)
-    ])
-    return sums.select(F.explode(pairs).alias("p")).select("p.lag", "p.acf")
+    lags = range(1, max_lag + 1)
+    shifted = centred.selectExpr("d AS d0", *[f"lag(d, {k}) {over(order)} AS d{k}" for k in lags])
+    sums = shifted.selectExpr(f"array({', '.join(f'sum(d0 * d{k})' for k in range(max_lag + 1))}) AS s")
+    return sums.selectExpr("posexplode(transform(s, x -> try_divide(x, s[0]))) AS (lag, acf)")
 
 
 def trailing_roll(
@@ -159,19 +169,25 @@ def trailing_roll(
     partition_by: Iterable[str] = (),
     names: str = "roll_mean_{size}_{col}",
     chunk_rows: int = CHUNK_ROWS,
+    row: str | None = None,
 ) -> DataFrame:
     """Mean of the last ``size`` rows including the current one; null unless all are non-null.
 
     ``order`` must be a unique row order. With ``partition_by`` the window restarts per group, and
-    a group of any size is still spread over many tasks.
+    a group of any size is still spread over many tasks. ``row`` names a column to hold the row
+    position in the order.
     """
     groups = list(partition_by)
     chunked = ordered_chunks(df, groups + [name for name in order if name not in groups], size - 1, 0, chunk_rows)
-    w = Window.partitionBy("chunk", *groups).orderBy("row").rowsBetween(1 - size, 0)
-    rolled = chunked.withColumns({
-        names.format(size=size, col=col): F.when(F.count(col).over(w) == size, F.avg(col).over(w)) for col in cols
-    })
-    return rolled.where(~F.col("border")).drop("row", "chunk", "border")
+    key = ", ".join(quoted(name) for name in ["chunk", *groups])
+    w = f"OVER (PARTITION BY {key} ORDER BY row ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW)"
+    rolled = chunked.selectExpr("*", *[
+        f"CASE WHEN count({quoted(col)}) {w} = {size} THEN avg({quoted(col)}) {w} END "
+        f"AS {quoted(names.format(size=size, col=col))}"
+        for col in cols
+    ])
+    home = rolled.where(~F.col("border"))
+    return (home.withColumnRenamed("row", row) if row else home.drop("row")).drop("chunk", "border")
 
 
 def trailing_features(
@@ -181,7 +197,9 @@ def trailing_features(
     tagged = train.withColumn("__side", F.lit(0)).unionByName(
         test.withColumn("__side", F.lit(1)), allowMissingColumns=True
     )
-    rolled = trailing_roll(tagged, cols, size, ["__side", *order])
-    head = drop_head(rolled.where("__side = 0").drop("__side"), size, order)
+    # Training rows come first, so the row position also tells which ones to drop. The result is
+    # stored because both parts are read from it.
+    rolled = stage(trailing_roll(tagged, cols, size, ["__side", *order], row="__at"), "trailing")
     lacking = [name for name in train.columns if name not in test.columns]
-    return head, rolled.where("__side = 1").drop("__side", *lacking)
+    head = rolled.where((F.col("__side") == 0) & (F.col("__at") >= size))
+    return head.drop("__side", "__at"), rolled.where("__side = 1").drop("__side", "__at", *lacking)
