@@ -1 +1 @@
-from checks.catalog import basics, features, statistics  # noqa: F401
+from checks.catalog import basics, features, learned, modelling, statistics  # noqa: F401
