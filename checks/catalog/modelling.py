@@ -48,13 +48,14 @@ PENALTY = 0.5
 
 
 def penalised_sql(kind: str) -> str:
-    """Closed form for one standardised predictor (deviations with n - 1, loss with n)."""
+    """Closed form for one predictor when both columns are standardised with their population sd,
+    as the penalised least squares solver does."""
     shrink = {
-        "lasso": f"sign(r) * greatest(abs(r) * (n - 1) / n - {PENALTY} / sy, 0) / ((n - 1) / n)",
-        "ridge": f"(r * (n - 1) / n) / ((n - 1) / n + {PENALTY} / sy)",
+        "lasso": f"sign(r) * greatest(abs(r) - {PENALTY} / sy, 0)",
+        "ridge": f"r / (1 + {PENALTY} / sy)",
     }[kind]
-    return f"""WITH {LINES_SQL}, s AS (SELECT count(*)::DOUBLE AS n, avg(quantity) AS mx, avg(POWER) AS my,
-  stddev_samp(quantity) AS sx, stddev_samp(POWER) AS sy, corr(POWER, quantity) AS r FROM lines)
+    return f"""WITH {LINES_SQL}, s AS (SELECT avg(quantity) AS mx, avg(POWER) AS my,
+  stddev_pop(quantity) AS sx, stddev_pop(POWER) AS sy, corr(POWER, quantity) AS r FROM lines)
 SELECT ID, round(my + ({shrink}) * sy / sx * (quantity - mx) + 1e-7, 3) AS pred FROM lines, s"""
 
 

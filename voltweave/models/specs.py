@@ -14,6 +14,7 @@ from voltweave.operators.columns import numeric_columns
 from voltweave.operators.sampling import SEED, row_hash
 from voltweave.steps.spec import FeatureSpec, FittedFeatures
 
+MISSING = "1e300D"  # what trees see for a null
 TUNE = "tune"  # placeholder for a setting that a search fills in
 
 
@@ -125,13 +126,20 @@ class FittedWorkflow:
     predictors: tuple[str, ...]
 
     def assemble(self, df: DataFrame) -> DataFrame:
-        """Predictors as one vector (nulls as NaN, which trees send to the right branch)."""
+        """Predictors as one vector.
+
+        Trees see a null as a number above every real value, so a split can set nulls apart.
+        Linear models do not use incomplete rows; zero is only a placeholder there.
+        """
         names = list(self.predictors)
+        stand_in = "0D" if self.workflow.model.kind == "linear" else MISSING
         missing = " OR ".join(f"`{name}` IS NULL" for name in names)
         outcome = self.workflow.features.outcome
         label = f"double(`{outcome}`)" if outcome in df.columns else "cast(NULL AS double)"
-        extended = df.selectExpr("*", f"({missing}) AS __incomplete", f"{label} AS __label")
-        return VectorAssembler(inputCols=names, outputCol="__features", handleInvalid="keep").transform(extended)
+        filled = [f"coalesce(double(`{name}`), {stand_in}) AS __x{i}" for i, name in enumerate(names)]
+        extended = df.selectExpr("*", f"({missing}) AS __incomplete", f"{label} AS __label", *filled)
+        inputs = [f"__x{i}" for i in range(len(names))]
+        return VectorAssembler(inputCols=inputs, outputCol="__features").transform(extended).drop(*inputs)
 
     def predict(self, df: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
         """Score rows: key, outcome when present, and ``pred``."""

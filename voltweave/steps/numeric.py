@@ -10,19 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltweave.functions.sql import literal, quoted
+from voltweave.operators.moments import moments
 from voltweave.operators.quantiles import quantile_values
 from voltweave.steps.base import FeatureStep, columns_of
 
 
 def mean_and_sd(df: DataFrame, cols: list[str]) -> dict[str, list[float | None]]:
-    """Mean and sample standard deviation of every column, in one aggregation."""
-    if not cols:
-        return {}
-    row = df.selectExpr(*[
-        f"struct(double(avg({quoted(c)})) AS mean, double(stddev_samp({quoted(c)})) AS sd) AS s{i}"
-        for i, c in enumerate(cols)
-    ]).first()
-    return {c: [row[i]["mean"], row[i]["sd"]] for i, c in enumerate(cols)}
+    """Mean and sample standard deviation of every column, in one pass."""
+    return {c: [mean, sd] for c, (_, mean, sd) in moments(df, cols).items()}
 
 
 def _divided(value: str, sd: float | None) -> str:
