@@ -109,7 +109,9 @@ def correlation_table(df: DataFrame, cols: list[str] | None = None, p_adjust: st
     table = sums.select(
         F.element_at(name, F.col("i") + 1).alias("Parameter1"),
         F.element_at(name, F.col("j") + 1).alias("Parameter2"),
-        F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("r"),
+        F.when(F.col("i") == F.col("j"), 1.0).when(
+            r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
+        ).alias("r"),
         F.col("n").cast("long").alias("n_Obs"),
     )
     dof = (F.col("n_Obs") - 2).cast("double")
