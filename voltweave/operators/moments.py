@@ -7,6 +7,8 @@ Deviations are taken from the task's own means, so the result is well conditione
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,10 +31,27 @@ def moments(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float | None
         ]).first()
         return {c: (row[i]["n"], row[i]["mean"], row[i]["sd"]) for i, c in enumerate(cols)}
 
+    found = matrix_moments(df, cols, len(cols))
+    return {
+        c: (int(n), mean, (m2 / (n - 1)) ** 0.5 if n > 1 else None) if n else (0, None, None)
+        for c, (n, mean, m2) in zip(cols, found)
+    }
+
+
+def matrix_moments(
+    df: DataFrame, cols: list[str], width: int, expand: Callable[[np.ndarray], np.ndarray] | None = None
+) -> list[tuple[float, float | None, float | None]]:
+    """(count, mean, sum of squared deviations) of ``width`` numbers per row, ignoring NaN.
+
+    ``expand`` turns a batch (rows x columns, nulls as NaN) into its matrix of numbers; by default
+    the columns themselves.
+    """
+
     def reduce_rows(batches):
-        n, mean, m2 = (np.zeros(len(cols)) for _ in range(3))
+        n, mean, m2 = (np.zeros(width) for _ in range(3))
         for batch in batches:
             x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            x = expand(x) if expand else x
             here = ~np.isnan(x)
             count = here.sum(axis=0)
             centre = np.where(here, x, 0.0).sum(axis=0) / np.maximum(count, 1)
@@ -43,24 +62,18 @@ def moments(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float | None
             mean += shift * count / total
             n += count
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(cols), dtype="int32")), pa.array(n), pa.array(mean), pa.array(m2)],
+            [pa.array(np.arange(width, dtype="int32")), pa.array(n), pa.array(mean), pa.array(m2)],
             names=["i", "n", "mean", "m2"],
         )
 
     typed = df.selectExpr(*[f"double({quoted(c)}) AS x{i}" for i, c in enumerate(cols)])
     parts = stage(typed.mapInArrow(reduce_rows, "i int, n double, mean double, m2 double").where("n > 0"), "moments")
-    # One row per column and task: combined around one of the task means of the column.
+    # One row per number and task: combined around one of the task means, which keeps accuracy.
     shift = parts.groupBy("i").agg(F.expr("min(mean) AS shift"))
-    rows = (
-        parts.join(shift, "i").groupBy("i").agg(
-            F.expr("sum(n) AS n"), F.expr("sum(n * mean) / sum(n) AS mean"), 
-            # Spread between tasks: weighted squares around the first moment, shifted for accuracy.
-            F.expr("sum(m2) + sum(n * (mean - shift) * (mean - shift)) "
-                   "- power(sum(n * (mean - shift)), 2) / sum(n) AS m2"),
-        ).collect()
-    )
-    found = {
-        cols[row["i"]]: (int(row["n"]), row["mean"], (row["m2"] / (row["n"] - 1)) ** 0.5 if row["n"] > 1 else None)
-        for row in rows
-    }
-    return {c: found.get(c, (0, None, None)) for c in cols}
+    rows = parts.join(shift, "i").groupBy("i").agg(
+        F.expr("sum(n) AS n"), F.expr("sum(n * mean) / sum(n) AS mean"),
+        F.expr("sum(m2) + sum(n * (mean - shift) * (mean - shift)) "
+               "- power(sum(n * (mean - shift)), 2) / sum(n) AS m2"),
+    ).collect()
+    found = {row["i"]: (row["n"], row["mean"], row["m2"]) for row in rows}
+    return [found.get(i, (0, None, None)) for i in range(width)]

@@ -112,12 +112,12 @@ def geo_cluster(
 
     assembled = VectorAssembler(inputCols=list(keys), outputCol="__at").transform(places)
     model = KMeans(
-        k=micro, featuresCol="__at", predictionCol="__micro", initMode="random", maxIter=10, seed=seed
+        k=micro, featuresCol="__at", predictionCol="__micro", initMode="random", maxIter=5, seed=seed
     ).fit(assembled)
     near = model.transform(assembled).drop("__at")
     weight = {row[0]: row[1] for row in near.groupBy("__micro").count().collect()}
     used = sorted(weight)
-    points = np.array([model.clusterCenters()[i] for i in used])
+    points = np.array(model.clusterCenters())[used]
     order = np.lexsort((points[:, 1], points[:, 0]))
     weights = np.array([weight[i] for i in used], dtype=float)
     labels = merge_labels(points[order], weights[order], k, linkage)

@@ -28,7 +28,11 @@ def eda_union(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def eda_transformed(eda: DataFrame, strict: bool = False) -> DataFrame:
-    """Logs, power transform and imputation of the measures that need them."""
+    """Logs, power transform and imputation of the measures that need them.
+
+    The power transform and the median take several passes, so the union is stored first.
+    """
+    eda = stage(eda, "eda")
     for step in (
         LogShift(cols=["V_1", "V_6", "V_9", "V_11", "V_12"], shift=0.1),
         YeoJohnson(col="V_8"),

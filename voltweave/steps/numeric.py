@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltweave.functions.sql import literal, quoted
-from voltweave.operators.moments import moments
+from voltweave.operators.moments import matrix_moments, moments
 from voltweave.operators.quantiles import quantile_values
 from voltweave.steps.base import FeatureStep, columns_of
 
@@ -110,22 +111,38 @@ class LogShift(FeatureStep):
 
 def yeo_johnson(x: str, lam: float) -> str:
     """SQL text of the Yeo-Johnson power transform."""
-    up = f"ln({x} + 1D)" if abs(lam) < 1e-9 else f"(power({x} + 1D, {literal(lam)}) - 1D) / {literal(lam)}"
     rest = 2 - lam
+    up = f"ln({x} + 1D)" if abs(lam) < 1e-9 else f"(power({x} + 1D, {literal(lam)}) - 1D) / {literal(lam)}"
     down = f"-ln(1D - {x})" if abs(rest) < 1e-9 else f"-(power(1D - {x}, {literal(rest)}) - 1D) / {literal(rest)}"
     return f"CASE WHEN {x} >= 0 THEN {up} ELSE {down} END"
 
 
 def likelihoods(df: DataFrame, col: str, grid: list[float]) -> list[float]:
-    """Profile log-likelihood at each lambda of the grid, from one aggregation."""
-    row = df.where(F.col(col).isNotNull()).selectExpr(f"double({quoted(col)}) AS x").selectExpr(
-        "count(x) AS n", "sum(signum(x) * ln(abs(x) + 1D)) AS jacobian",
-        *[f"var_pop({yeo_johnson('x', lam)}) AS v{i}" for i, lam in enumerate(grid)],
-    ).first()
-    n, jacobian = row["n"], row["jacobian"]
+    """Profile log-likelihood at each lambda of the grid, from one pass.
+
+    Powers are evaluated on whole Arrow batches: many times cheaper than a row-wise ``power`` for
+    every row and lambda. A task sends one row per lambda.
+    """
+    lambdas = list(grid)
+
+    def expand(x: np.ndarray) -> np.ndarray:
+        x = x[:, 0]
+        log = np.log1p(np.abs(x))
+        positive = x >= 0
+        out = np.empty((len(x), len(lambdas) + 1))
+        out[:, -1] = np.sign(x) * log
+        for i, lam in enumerate(lambdas):
+            power = np.where(positive, lam, 2 - lam)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                size = np.where(np.abs(power) < 1e-9, log, np.expm1(power * log) / power)
+            out[:, i] = np.where(positive, size, -size)
+        out[np.isnan(x)] = np.nan
+        return out
+
+    *spread, (n, jacobian, _) = matrix_moments(df, [col], len(grid) + 1, expand)
     return [
-        -n / 2 * math.log(row[f"v{i}"]) + (lam - 1) * jacobian if row[f"v{i}"] and row[f"v{i}"] > 0 else -math.inf
-        for i, lam in enumerate(grid)
+        -n / 2 * math.log(m2 / n) + (lam - 1) * jacobian * n if n and m2 and m2 > 0 else -math.inf
+        for lam, (_, _, m2) in zip(grid, spread)
     ]
 
 
