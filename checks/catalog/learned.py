@@ -344,7 +344,32 @@ def baked(name: str):
     return run
 
 
-for _name in ("rec_v1", "rec_v3_mean_lag_1_2_lead_1_2", "rec_v5_mod_v4", "rec_v6_dist_1_2", "rec_v7_v8", "rec_v9_full",
+WEEK = "(floor((dayofyear(DATE) - 1) / 7) + 1)::INTEGER"
+CODES = {"month": ("month(DATE)", range(1, 13)), "week": (WEEK, range(1, 54)), "dow": ("(isodow(DATE) % 7 + 1)", range(1, 8))}
+MEASURES = ["LAT", "LON", *SERIES]
+PLAIN = "ID, " + ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in MEASURES) + ", dayofyear(DATE)::INTEGER AS DATE_doy"
+LABELS = ", ".join(f"(strftime(DATE, '%b') = '{m}')::INTEGER AS DATE_month_{m}" for m in MONTHS[1:]) + ", " + ", ".join(
+    f"(strftime(DATE, '%a') = '{d}')::INTEGER AS DATE_dow_{d}" for d in DAYS[1:])
+SEASONS = ", ".join(f"(month(DATE) IN {months})::INTEGER AS {name}" for name, months in recipes.SEASONS.items())
+
+
+def baked_rounded(name: str):
+    return lambda spark, sf_dir: rounded(baked(name)(spark, sf_dir))
+
+
+query("q_rec_v1", with_readings(f"SELECT {PLAIN}, " + ", ".join(
+    f"({expr} = {level})::INTEGER AS DATE_{part}_X{level}" for part, (expr, levels) in CODES.items()
+    for level in sorted(levels, key=str)[1:]) + " FROM test"))(baked_rounded("rec_v1"))
+query("q_rec_v9_base", with_readings(f"""
+SELECT {PLAIN}, {WEEK} AS DATE_week, month(DATE)::INTEGER AS DATE_month, (isodow(DATE) % 7 + 1)::INTEGER AS DATE_dow
+FROM test"""))(baked_rounded("rec_v9_base"))
+query("q_rec_v9_on_hot_week_month", with_readings(
+    f"SELECT {PLAIN}, {WEEK} AS DATE_week, {LABELS} FROM test"))(baked_rounded("rec_v9_on_hot_week_month"))
+query("q_rec_v12_base", with_readings(f"""
+SELECT {PLAIN}, {WEEK} AS DATE_week, (isodow(DATE) < 6)::INTEGER AS iswweekday, {SEASONS}, {LABELS}
+FROM test"""))(baked_rounded("rec_v12_base"))
+
+for _name in ("rec_v3_mean_lag_1_2_lead_1_2", "rec_v5_mod_v4", "rec_v6_dist_1_2", "rec_v7_v8", "rec_v9_full",
               "rec_v11_Geo_by_POWER_stats", "rec_v12_V_1_and_other", "rec_v13_sincos", "rec_v14_scale",
               "rec_v15_add_combine", "rec_v15_remove_corrr"):
     query(f"q_{_name}")(baked(_name))

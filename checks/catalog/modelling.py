@@ -147,7 +147,7 @@ def n9(spark, sf_dir):
 @query("n10_param_ranges")
 def n10(spark, sf_dir):
     rows = train(spark, sf_dir)
-    ranges = tune.param_ranges(Workflow(recipes.recipe("rec_base", rows), specs.boosted_tune()), rows)
+    ranges = tune.param_ranges(Workflow(recipes.recipe("rec_v1", rows), specs.boosted_tune()), rows)
     return spark.createDataFrame(
         [(name, float(axis.at(0.0)), float(axis.at(1.0)), axis.whole) for name, axis in ranges.items()],
         "setting string, low double, high double, whole boolean")

@@ -37,13 +37,14 @@ SELECT '{c}' AS variable, 'numeric' AS kind, count(*) - count({c}) AS n_missing,
        round(avg({c}) + 1e-9, 6) AS mean, round(stddev_samp({c}) + 1e-9, 6) AS sd, round(min({c}) + 1e-9, 6) AS p0, round(max({c}) + 1e-9, 6) AS p100,
        NULL::BIGINT AS min_length, NULL::BIGINT AS max_length, NULL::BIGINT AS empty, NULL::BIGINT AS whitespace,
        round(quantile_cont({c}, 0.25) + 1e-9, 6) AS q25, round(quantile_cont({c}, 0.5) + 1e-9, 6) AS q50,
-       round(quantile_cont({c}, 0.75) + 1e-9, 6) AS q75, NULL::BIGINT AS n_unique, """ + HIST + """ AS hist
+       round(quantile_cont({c}, 0.75) + 1e-9, 6) AS q75, NULL::BIGINT AS n_unique, array_to_string(""" + HIST + """, ',') AS hist
 FROM (SELECT *, min({c}) OVER () AS lo, max({c}) OVER () AS hi FROM readings)""") + " UNION ALL " + rows_sql(TEXTS, """
 SELECT '{c}', 'character', count(*) - count({c}), round(count({c}) / count(*) + 1e-9, 6), NULL, NULL, NULL, NULL,
        min(length({c})), max(length({c})), count(*) FILTER ({c} = ''), count(*) FILTER (regexp_matches({c}, '^\\s+$')),
        NULL, NULL, NULL, count(DISTINCT {c}), NULL FROM readings""")))
 def e10(spark, sf_dir):
-    return rounded(stats.profile(readings(spark, sf_dir, False).select(*PROFILED, *TEXTS)))
+    made = stats.profile(readings(spark, sf_dir, False).select(*PROFILED, *TEXTS))
+    return rounded(made.withColumn("hist", F.expr("array_join(cast(hist AS array<string>), ',')")))
 
 
 @query("e10_profile_texts", rows_sql(["lang", "source", "text"], """

@@ -327,9 +327,10 @@ def profile(df: DataFrame, bins: int = 8) -> DataFrame:
     ])
     base = summary.select(F.explode(rows).alias("r")).select("r.*")
     # Distinct counts: one row per distinct (column, value), so a frequent value is combined first.
+    # Texts travel as their SHA-256, which keeps long ones out of the shuffle.
     distinct = (
         df.select(F.explode(F.array(*[
-            F.struct(F.lit(name).alias("variable"), F.col(name).alias("value")) for name in texts
+            F.struct(F.lit(name).alias("variable"), F.unhex(F.sha2(name, 256)).alias("value")) for name in texts
         ])).alias("t")).where("t.value is not null").select("t.*").distinct()
         .groupBy("variable").agg(F.count(F.lit(1)).alias("n_unique"))
     ) if texts else None

@@ -150,7 +150,9 @@ def roll_then_lag(
 def acf(daily: DataFrame, col: str, max_lag: int | None = None, order: str = "DATE") -> DataFrame:
     """Autocorrelation by lag, lag 0 included; default range is ``10 * log10(n)`` rows."""
     if max_lag is None:
-        n = daily.where(F.col(col).isNotNull()).count()  # a daily series: bounded by the calendar
+        # The series is read twice, for its length and for the sums: store it rather than remake it.
+        daily = stage(daily.select(order, col), "daily")
+        n = daily.where(F.col(col).isNotNull()).count()
         max_lag = max(min(n - 1, int(10 * math.log10(n))), 0) if n else 0
     centred = daily.where(F.col(col).isNotNull()).selectExpr(
         quoted(order), f"{quoted(col)} - avg({quoted(col)}) {over(order, (), WHOLE)} AS d"
