@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from voltweave.sources.staging import stage
 
 TOP_K_LIMIT = 100_000
-CHUNK_ROWS = 500_000
+CHUNK_ROWS = 50_000
 
 
 def sort_keys(cols: list[str], desc: bool | list[bool] = False) -> list[Column]:
