@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import (
-    predictions, readings, rounded, sites, sql_rounded, table, test, train, with_predictions, with_readings,
+    predictions, readings, rounded, sites, test, train, with_predictions, with_readings,
 )
 from voltweave.functions import calendar
-from voltweave.operators import aggregates, joins, order, quantiles, spatial, windows
+from voltweave.operators import aggregates, joins, order, spatial, windows
 from voltweave.sources import stage
 
 V = [f"V_{i}" for i in range(1, 14)]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.tables import readings, rounded, table, test, train, with_readings
+from checks.tables import rounded, table, test, train
 from voltweave.models import evaluate, specs, tune
 from voltweave.models.resample import cv_train_eval, fit_resamples, last_fit, resample_metrics, workflow_set
 from voltweave.models.specs import Workflow

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.tables import predictions, readings, rounded, table, test, train, with_predictions, with_readings
+from checks.tables import predictions, readings, rounded, table, train, with_predictions, with_readings
 from voltweave.models import evaluate
-from voltweave.operators import quantiles, sampling, setops, stats
+from voltweave.operators import quantiles, sampling, stats
 
 V = [f"V_{i}" for i in range(1, 14)]
 NUMBERS = [*V, "POWER"]
