@@ -35,7 +35,7 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-from voltweave.llm import packing, token_counts, token_files  # noqa: E402
+from voltweave.llm import decontamination, packing, secret_scan, token_counts, token_files  # noqa: E402
 
 
 @query("op3_token_files")
@@ -45,6 +45,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
+@query("op4_decontamination", decontamination.REPORT_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_secret_scan", secret_scan.REPORT_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
