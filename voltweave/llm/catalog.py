@@ -35,7 +35,7 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-from voltweave.llm import decontamination, packing, secret_scan, token_counts, token_files  # noqa: E402
+from voltweave.llm import decontamination, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
 
 
 @query("op3_token_files")
@@ -55,6 +55,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+@query("op6_quality_voting")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
