@@ -35,7 +35,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-from voltweave.llm import decontamination, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
+from voltweave.llm import decontamination, neighbours, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
+
+
+@query("op2_tree_neighbours")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
 
 
 @query("op3_token_files")
