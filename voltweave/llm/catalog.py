@@ -35,7 +35,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-from voltweave.llm import decontamination, neighbours, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
+from voltweave.llm import decontamination, jaccard, neighbours, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
+
+
+@query("op1_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.linked_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op2_tree_neighbours")
