@@ -35,7 +35,7 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-from voltweave.llm import decontamination, jaccard, neighbours, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
+from voltweave.llm import decontamination, jaccard, language_model, neighbours, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
 
 
 @query("op1_jaccard_join")
@@ -71,6 +71,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_pitman_yor")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
