@@ -35,7 +35,7 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-from voltweave.llm import decontamination, jaccard, language_model, neighbours, packing, quality, secret_scan, token_counts, token_files  # noqa: E402
+from voltweave.llm import decontamination, jaccard, language_model, neighbours, packing, quality, repeats, secret_scan, token_counts, token_files  # noqa: E402
 
 
 @query("op1_jaccard_join")
@@ -84,6 +84,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+@query("op9_repeat_removal")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"), 100)
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), 2, 1024)
