@@ -103,7 +103,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     """Per document: doc_id, __row (hash of its text), n_hit and the sorted item ids; only documents that are hit.
 
     Rows alike in doc_id and text give one row here. A null text has no words; items without words and
-    an empty benchmark hit nothing.
+    an empty benchmark hit nothing. An item without id hits words but is not named.
     """
     terms, holders = phrases(items, window)
     index = postings(docs, terms)
@@ -158,7 +158,7 @@ places AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT
 runs AS (SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS phrase FROM places),
 hits AS (SELECT r, s, q.n, item_id FROM runs JOIN q USING (n, phrase)),
 covered AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS x FROM hits) GROUP BY r),
-named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+named AS (SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

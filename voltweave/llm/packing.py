@@ -25,6 +25,7 @@ from voltweave.llm.encoding import encoder
 from voltweave.sources.staging import stage
 
 SLICE_BYTES = 8 << 20
+HASH_CELLS = 4096
 PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long"
 ITEM = "size long, is_gap boolean, id long, doc_id long, piece long, start long, ids_crc32 long"
 SWEPT = ITEM + ", sequence_id long, taken long, range long, rank long"
@@ -196,18 +197,24 @@ def _round(waiting: DataFrame, gaps: DataFrame, ranges: int) -> tuple[DataFrame,
 def _open(waiting: DataFrame, sizes: dict[int, int], limit: int) -> tuple[DataFrame, DataFrame]:
     """Sequences for the largest waiting pieces, as many as the waiting tokens fill; and the rest.
 
-    Of the size at the border a fixed share is taken by the hash of the row number, and the smallest row
-    number in any case.
+    Of the size at the border no more than needed are taken, by hash of the row number, and one in any case;
+    what is missing is opened in a later round.
     """
     need = -(-sum(s * n for s, n in sizes.items()) // limit)
     for border in sorted(sizes, reverse=True):
         if sizes[border] >= need:
             break
         need -= sizes[border]
-    share = int(1_000_000 * need / sizes[border])
-    lowest = waiting.where(F.col("size") == border).agg(F.min("id")).first()[0]
-    chosen = (F.col("size") > border) | ((F.col("size") == border) & (
-        (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share) | (F.col("id") == lowest)))
+    cell = F.pmod(F.xxhash64("id"), F.lit(HASH_CELLS))
+    ties = waiting.where(F.col("size") == border).groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    cells = sorted((r["cell"], r["n"], r["id"]) for r in ties.collect())  # at most HASH_CELLS rows
+    last, taken = -1, 0
+    for number, n, _ in cells:
+        if taken + n > need:
+            break
+        last, taken = number, taken + n
+    lowest = cells[0][2]
+    chosen = (F.col("size") > border) | ((F.col("size") == border) & ((cell <= last) | (F.col("id") == lowest)))
     flagged = stage(waiting.withColumn("__opens", chosen), "opened")
     opened = flagged.where("__opens").select("doc_id", "piece", "start", "ids_crc32", "size", F.col("id").alias("sequence_id"),
                                              F.lit(limit).cast("long").alias("taken"))
