@@ -146,13 +146,47 @@ def test_natural_spline_is_a_cubic_between_knots():
         assert np.abs(fit - target).max() < 1e-6 * np.abs(target).max()
 
 
-def test_lookup_and_batch_evaluation_agree(spark, rows):
+def test_natural_spline_expression_is_the_basis_for_any_value(spark, rows):
     dated = rows.select("ID", F.dayofyear("DATE").alias("DATE_doy"))
-    table = NaturalSpline("DATE_doy", 12).fit(dated)
-    a = table.transform(dated).orderBy("ID").toPandas()
-    b = table.transform(dated.withColumn("DATE_doy", F.col("DATE_doy").cast("double"))).orderBy("ID").toPandas()
-    assert list(a.columns) == list(b.columns) and len(a.columns) == 13
-    assert np.allclose(a.to_numpy(), b.to_numpy())
+    fitted = NaturalSpline("DATE_doy", 12).fit(dated)
+    state = fitted.learned()
+    values = [-50, 1, 77, 366, 380, 5000]
+    for kind in ("int", "double"):
+        given = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "ID long, v int").select("ID", F.col("v").cast(kind).alias("DATE_doy"))
+        got = fitted.transform(given).orderBy("ID").toPandas().drop(columns="ID").to_numpy()
+        assert got.shape == (6, 12)
+        assert np.allclose(got, natural_basis(np.array(values, dtype=float), state["interior"], state["low"], state["high"]))
+    empty = fitted.transform(spark.createDataFrame([(1, None), (2, float("nan"))], "ID long, DATE_doy double")).collect()
+    assert all(v is None for row in empty for v in row[1:])
+
+
+@pytest.mark.parametrize("width", [16, 17])
+def test_nan_is_missing_at_every_width(spark, width):
+    from voltweave.operators.moments import moments
+
+    frame = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double").selectExpr(*[f"x AS c{i}" for i in range(width)])
+    found = moments(frame, frame.columns)
+    assert len(found) == width and all((n, m) == (2, 2.0) and sd == pytest.approx(2**0.5) for n, m, sd in found.values())
+
+
+def test_many_levels_make_a_plan_of_linear_size(spark):
+    from voltweave.steps import DummyEncode
+
+    frame = spark.createDataFrame([(f"l{i:03d}",) for i in range(300)] + [(None,)], "lab string")
+    fitted = DummyEncode(cols=["lab"]).fit(frame)
+    out = fitted.transform(frame)
+    sums = out.agg(*[F.sum(c).alias(c) for c in out.columns]).first()
+    assert len(out.columns) == 299 and set(sums) == {1}
+    assert out.where("lab_l001 IS NULL").count() == 1
+    with pytest.raises(ValueError):
+        DummyEncode(cols=["lab"], max_levels=200).fit(frame)
+
+
+def test_stop_round_follows_patience():
+    from voltweave.models.specs import stop_round
+
+    errors = [5.0, 4.0, 4.5, 4.4, 3.0, 3.1, 3.2, 3.3, 2.0]
+    assert [stop_round(errors, k) for k in (1, 2, 3, 4, 100)] == [2, 2, 5, 9, 9]
 
 
 def test_periodic_spline_repeats_and_sums_to_one():

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from voltweave.operators.columns import numeric_columns
 from voltweave.operators.sampling import SEED, row_hash
+from voltweave.sources.staging import stage
 from voltweave.steps.spec import FeatureSpec, FittedFeatures
 
 MISSING = "1e300D"  # what trees see for a null
@@ -42,9 +43,6 @@ class ModelSpec:
                 maxIter=int(s.get("max_iter", 200)), tol=1e-9, standardization=True, **common,
             )
         mtry = s.get("mtry")
-        options = {}
-        if s.get("stop_after") is not None:
-            options = {"validationIndicatorCol": "__validation", "validationTol": float(s.get("tolerance", 0.01))}
         return GBTRegressor(
             maxIter=int(s.get("trees", 15)),
             maxDepth=int(s.get("tree_depth", 6)),
@@ -54,10 +52,21 @@ class ModelSpec:
             subsamplingRate=float(s.get("sample_size", 1.0)),
             featureSubsetStrategy="all" if mtry is None else str(min(int(mtry), n_predictors)),
             maxBins=int(s.get("max_bins", 64)), maxMemoryInMB=int(s.get("memory_mb", 256)), seed=SEED,
-            **options, **common,
+            cacheNodeIds=True, **common,
         )
 
 
+def stop_round(errors: list[float], patience: int) -> int:
+    """Number of rounds to keep: the first best one, once ``patience`` rounds after it brought nothing lower."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def linear() -> ModelSpec:
     """Least squares."""
     return ModelSpec("linear")
@@ -77,7 +86,8 @@ def elastic(penalty: float | str = TUNE, mixture: float | str = TUNE) -> ModelSp
 
 def boosted_trees(**settings) -> ModelSpec:
     """Gradient-boosted trees: ``trees, tree_depth, learn_rate, min_n, mtry, loss_reduction,
-    sample_size``; ``stop_after`` turns on early stopping against a tenth of the rows."""
+    sample_size``. With ``stop_after``, a tenth of the rows is held out and the trees end at the best round
+    that is followed by that many rounds without a lower error on them."""
     return ModelSpec("boosted", settings)
 
 
@@ -107,15 +117,30 @@ class Workflow:
     def fit(self, df: DataFrame) -> FittedWorkflow:
         features = self.features.fit(df)
         numbers = set(numeric_columns(features.training_result))
+        kinds = dict(features.training_result.dtypes)
+        text = [name for name in features.predictors if kinds[name] == "string"]
+        if text:
+            raise ValueError(f"text predictors, encode or drop them: {text}")
         predictors = [name for name in features.predictors if name in numbers]
         fitted = FittedWorkflow(self, features, None, tuple(predictors))
         rows = fitted.assemble(features.training_result).where(F.col("__label").isNotNull())
         if self.model.kind == "linear":
             rows = rows.where(~F.col("__incomplete"))  # least squares needs complete rows
-        if self.model.settings.get("stop_after") is not None:
-            held = F.pmod(row_hash(F.col(self.key)), F.lit(10)) == 0
-            rows = rows.withColumn("__validation", held)
-        return replace(fitted, model=self.model.estimator(len(predictors)).fit(rows))
+        estimator = self.model.estimator(len(predictors))
+        if self.model.kind == "linear":
+            return replace(fitted, model=estimator.fit(rows))
+        held = F.pmod(row_hash(F.col(self.key)), F.lit(10)) == 0
+        # Every round of the trees reads the rows again: stored once, with nothing but what it needs.
+        rows = stage(rows.select("__features", "__label", held.alias("__held")), "training")
+        patience = self.model.settings.get("stop_after")
+        held_rows = rows.where("__held")
+        if patience is None or held_rows.isEmpty():
+            return replace(fitted, model=estimator.fit(rows))
+        whole = estimator.fit(rows.where("not __held"))
+        best = stop_round(whole.evaluateEachIteration(held_rows, "squared"), int(patience))
+        if best < whole.getNumTrees:
+            whole = estimator.setMaxIter(best).fit(rows.where("not __held"))
+        return replace(fitted, model=whole)
 
 
 @dataclass(frozen=True)

@@ -21,13 +21,13 @@ FEW_COLUMNS = 16
 
 
 def moments(df: DataFrame, cols: list[str]) -> dict[str, tuple[int, float | None, float | None]]:
-    """(count, mean, sample sd) of the non-null values per column; one row per column comes back."""
+    """(count, mean, sample sd) per column of the values that are neither null nor NaN, at any number of columns."""
     if not cols:
         return {}
     if len(cols) <= FEW_COLUMNS:
         row = df.selectExpr(*[
             f"struct(count({c}) AS n, double(avg({c})) AS mean, double(stddev_samp({c})) AS sd) AS s{i}"
-            for i, c in enumerate(map(quoted, cols))
+            for i, c in enumerate(f"nanvl(double({quoted(name)}), NULL)" for name in cols)
         ]).first()
         return {c: (row[i]["n"], row[i]["mean"], row[i]["sd"]) for i, c in enumerate(cols)}
 

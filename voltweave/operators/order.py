@@ -91,9 +91,9 @@ def slice_positions(
     last = max(positions)
     if last <= TOP_K_LIMIT:
         head = top_k(df, cols, last, desc)
-        ranked = head.withColumn("position", F.row_number().over(Window.orderBy(*sort_keys(cols, desc))))
+        ranked = head.withColumn("position", F.row_number().over(Window.orderBy(*sort_keys(cols, desc))).cast("long"))
     else:
-        ranked = row_index(df, cols, desc, "__row").withColumn("position", (F.col("__row") + 1).cast("int"))
+        ranked = row_index(df, cols, desc, "__row").withColumn("position", F.col("__row") + 1)
     return ranked.where(F.col("position").isin(positions)).select(*df.columns, "position")
 
 

@@ -239,9 +239,10 @@ def box_stats(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
 
 
 def category_share(df: DataFrame, col: str, by: str) -> DataFrame:
-    """Count per (category, group) and its share within the category."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col, by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(col)))
+    """Count per (category, group) and its share within the category; totals combine before they are joined back."""
+    counts = stage(df.where(F.col(col).isNotNull()).groupBy(col, by).agg(F.count(F.lit(1)).alias("n")), "counts")
+    totals = counts.groupBy(col).agg(F.sum("n").alias("__total"))
+    return counts.join(totals, col).select(col, by, "n", (F.col("n") / F.col("__total")).alias("share"))
 
 
 def trend(df: DataFrame, col: str = "POWER", date: str = "DATE") -> DataFrame:

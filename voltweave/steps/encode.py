@@ -13,26 +13,26 @@ from voltweave.functions import calendar
 from voltweave.functions.sql import quoted, text_literal
 from voltweave.steps.base import FeatureStep, columns_of
 
-MAX_LEVELS = 5000
+MAX_LEVELS = 5000  # default of the steps' ``max_levels``: levels are kept on the driver and in the plan
 
 
 def known_levels(df: DataFrame, col: str) -> list[str] | None:
     return df.schema[col].metadata.get("levels")
 
 
-def learn_levels(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct text values of each column, in one pass; errors beyond ``MAX_LEVELS``."""
+def learn_levels(df: DataFrame, cols: list[str], most: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """Sorted distinct text values of each column, in one pass; an error beyond ``most`` in one column."""
     if not cols:
         return {}
     cells = ", ".join(f"struct({text_literal(c)} AS col, string({quoted(c)}) AS level)" for c in cols)
     distinct = df.selectExpr(f"inline(array({cells}))").where("level IS NOT NULL").distinct()
     found: dict[str, list[str]] = {c: [] for c in cols}
-    rows = distinct.limit(MAX_LEVELS * len(cols) + 1).collect()
+    rows = distinct.limit(most * len(cols) + 1).collect()
     for row in rows:
         found[row["col"]].append(row["level"])
-    large = [c for c in cols if len(found[c]) > MAX_LEVELS]
-    if large or len(rows) > MAX_LEVELS * len(cols):
-        raise ValueError(f"more than {MAX_LEVELS} levels in {large or cols}")
+    large = [c for c in cols if len(found[c]) > most]
+    if large or len(rows) > most * len(cols):
+        raise ValueError(f"more than {most} levels in {large or cols}")
     return {c: sorted(levels) for c, levels in found.items()}
 
 
@@ -75,7 +75,7 @@ class LevelOrder(FeatureStep):
 
     @staticmethod
     def learn(df: DataFrame, config: dict, roles) -> dict:
-        return {"levels": learn_levels(df, columns_of(config, df, roles))}
+        return {"levels": learn_levels(df, columns_of(config, df, roles), config.get("max_levels", MAX_LEVELS))}
 
     @staticmethod
     def apply(df: DataFrame, config: dict, state: dict) -> DataFrame:
@@ -84,9 +84,9 @@ class LevelOrder(FeatureStep):
         return with_levels(out, levels)
 
 
-def _levels_for(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
+def _levels_for(df: DataFrame, cols: list[str], most: int) -> dict[str, list[str]]:
     levels = {c: known_levels(df, c) for c in cols}
-    levels.update(learn_levels(df, [c for c in cols if levels[c] is None]))
+    levels.update(learn_levels(df, [c for c in cols if levels[c] is None], most))
     return {c: levels[c] for c in cols}
 
 
@@ -95,7 +95,7 @@ class IntegerEncode(FeatureStep):
 
     @staticmethod
     def learn(df: DataFrame, config: dict, roles) -> dict:
-        return {"levels": _levels_for(df, columns_of(config, df, roles))}
+        return {"levels": _levels_for(df, columns_of(config, df, roles), config.get("max_levels", MAX_LEVELS))}
 
     @staticmethod
     def apply(df: DataFrame, config: dict, state: dict) -> DataFrame:
@@ -116,16 +116,14 @@ class DummyEncode(FeatureStep):
 
     @staticmethod
     def learn(df: DataFrame, config: dict, roles) -> dict:
-        return {"levels": _levels_for(df, columns_of(config, df, roles))}
+        return {"levels": _levels_for(df, columns_of(config, df, roles), config.get("max_levels", MAX_LEVELS))}
 
     @staticmethod
     def apply(df: DataFrame, config: dict, state: dict) -> DataFrame:
-        made = []
-        for c, levels in state["levels"].items():
+        made, codes = [], []
+        for k, (c, levels) in enumerate(state["levels"].items()):
             known = ", ".join(text_literal(v) for v in levels)
-            made += [
-                f"CASE WHEN string({quoted(c)}) IN ({known}) THEN int(string({quoted(c)}) = {text_literal(level)}) END "
-                f"AS {quoted(dummy_name(c, level))}"
-                for level in levels[1:]
-            ]
-        return df.selectExpr(*[quoted(c) for c in df.columns if c not in state["levels"]], *made)
+            codes.append(f"nullif(int(array_position(array({known}), string({quoted(c)}))), 0) AS __code{k}")
+            made += [f"int(__code{k} = {i}) AS {quoted(dummy_name(c, level))}" for i, level in enumerate(levels[1:], 2)]
+        rest = [quoted(c) for c in df.columns if c not in state["levels"]]
+        return df.selectExpr("*", *codes).selectExpr(*rest, *made)

@@ -1,8 +1,7 @@
 """Spline bases.
 
-A basis is a function of one number. For a small integer domain such as the day of the year, the
-whole basis is a lookup table of a fixed number of rows joined to the data; for any other column it
-is evaluated batch by batch in a pandas UDF.
+The natural spline has a closed form, so it is a SQL expression for any column and any value. The
+periodic spline is a lookup table of the days of a month, joined to the data.
 """
 
 from __future__ import annotations
@@ -11,16 +10,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
 from voltweave.functions.sql import quoted
 from voltweave.operators.joins import join_lookup
 from voltweave.operators.quantiles import quantile_values
 from voltweave.steps.base import FeatureStep
 
-LOOKUP_ROWS = 400
-COUNTED_VALUES = 5000
-
 
 def bspline(x: np.ndarray, knots: np.ndarray, degree: int, derivative: int = 0) -> np.ndarray:
     """B-spline basis (or a derivative) at ``x``, by the two-term recursion; right end included."""
@@ -48,26 +43,33 @@ def bspline(x: np.ndarray, knots: np.ndarray, degree: int, derivative: int = 0)
 
 
 def natural_basis(x: np.ndarray, interior: list[float], low: float, high: float) -> np.ndarray:
-    """Cubic basis with zero curvature at both ends, no constant, linear outside ``[low, high]``."""
-    knots = np.concatenate([[low] * 4, sorted(interior), [high] * 4])
-    ends = np.array([low, high])
-    # The curvature conditions leave a subspace; an orthonormal basis of it defines the columns.
-    curvature = bspline(ends, knots, 3, 2)[:, 1:]
-    free = np.linalg.qr(curvature.T, mode="complete")[0][:, 2:]
-    inside = np.clip(x, low, high)
-    value = bspline(inside, knots, 3)[:, 1:]
-    slope = bspline(ends, knots, 3, 1)[:, 1:]
-    value = value + np.where(x < low, x - low, 0.0)[:, None] * slope[0] + np.where(x > high, x - high, 0.0)[:, None] * slope[1]
-    return value @ free
-
-
-def weighted_quantiles(values: np.ndarray, counts: np.ndarray, probs: list[float]) -> list[float]:
-    """Interpolated quantiles of values repeated ``counts`` times (values ascending)."""
-    upto = np.cumsum(counts)
-    rank = np.asarray(probs) * (upto[-1] - 1)
-    below = values[np.searchsorted(upto, np.floor(rank), side="right")]
-    above = values[np.searchsorted(upto, np.ceil(rank), side="right")]
-    return (below + (above - below) * (rank - np.floor(rank))).tolist()
+    """Cubic basis with zero curvature at both ends, no constant, linear outside ``[low, high]``.
+
+    With knots scaled to [0, 1]: the scaled value itself, and for every knot but the last two the
+    truncated cubic that is made linear beyond the last knot, less that of the last but one.
+    """
+    knots = [0.0, *((k - low) / (high - low) for k in sorted(interior)), 1.0]
+    t = (np.asarray(x, dtype=float) - low) / (high - low)
+
+    def bent(k: float) -> np.ndarray:
+        return (np.maximum(t - k, 0.0) ** 3 - np.maximum(t - 1.0, 0.0) ** 3) / (1.0 - k)
+
+    return np.column_stack([t] + [bent(k) - bent(knots[-2]) for k in knots[:-2]])
+
+
+def natural_basis_sql(col: str, interior: list[float], low: float, high: float) -> list[str]:
+    """The columns of ``natural_basis`` as SQL text; null for null and NaN."""
+    knots = [0.0, *((k - low) / (high - low) for k in sorted(interior)), 1.0]
+    t = f"((nanvl(double({quoted(col)}), NULL) - {low!r}D) / {high - low!r}D)"
+
+    def cube(k: float) -> str:
+        up = f"(if({t} > {k!r}D, {t} - {k!r}D, {t} * 0D))"
+        return f"{up} * {up} * {up}"
+
+    def bent(k: float) -> str:
+        return f"(({cube(k)} - {cube(1.0)}) / {1.0 - k!r}D)"
+
+    return [t] + [f"{bent(k)} - {bent(knots[-2])}" for k in knots[:-2]]
 
 
 def numbered(col: str, n: int) -> list[str]:
@@ -88,19 +90,10 @@ class NaturalSpline(FeatureStep):
     @staticmethod
     def learn(df: DataFrame, config: dict, roles) -> dict:
         col, n = config["col"], config["df"]
-        values = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"))
-        counts = values.groupBy("x").count().limit(COUNTED_VALUES + 1).collect()
-        probs = [i / n for i in range(1, n)]
-        if not counts:
+        values = df.selectExpr(f"nanvl(double({quoted(col)}), NULL) AS x").where("x IS NOT NULL")
+        if values.isEmpty():
             raise ValueError(f"{col} has no values")
-        if len(counts) <= COUNTED_VALUES:
-            counts.sort()
-            x = np.array([row["x"] for row in counts])
-            interior = weighted_quantiles(x, np.array([row["count"] for row in counts]), probs) if probs else []
-            low, high = float(x[0]), float(x[-1])
-        else:
-            cuts = quantile_values(values, "x", [0.0, *probs, 1.0])
-            low, *interior, high = cuts
+        low, *interior, high = quantile_values(values, "x", [0.0, *(i / n for i in range(1, n)), 1.0])
         if low == high:
             raise ValueError(f"{col} is constant")
         inner = sorted({k for k in interior if low < k < high})
@@ -110,26 +103,8 @@ class NaturalSpline(FeatureStep):
     def apply(df: DataFrame, config: dict, state: dict) -> DataFrame:
         col = config["col"]
         interior, low, high = state["interior"], state["low"], state["high"]
-        names = numbered(col, len(interior) + 1)
-        span = range(min(int(low), 1), max(int(high), 366) + 1)
-        if df.schema[col].dataType.typeName() in ("byte", "short", "integer", "long") and len(span) <= LOOKUP_ROWS:
-            # Every day of the year is in the table, seen in training or not.
-            basis = natural_basis(np.array(span, dtype=float), interior, low, high)
-            rows = pd.DataFrame(basis, columns=names)
-            rows.insert(0, col, np.array(span))
-            lookup = df.sparkSession.createDataFrame(rows).withColumn(col, F.col(col).cast(df.schema[col].dataType))
-            out = join_lookup(df, F.broadcast(lookup), [col])  # at most LOOKUP_ROWS rows
-        else:
-            @F.pandas_udf(ArrayType(DoubleType()))
-            def evaluate(batch: pd.Series) -> pd.Series:
-                x = batch.to_numpy(dtype=float)
-                made = natural_basis(np.nan_to_num(x, nan=low), interior, low, high)
-                made[np.isnan(x)] = np.nan
-                return pd.Series(list(made))
-
-            out = df.withColumn("__basis", evaluate(F.col(col).cast("double"))).selectExpr(
-                "* EXCEPT (__basis)", *[f"nanvl(__basis[{i}], NULL) AS {quoted(n)}" for i, n in enumerate(names)]
-            )
+        texts = natural_basis_sql(col, interior, low, high)
+        out = df.selectExpr("*", *[f"{text} AS {quoted(name)}" for name, text in zip(numbered(col, len(texts)), texts)])
         return out if config["keep"] else out.drop(col)
 
 
