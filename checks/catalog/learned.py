@@ -148,15 +148,28 @@ def j10_all(spark, sf_dir):
     return tables.eda_transformed(readings(spark, sf_dir))
 
 
-@query("j11_natural_spline")
+def spline_sql(value: str, name: str, df: int) -> str:
+    """Natural cubic functions on the quantiles of the column; the textbook form with knots scaled to [0, 1]."""
+    knots = [f"((q[{i + 1}] - q[1]) / (q[{df + 1}] - q[1]))" for i in range(df + 1)]
+    bent = [f"((greatest(t - {k}, 0) ** 3 - greatest(t - 1, 0) ** 3) / (1 - {k}))" for k in knots[:-1]]
+    texts = ["t"] + [f"{b} - {bent[-1]}" for b in bent[:-1]]
+    digits = len(str(df))
+    columns = ", ".join(f"round({text} + 1e-9, 6) AS {name}_{i:0{digits}d}" for i, text in enumerate(texts, 1))
+    probs = ", ".join(f"{i}::DOUBLE / {df}" for i in range(df + 1))
+    return with_readings(f"""SELECT ID, {name}, {columns} FROM (
+  SELECT ID, {value} AS {name}, q, ({value} - q[1]) / (q[{df + 1}] - q[1]) AS t FROM readings,
+    (SELECT quantile_cont(({value})::DOUBLE, [{probs}]) AS q FROM readings))""")
+
+
+@query("j11_natural_spline", spline_sql("dayofyear(DATE)::INTEGER", "DATE_doy", 26))
 def j11(spark, sf_dir):
     rows = readings(spark, sf_dir, False).select("ID", F.dayofyear("DATE").alias("DATE_doy"))
-    return applied(NaturalSpline("DATE_doy", 26, keep=True), rows)
+    return rounded(applied(NaturalSpline("DATE_doy", 26, keep=True), rows))
 
 
-@query("j11_natural_spline_values")
+@query("j11_natural_spline_values", spline_sql("V_5", "V_5", 8))
 def j11_values(spark, sf_dir):
-    return applied(NaturalSpline("V_5", 8, keep=True), readings(spark, sf_dir, False).select("ID", "V_5"))
+    return rounded(applied(NaturalSpline("V_5", 8, keep=True), readings(spark, sf_dir, False).select("ID", "V_5")), keep=("V_5",))
 
 
 @query("j12_periodic_spline", with_readings("SELECT ID, day(DATE)::INTEGER AS day, " + ", ".join(
