@@ -201,15 +201,14 @@ def f7(spark, sf_dir):
 
 
 TRAILING = ", ".join(
-    f"CASE WHEN count({c}) OVER w = 15 THEN round(avg({c}) OVER w + 1e-9, 6) END AS roll_mean_15_{c}" for c in ("V_1", "V_5", "V_13"))
+    f"CASE WHEN count({c}) OVER w = 15 THEN round(avg({c}) OVER w + 1e-9, 6) END AS roll_mean_15_{c}" for c in V)
 
 
 @query("f8_trailing_roll", with_readings(f"""
 SELECT ID, {TRAILING} FROM train WINDOW w AS (PARTITION BY SOT ORDER BY DATE NULLS LAST, ID ROWS BETWEEN 14 PRECEDING AND CURRENT ROW)"""))
 def f8(spark, sf_dir):
-    cols = ["V_1", "V_5", "V_13"]
-    made = windows.trailing_roll(train(spark, sf_dir).select("ID", "SOT", "DATE", *cols), cols, 15, ["DATE", "ID"], ["SOT"])
-    return rounded(made.drop("SOT", "DATE", *cols))
+    made = windows.trailing_roll(train(spark, sf_dir).select("ID", "SOT", "DATE", *V), V, 15, ["DATE", "ID"], ["SOT"])
+    return rounded(made.drop("SOT", "DATE", *V))
 
 
 @query("f8_trailing_train_part", with_readings("SELECT ID, " + ", ".join(

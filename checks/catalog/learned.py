@@ -291,18 +291,20 @@ def j17(spark, sf_dir):
     return rounded(blocks.datetime_features(blocks.deal_date(rows)).drop("DATE"))
 
 
+def both_sides(spark, sf_dir, switches):
+    """Training and scoring rows of a setting; the outlier block removes training rows only."""
+    made, scored = blocks.build_features(train(spark, sf_dir), test(spark, sf_dir), switches)
+    return made.withColumn("dataset", F.lit("train")).unionByName(scored.withColumn("dataset", F.lit("test")), allowMissingColumns=True)
+
+
 @query("j18_switches_default")
 def j18(spark, sf_dir):
-    made, _ = blocks.build_features(train(spark, sf_dir), test(spark, sf_dir),
-                                    blocks.Switches(outlier_detect=False, extract_features2=True))
-    return made
+    return both_sides(spark, sf_dir, blocks.Switches())
 
 
 @query("j18_switches_all")
 def j18_all(spark, sf_dir):
-    switches = blocks.Switches(**{name: True for name in blocks.Switches.__dataclass_fields__} | {"outlier_detect": False})
-    _, scored = blocks.build_features(train(spark, sf_dir), test(spark, sf_dir), switches)
-    return scored
+    return both_sides(spark, sf_dir, blocks.Switches(**dict.fromkeys(blocks.Switches.__dataclass_fields__, True)))
 
 
 @query("d4_join_lookup", with_readings("""

@@ -26,7 +26,7 @@ def e9(spark, sf_dir):
     return rounded(stats.describe(train(spark, sf_dir), NUMBERS))
 
 
-PROFILED = ["V_5", "V_13", "POWER"]
+PROFILED = NUMBERS
 TEXTS = ["SOT", "dataset"]
 HIST = "[" + ", ".join(
     f"count(*) FILTER ({{c}} IS NOT NULL AND least(floor(({{c}} - lo) / (CASE WHEN hi > lo THEN (hi - lo) / 8 ELSE 1 END)), 7) = {b})" for b in range(8)) + "]"
@@ -43,7 +43,7 @@ SELECT '{c}', 'character', count(*) - count({c}), round(count({c}) / count(*) +
        min(length({c})), max(length({c})), count(*) FILTER ({c} = ''), count(*) FILTER (regexp_matches({c}, '^\\s+$')),
        NULL, NULL, NULL, count(DISTINCT {c}), NULL FROM readings""")))
 def e10(spark, sf_dir):
-    made = stats.profile(readings(spark, sf_dir, False).select(*PROFILED, *TEXTS))
+    made = stats.profile(readings(spark, sf_dir).select(*PROFILED, *TEXTS))
     return rounded(made.withColumn("hist", F.expr("array_join(cast(hist AS array<string>), ',')")))
 
 
@@ -66,7 +66,7 @@ def e2_quantiles(spark, sf_dir):
     return rounded(made)
 
 
-PAIRED = ["POWER", "V_1", "V_2", "V_3", "V_5", "V_6", "V_13"]
+PAIRED = NUMBERS
 
 
 @query("l1_correlation_table", with_readings(" UNION ALL ".join(
