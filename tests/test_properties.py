@@ -347,3 +347,19 @@ def test_submission_keeps_rows_and_replaces_the_outcome(spark, sf_dir, rows):
     assert {r["metric"] for r in scores.collect()} == {"rmse", "mae", "mape", "mpe", "rsq"}
     _, holdout, _ = last_fit(flow, sampling.initial_split(rows))
     assert 0 < holdout.count() < rows.count()
+
+
+def test_a_set_of_workflows_is_mapped_with_own_points(spark, rows):
+    from voltweave.models import specs, tune
+    from voltweave.operators.sampling import vfold
+    from voltweave.steps.spec import FeatureSpec
+
+    train_rows = rows.where("POWER IS NOT NULL").select("ID", "V_5", "V_13", "POWER")
+    spec = FeatureSpec.on(train_rows).role("id variable", "ID").role("outcome", "POWER").role("predictor", "V_5", "V_13")
+    flows = {"plain": specs.Workflow(spec, specs.linear()), "lasso": specs.Workflow(spec, specs.lasso()), "ridge": specs.Workflow(spec, specs.ridge())}
+    folds = vfold(train_rows, 3)
+    grids = {"lasso": [{"penalty": 0.1}, {"penalty": 10.0}], "ridge": [{"penalty": 1.0}]}
+    got = tune.workflow_map(flows, folds, "grid", grids).collect()
+    assert sorted((r["wflow_id"], r["settings"]) for r in got) == [
+        ("lasso", "penalty=0.1"), ("lasso", "penalty=10"), ("plain", ""), ("ridge", "penalty=1")]
+    assert all(r["n"] == 3 and r["mean"] > 0 for r in got)

@@ -151,6 +151,34 @@ def tune_search(
     return union_by_name(*parts), settings_of(best_point)
 
 
+def workflow_map(
+    workflows: dict[str, Workflow], df: DataFrame, how: str = "resamples", grids: dict[str, list[dict]] | None = None,
+    ranges: dict[str, dict[str, Range]] | None = None, fold: str = "fold", parallelism: int = 4, **search,
+) -> DataFrame:
+    """Resampled metrics of a whole set: ``wflow_id`` and what the single-workflow call gives.
+
+    ``grid`` and ``search`` take each workflow's own points or ranges by its name; a workflow with
+    nothing to tune is resampled as it is.
+    """
+    data = stage(df, "folds")
+    fixed = {name: w for name, w in workflows.items() if how == "resamples" or not w.tuned_settings()}
+    parts = []
+    if fixed:
+        found = collect_metrics(metrics(fit_resamples(fixed, data, fold, parallelism, stored=True), ("rmse",), ["wflow_id", fold]))
+        parts.append(stage(found.selectExpr("wflow_id", "'' AS settings", "metric", "mean", "n", "std_err"), "mapped"))
+    for name, workflow in workflows.items():
+        if name in fixed:
+            continue
+        if how == "grid":
+            made = tune_grid(workflow, data, grids[name], ("rmse",), fold, parallelism, stored=True)
+        elif how == "search":
+            made, _ = tune_search(workflow, data, ranges[name], fold=fold, parallelism=parallelism, **search)
+        else:
+            raise ValueError(f"unknown way {how!r}")
+        parts.append(stage(made.selectExpr(f"'{name}' AS wflow_id", "settings", "metric", "mean", "n", "std_err"), "mapped"))
+    return union_by_name(*parts)
+
+
 def finalise(workflow: Workflow, settings: dict) -> Workflow:
     return workflow.with_settings(**settings)
 
