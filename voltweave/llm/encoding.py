@@ -9,25 +9,58 @@ cut more carefully or given to the library whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
+
+from voltweave.llm.common import expand
 
 # White space by Unicode, in front of a space; such texts are cut by WORDS instead.
 UNSURE = "^ |[\\t\\n\\x0b\\f\\r \\x85\\xa0  -     　] "
 WHOLE = "[\\x1c-\\x1f]|<\\|"
 WORDS = re.compile(r"\s*\S+|\s+")
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
+
+# How byte-level files split a text, and the characters that stand for bytes in their vocabulary.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
+# Pieces of these characters alone: no combining marks, no exotic spaces, lower case by character. For them the
+# pattern of the file gives the same in any engine; others go through the library's normaliser and splitter.
+PLAIN = re.compile("[\\x00-\\x1b !-~À-ɏ]*\\Z")
+
+
+def _pattern(path: str) -> tuple[regex.Pattern | None, bool]:
+    """(pattern that splits a piece, whether it is lower-cased first) of the kinds of file that are known."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    norm, cut = made.get("normalizer"), made.get("pre_tokenizer") or {}
+    if norm is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]:
+        return regex.compile(BYTE_LEVEL), False
+    steps, norms = cut.get("pretokenizers", []), [n["type"] for n in (norm or {}).get("normalizers", [])]
+    if [p["type"] for p in steps] == ["Split", "ByteLevel"] and norms == ["NFC", "Replace", "Lowercase"]:
+        split, level = steps
+        spaces = norm["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+        if spaces and split["behavior"] == "Removed" and split["invert"] and not level["use_regex"] and not level["add_prefix_space"]:
+            return regex.compile(split["pattern"]["Regex"]), True
+    return None, False
 
 _encoders: dict[tuple[str, int], CachedEncoder] = {}
 
 
 class CachedEncoder:
-    """Ids of texts by the tokenizers library; ``cache_pieces`` bounds what is kept between batches."""
+    """Ids of texts by the tokenizers library.
+
+    Two bounded caches outlive a batch: ids of pieces (an Arrow array with numpy offsets, so known pieces
+    are looked up without Python code) and ids of the pre-tokens they consist of.
+    """
 
     def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -36,39 +69,68 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.half = max(1, cache_pieces // 2)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in made]
-
-    def _known(self, piece: str) -> bytes | None:
-        found = self.young.get(piece)
-        if found is None:
-            found = self.old.get(piece)
-            if found is not None:
-                self.young[piece] = found
-        return found
-
-    def pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces, packed as little-endian 32-bit integers."""
-        got = [self._known(p) for p in pieces]
-        cut = {p: WORDS.findall(p) for p, ids in zip(pieces, got) if ids is None}
-        need = list(dict.fromkeys(w for words in cut.values() for w in words if self._known(w) is None))
-        fresh = dict(zip(need, self._library(need))) if need else {}
+        self.normalizer, self.cutter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
+        self.pattern, self.lower = _pattern(path)
+        self.most = cache_pieces
+        self.clock = 0
+        self.words: dict[str, bytes] = {}  # by pre-token as in the text, and as the vocabulary shows it
+        self.shown: dict[str, bytes] = {}
+        self._keep(pa.array([], pa.large_string()), np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def _keep(self, known: pa.Array, pool: np.ndarray, sizes: np.ndarray, used: np.ndarray) -> None:
+        self.known, self.pool, self.sizes, self.used = known, pool, sizes, used
+        self.starts = np.cumsum(sizes) - sizes
+
+    def _library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece: its pre-tokens, each through the library's model once."""
+        if self.pattern is not None and PLAIN.match(piece):
+            words = self.pattern.findall(piece.lower() if self.lower else piece)
+            shown = False
+        else:
+            words = [w for w, _ in self.cutter.pre_tokenize_str(self.normalizer.normalize_str(piece) if self.normalizer else piece)]
+            shown = True
         made = []
-        for piece, ids in zip(pieces, got):
+        for word in words:
+            cache = self.shown if shown else self.words
+            ids = cache.get(word)
             if ids is None:
-                words = cut[piece]
-                parts = [fresh[w] if w in fresh else self._known(w) for w in words]
-                ids = parts[0] if len(parts) == 1 else b"".join(parts)
+                text = word if shown else word.encode().decode("latin-1").translate(BYTE_CHARS)
+                ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+                if len(cache) >= self.most // 4:
+                    cache.clear()
+                cache[word] = ids
             made.append(ids)
-        self.young.update(fresh)
-        if len(self.young) > self.half:
-            self.old, self.young = self.young, {}
-        return made
+        return made[0] if len(made) == 1 else b"".join(made)
+
+    def pieces(self, pieces: pa.Array) -> np.ndarray:
+        """Numbers of distinct pieces in the cache, after adding those that were missing."""
+        self.clock += 1
+        at = pc.index_in(pieces, value_set=self.known)
+        missing = pc.is_null(at)
+        fresh = pieces.filter(missing)
+        at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.used[at[at >= 0]] = self.clock
+        if len(fresh):
+            made = [self._piece(p) for p in fresh.to_pylist()]
+            at[missing.to_numpy(zero_copy_only=False)] = np.arange(len(fresh)) + len(self.known)
+            self._keep(
+                pa.concat_arrays([self.known, fresh.cast(pa.large_string())]),
+                np.concatenate([self.pool, np.frombuffer(b"".join(made), dtype="<u4")]),
+                np.concatenate([self.sizes, np.fromiter(map(len, made), dtype=np.int64, count=len(made)) >> 2]),
+                np.concatenate([self.used, np.full(len(made), self.clock)]),
+            )
+        return at
+
+    def _trim(self) -> None:
+        """Over the bound, the three quarters that were used last stay; freed Arrow memory goes back."""
+        if len(self.known) > self.most:
+            stay = np.sort(np.argsort(self.used, kind="stable")[-(self.most * 3 // 4):])
+            pool = self.pool[expand(self.starts[stay], self.sizes[stay])]
+            self._keep(self.known.take(pa.array(stay)), pool, self.sizes[stay], self.used[stay])
+        pa.default_memory_pool().release_unused()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, offsets of the texts); a null text is empty."""
@@ -83,35 +145,36 @@ class CachedEncoder:
         bounds = bounds - bounds[0]
         first = np.zeros(len(parts), dtype=bool)
         first[bounds[:-1]] = True
-        lead = _dictionary(parts.filter(pa.array(first)))
-        rest = _dictionary(parts.filter(pa.array(~first)))
-        units = np.empty(len(parts), dtype=np.int64)
-        units[first] = lead[1]
-        units[~first] = rest[1] + len(lead[0])
-        made = self.pieces(lead[0] + [" " + p for p in rest[0]])
-        sizes = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) >> 2
-        pool = np.frombuffer(b"".join(made), dtype="<u4")
-        starts = np.cumsum(sizes) - sizes
+        lead, lead_codes = _dictionary(parts.filter(pa.array(first)))
+        rest, rest_codes = _dictionary(parts.filter(pa.array(~first)))
+        distinct = pa.concat_arrays([lead, pc.binary_join_element_wise(pa.scalar("", pa.large_string()), rest, pa.scalar(" ", pa.large_string()))])
+        # A first piece and a later one are never equal: later ones begin with a space, such texts are not plain.
+        at = self.pieces(distinct)
+        units = np.empty(len(parts), dtype=np.int32)
+        units[first] = at[:len(lead)][lead_codes]
+        units[~first] = at[len(lead):][rest_codes]
+        sizes, starts, pool = self.sizes.astype(np.int32), self.starts, self.pool
         lengths = sizes[units]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         offsets = ends[bounds]
         out = np.empty(int(ends[-1]), dtype="<u4")
         for a in range(0, len(units), 500_000):  # bounded temporaries
             n = lengths[a:a + 500_000]
-            shift = starts[units[a:a + 500_000]] - (np.cumsum(n) - n)
+            shift = starts[units[a:a + 500_000]] - (np.cumsum(n, dtype=np.int64) - n)
             out[ends[a]:ends[min(a + 500_000, len(units))]] = pool[np.arange(int(n.sum())) + np.repeat(shift, n)]
+        self._trim()
         if special:
             out, offsets = _insert(out, offsets, special)
         return out, offsets
 
     def _hard(self, text: str, whole: bool) -> np.ndarray:
-        made = self._library([text]) if whole else self.pieces(WORDS.findall(text))
-        return np.frombuffer(b"".join(made), dtype="<u4")
+        made = self._library(text) if whole else b"".join(map(self._piece, WORDS.findall(text)))
+        return np.frombuffer(made, dtype="<u4")
 
 
-def _dictionary(parts: pa.Array) -> tuple[list[str], np.ndarray]:
+def _dictionary(parts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     coded = parts.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
 
 
 def _insert(out: np.ndarray, offsets: np.ndarray, special: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
