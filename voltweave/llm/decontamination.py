@@ -68,16 +68,15 @@ def phrase_matches(index: DataFrame, terms: DataFrame) -> DataFrame:
     """Every exact occurrence: doc_id, __row, start, n, phrase."""
     counts = index.groupBy("term").agg(F.count("*").alias("df"))
     ranked = terms.join(counts, "term", "left").groupBy("phrase").agg(
-        F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "place", "term", "n")).alias("rarest"),
-        F.collect_list(F.struct("place", "term")).alias("terms"),
+        F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "place", "term", "n")).alias("rarest"), F.count("*").alias("size"),
     ).where("rarest.df > 0")  # a term that is nowhere rules the phrase out
-    ranked = stage(ranked.select("phrase", "rarest.term", "rarest.place", "rarest.n", "terms"), "rarest")
+    # Narrow, so that it is broadcast as long as it is small; a frequent term then meets it without a shuffle.
+    ranked = stage(ranked.select("phrase", "rarest.term", "rarest.place", "rarest.n", "size"), "rarest")
     candidates = index.join(ranked, "term").select(
-        *ROW, (F.col("position") - F.col("place")).alias("start"), "phrase", "n",
-        F.explode(F.expr("filter(terms, t -> t.place != place or size(terms) = 1)")).alias("t"), F.size("terms").alias("size"),
-    ).where("start >= 0")
-    wanted = candidates.select(*ROW, "start", "phrase", "n", "size", F.col("t.place").alias("place"), F.col("t.term").alias("term"),
-                               (F.col("start") + F.col("t.place")).alias("position"))
+        *ROW, (F.col("position") - F.col("place")).alias("start"), "phrase", "n", "size", F.col("place").alias("known")).where("start >= 0")
+    others = terms.select("phrase", "place", "term")
+    wanted = candidates.join(others, "phrase").where("place != known or size = 1").select(
+        *ROW, "start", "phrase", "n", "size", "place", "term", (F.col("start") + F.col("place")).alias("position"))
     same = [F.col(f"w.{c}").eqNullSafe(F.col(f"i.{c}")) for c in ROW] + [F.col(f"w.{c}") == F.col(f"i.{c}") for c in ("position", "term")]
     met = wanted.alias("w").join(index.alias("i"), same, "left_semi")
     # The places found, as bits, so that repeated rows of a document count once.
@@ -116,14 +115,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     return stage(n_hit.alias("h").join(named.alias("n"), same).select("h.doc_id", "h.__row", "n_hit", "items"), "contamination")
 
 
-def with_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All rows of ``docs`` as columns d.*, with h.n_hit and h.items (null where nothing is hit)."""
-    hit = contamination(docs, items, window)
-    keyed = docs.withColumn("__row", F.xxhash64("text"))
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"h.{c}")) for c in ROW]
-    return keyed.alias("d").join(hit.alias("h"), same, "left")
-
-
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Every row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     counted = docs.select("doc_id", "text", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
