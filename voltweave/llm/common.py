@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+FILTER_BITS = 1 << 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +29,14 @@ def held_out(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -55,3 +65,25 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     before = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, lengths)
+
+
+def flag_maybe(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` with a column ``maybe``: false where the long column ``key`` is certainly not among those of ``keys``.
+
+    A bit filter of fixed size (``FILTER_BITS``): wide rows that a join would drop are not shuffled. Where the
+    keys outgrow it, it drops less; the join that follows decides.
+    """
+    words = keys.select(F.pmod("key", F.lit(FILTER_BITS)).alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).collect()  # at most FILTER_BITS / 64 rows
+    filled = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for r in words:
+        filled[r["word"]] = r["bits"]
+    shared = rows.sparkSession.sparkContext.broadcast(filled)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column("key").to_numpy() % FILTER_BITS
+            hit = (shared.value[bit // 64] >> (bit % 64)) & 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit.astype(bool))], names=[*batch.schema.names, "maybe"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("maybe", BooleanType())]))

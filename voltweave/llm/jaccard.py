@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.llm.common import bounded_slices, expand, partitions, pieces_of
+from voltweave.llm.common import bounded_slices, expand, flag_maybe, partitions, pieces_of
 from voltweave.llm.text_arrays import LOWERED, flat_bytes, mix, run_hashes, shingle_hashes, word_bounds
 from voltweave.sources.staging import stage
 
 SLICE_BYTES = 4 << 20
-BLOCK_SETS = 512
+BLOCK_SETS = 1024
+HEAD_PART = 4  # one in so many tokens of a head must be met: larger heads, tighter bounds
+NO_ID = 2**63 - 1  # stands for a null doc_id in joins
 SKETCH = "kind int, bucket int, doc_id long, row long, n long, d long, d2 long, blob binary"
 GATHERED = "kind int, doc_id long, row long, n long, d long, d2 long, token long"
 
@@ -36,7 +38,7 @@ def least_overlap(n, percent: int):
 
 def need(n, percent: int):
     """Tokens that the heads of two linked sets share at least, for the smaller size ``n`` of the two."""
-    return np.minimum(np.maximum(1, n // 10), least_overlap(n, percent))
+    return np.minimum(np.maximum(1, n // HEAD_PART), least_overlap(n, percent))
 
 
 def head(n, percent: int):
@@ -47,7 +49,7 @@ def head(n, percent: int):
 def _need_sql(n: str, percent: int) -> str:
     """``need`` for the smallest size a set linked with one of ``n`` can have."""
     m = f"(({percent} * {n} + 99) div 100)"
-    return f"least(greatest(1, {m} div 10), ({percent} * {m} + 99) div 100)"
+    return f"least(greatest(1, {m} div {HEAD_PART}), ({percent} * {m} + 99) div 100)"
 
 
 def text_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -232,8 +234,9 @@ def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     heads = shared_enough(posts).join(posts.groupBy("d").agg(F.mode("lead", True).alias("lead")), "d")
     heads = stage(heads.select("d", "n", "rep", "c", "lead"), "nodes")
 
-    wanted = heads.select(F.col("rep").alias("id")).distinct()
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("key")
+    wanted = heads.select(F.col("rep").alias("doc_id")).select(key).distinct()
+    texts = flag_maybe(rows.select(key, "text"), wanted).where("maybe").join(wanted, "key", "left_semi").select("text")
     full = texts.mapInArrow(_whole_sets(k), "d long, tokens binary").join(heads.select("d", "n", "lead"), "d")
     full = stage(full.dropDuplicates(["d"]), "whole-sets")
 

@@ -17,13 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.llm.common import bounded_slices, expand, partitions, pieces_of
+from voltweave.llm.common import bounded_slices, expand, flag_maybe, partitions, pieces_of
 from voltweave.llm.text_arrays import BASE, BYTE_CODES, flat_bytes, mix
 from voltweave.sources.staging import stage
 
 SLICE_BYTES = 2 << 20
 SEEN = 400_000  # spans or strings a task remembers, to settle copies before the shuffle
-FILTER_BITS = 1 << 24
 NO_ID = np.iinfo(np.int64).max  # documents without an id come last
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 PLACE = np.dtype([("group", "<u8"), ("name", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("more", "<i4")])
@@ -227,25 +226,6 @@ def _string_sender(length: int, buckets: int):
     return run
 
 
-def _maybe(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key may be among ``keys``: a bit filter of fixed size, so that other texts are not shuffled."""
-    words = keys.select(F.pmod("key", F.lit(FILTER_BITS)).alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).collect()  # at most FILTER_BITS / 64 rows
-    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for r in words:
-        table[r["word"]] = r["bits"]
-    shared = rows.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = batch.column("key").to_numpy() % FILTER_BITS
-            hit = (shared.value[bit // 64] >> (bit % 64)) & 1
-            yield batch.append_column("maybe", pa.array(hit.astype(bool))) if hasattr(batch, "append_column") else pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(hit.astype(bool))], names=[*batch.schema.names, "maybe"])
-
-    return rows.mapInArrow(run, "doc_id long, key long, text string, maybe boolean")
-
-
 def repeated_runs(rows: DataFrame, length: int = 100, gram: int = 32) -> DataFrame:
     """(doc, key, start, more): runs of starts whose strings also start earlier. ``rows`` has doc_id, key, text."""
     buckets = partitions(rows.sparkSession)
@@ -253,7 +233,7 @@ def repeated_runs(rows: DataFrame, length: int = 100, gram: int = 32) -> DataFra
     named = stage(sent.mapInArrow(_namer(False), RUNS), "spans")
     open_ = named.where("kind = 1").groupBy("key").agg(F.collect_set(F.struct("start", "more")).alias("s"))
     open_ = stage(open_.select("key", F.col("s.start").alias("starts"), F.col("s.more").alias("mores")), "open-spans")
-    texts = _maybe(rows, open_).where("maybe").select("doc_id", "key", "text").join(open_, "key").select("doc_id", "key", "text", "starts", "mores")
+    texts = flag_maybe(rows, open_).where("maybe").select("doc_id", "key", "text").join(open_, "key").select("doc_id", "key", "text", "starts", "mores")
     strings = texts.mapInArrow(_string_sender(length, buckets), SENT).repartition(buckets, "bucket").mapInArrow(_namer(True), RUNS)
     both = named.where("kind = 0").unionByName(strings.where("kind = 0"))
     return stage(both.select("doc", "key", "start", "more"), "runs")
@@ -291,7 +271,7 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     runs = repeated_runs(rows, length)
     per = stage(runs.groupBy("key").agg(F.collect_set(F.struct("start", "more")).alias("s")).select(
         "key", F.col("s.start").alias("starts"), F.col("s.more").alias("mores")), "removals")
-    flagged = _maybe(rows, per)
+    flagged = flag_maybe(rows, per)
     size = F.octet_length("text").cast("long")
     zero = F.lit(0).cast("long")
     same = flagged.where("not maybe").select("doc_id", size.alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
