@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from voltweave.llm.common import bounded_slices, held_out
+from voltweave.llm.common import bounded_slices, free_name, held_out
 from voltweave.llm.text_arrays import LOWERED, flat_bytes, run_hashes, word_bounds
 
 MOST_LABELLED = 8192  # rows with labels that are learned from, by the hash of their id
@@ -150,8 +150,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, label:
 
 
 def score(docs: DataFrame, voter: Voter, name: str = "__score") -> DataFrame:
-    """``docs`` with a score column; every other column is passed through."""
-    kept = docs.drop(name)
+    """``docs`` with a score column, whose name must be free; every other column is passed through."""
     shared = docs.sparkSession.sparkContext.broadcast(voter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +160,7 @@ def score(docs: DataFrame, voter: Voter, name: str = "__score") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(tool.score(term_weights(part.column("text"))))], names=[*part.schema.names, name])
 
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(name, DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -174,5 +173,5 @@ def report(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``threshold``, columns unchanged."""
-    names = docs.columns
-    return score(docs, learn(docs, labels)).where(F.col("__score") >= threshold).select(*[F.col(f"`{n}`") for n in names])
+    name = free_name(docs, "__score")
+    return score(docs, learn(docs, labels), name).where(F.col(name) >= threshold).select(*[F.col(f"`{n}`") for n in docs.columns])

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from voltweave.llm.common import bounded_slices
+from voltweave.llm.common import bounded_slices, free_name
 from voltweave.llm.encoding import encoder
 
 CACHE_SCHEMA = StructType([
@@ -62,7 +62,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str, text: str = "
     version = tokenizer_version(tokenizer_path)
     content = F.coalesce(F.col(text), F.lit(""))
     # The normal form of a content is its UTF-8 bytes, null as none: byte-exact, as tokenizers see spaces and case.
-    digested = docs.drop(count).withColumn("__digest", F.sha2(content.cast("binary"), 256))
+    own, n = free_name(docs, "__digest"), free_name(docs, "__n")
+    digested = docs.drop(count).withColumn(own, F.sha2(content.cast("binary"), 256))
     stored = read_cache(spark, cache).where(F.col("version") == version)
     missing = (
         docs.select(F.sha2(content.cast("binary"), 256).alias("digest"), content.alias("text"))
@@ -72,7 +73,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str, text: str = "
     missing.mapInArrow(_counter(tokenizer_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache)
     # After a crash between two appends an entry may be stored twice; equal entries are one.
     known = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("version") == version)
-    known = known.groupBy("digest").agg(F.max("n_tokens").alias("__n"))
-    joined = digested.join(known, digested["__digest"] == known["digest"], "left")
-    keep = [F.col(f"`{name}`") for name in docs.columns if name != count]
-    return joined.select(*keep, F.col("__n").alias(count))
+    known = known.groupBy("digest").agg(F.max("n_tokens").alias(n))
+    joined = digested.alias("d").join(known.alias("k"), F.col(f"d.{own}") == F.col("k.digest"), "left")
+    keep = [F.col(f"d.`{name}`") for name in docs.columns if name != count]
+    return joined.select(*keep, F.col(f"k.{n}").alias(count))
