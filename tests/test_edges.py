@@ -231,3 +231,29 @@ def test_strata_with_few_distinct_values(spark):
 def test_selection_ignores_case_unless_told(spark):
     assert columns.matching(["V_1", "v_2"], "^v_") == ["V_1", "v_2"]
     assert columns.matching(["V_1", "v_2"], "^v_", ignore_case=False) == ["v_2"]
+
+
+def test_stored_tables_of_a_block_are_removed(spark):
+    import os
+
+    from voltweave.sources.staging import scratch, stage
+
+    with scratch(spark):
+        kept = stage(spark.range(5), "block")
+        path = kept.inputFiles()[0].removeprefix("file://")
+        assert kept.count() == 5 and os.path.exists(path)
+    assert not os.path.exists(path)
+    assert stage(spark.range(3), "outside").count() == 3
+
+
+def test_windows_without_groups_refuse_row_level_input(spark):
+    from voltweave.operators import windows
+
+    rows = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 3.0), (None, 4.0)], "DATE int, x double")
+    for call in (windows.centred_roll, windows.lag_fill_self, windows.lag_fill_edge):
+        with pytest.raises(Exception, match="one row per DATE"):
+            call(rows, ["x"]).collect()
+        assert len(call(rows.where("x > 1"), ["x"]).collect()) == 3
+    with pytest.raises(Exception, match="one row per DATE"):
+        windows.delta(rows, "x").collect()
+    assert windows.centred_roll(rows, ["x"], partition_by=["x"]).count() == 4

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.functions.sql import over, quoted
+from voltweave.functions.sql import over, quoted, text_literal
 from voltweave.operators.order import CHUNK_ROWS, ordered_chunks
 from voltweave.sources.staging import stage
 
@@ -26,6 +26,19 @@ ROLL_HALF_WIDTHS = {"roll_1": 1, "roll_5": 2, "roll_7": 3}
 WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
+def daily_only(df: DataFrame, order: str, keys: list[str]) -> DataFrame:
+    """The frame as it is, but two rows of one date (per group) are refused when it is run.
+
+    Without groups the window runs in one task, which only a daily series may do. The check shares
+    the sort of the window that follows it.
+    """
+    if keys:
+        return df
+    message = f"window without groups needs one row per {order}: aggregate first, or give partition_by"
+    seen = df.selectExpr("*", f"lag({quoted(order)}) {over(order)} AS __before")
+    return seen.where(f"if(__before = {quoted(order)}, raise_error({text_literal(message)}), true)").drop("__before")
+
+
 def centred_roll(
     df: DataFrame,
     cols: list[str],
@@ -36,7 +49,7 @@ def centred_roll(
     """Mean over the rows up to ``h`` before and after; windows are partial at both ends."""
     keys = list(partition_by)
     widths = half_widths or ROLL_HALF_WIDTHS
-    return df.selectExpr("*", *[
+    return daily_only(df, order, keys).selectExpr("*", *[
         f"avg({quoted(col)}) {over(order, keys, f'ROWS BETWEEN {h} PRECEDING AND {h} FOLLOWING')} "
         f"AS {quoted(f'{col}_{suffix}')}"
         for col in cols
@@ -55,7 +68,7 @@ def shift_fill_self(
     """Lags and leads; where there is no such row the row's own value is used."""
     w = over(order, list(partition_by))
     shifts = [("lag", k) for k in lags] + [("lead", k) for k in leads]
-    return df.selectExpr("*", *[
+    return daily_only(df, order, list(partition_by)).selectExpr("*", *[
         f"coalesce({fn}({quoted(col)}, {k}) {w}, {quoted(col)}) AS {quoted(f'{col}_{fn}_{k}')}"
         for col in cols
         for fn, k in shifts
@@ -87,7 +100,7 @@ def shift_fill_edge(
     keys = list(partition_by)
     w, whole = over(order, keys), over(order, keys, WHOLE)
     values = ", ".join(f"double({quoted(col)})" for col in cols)
-    placed = df.selectExpr(
+    placed = daily_only(df, order, keys).selectExpr(
         "*", f"array({values}) AS __v", f"row_number() {w} AS __first",
         f"count(1) {whole} - row_number() {w} + 1 AS __last",
     )
@@ -123,7 +136,7 @@ def lead_fill_edge(df: DataFrame, cols: list[str], ks: Iterable[int] = (1, 2, 3,
 
 def delta(df: DataFrame, col: str, order: str = "DATE", partition_by: Iterable[str] = ()) -> DataFrame:
     before = f"lag({quoted(col)}, 1) {over(order, list(partition_by))}"
-    return df.selectExpr(
+    return daily_only(df, order, list(partition_by)).selectExpr(
         "*", f"{before} AS {quoted(f'{col}_lag_1')}", f"{quoted(col)} - {before} AS {quoted(f'{col}_delta_1')}"
     )
 
@@ -154,7 +167,7 @@ def acf(daily: DataFrame, col: str, max_lag: int | None = None, order: str = "DA
         daily = stage(daily.select(order, col), "daily")
         n = daily.where(F.col(col).isNotNull()).count()
         max_lag = max(min(n - 1, int(10 * math.log10(n))), 0) if n else 0
-    centred = daily.where(F.col(col).isNotNull()).selectExpr(
+    centred = daily_only(daily.where(F.col(col).isNotNull()), order, []).selectExpr(
         quoted(order), f"{quoted(col)} - avg({quoted(col)}) {over(order, (), WHOLE)} AS d"
     )
     lags = range(1, max_lag + 1)

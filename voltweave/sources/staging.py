@@ -5,16 +5,22 @@ things follow: a lost executor only costs the tasks it held, because the table l
 storage, and the table has a *known size*, so Spark picks a broadcast join exactly when the file
 size is below ``spark.sql.autoBroadcastJoinThreshold`` and a shuffled join otherwise. Nothing in
 this package hints a broadcast for a side whose size depends on the data.
+
+Stored tables stay until they are removed: those made inside a ``scratch`` block go at its end,
+``remove`` deletes any.
 """
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scratch: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -38,5 +44,25 @@ def materialise(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFr
 
 def stage(df: DataFrame, name: str = "table") -> DataFrame:
     """``materialise`` under a fresh folder of the session's shared staging root."""
-    root = staging_root(df.sparkSession)
-    return materialise(df, f"{root}/voltweave/{name}-{uuid.uuid4().hex}")
+    path = f"{staging_root(df.sparkSession)}/voltweave/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return materialise(df, path)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete stored tables through the file system they are in; missing ones are no error."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(hadoop).delete(where, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end; write or collect results before that."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        remove(spark, _scratch.pop())
