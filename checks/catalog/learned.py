@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import readings, rounded, sites, table, test, train, with_readings
+from voltweave.functions import calendar
 from voltweave.operators import joins
 from voltweave.plans import blocks, recipes, tables
 from voltweave.steps import (
@@ -365,7 +366,7 @@ MEASURES = ["LAT", "LON", *SERIES]
 PLAIN = "ID, " + ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in MEASURES) + ", dayofyear(DATE)::INTEGER AS DATE_doy"
 LABELS = ", ".join(f"(strftime(DATE, '%b') = '{m}')::INTEGER AS DATE_month_{m}" for m in MONTHS[1:]) + ", " + ", ".join(
     f"(strftime(DATE, '%a') = '{d}')::INTEGER AS DATE_dow_{d}" for d in DAYS[1:])
-SEASONS = ", ".join(f"(month(DATE) IN {months})::INTEGER AS {name}" for name, months in recipes.SEASONS.items())
+SEASONS = ", ".join(f"(month(DATE) IN {tuple(months)})::INTEGER AS {name}" for name, months in calendar.SEASON_MONTHS.items())
 
 
 def baked_rounded(name: str):
