@@ -257,3 +257,10 @@ def test_windows_without_groups_refuse_row_level_input(spark):
     with pytest.raises(Exception, match="one row per DATE"):
         windows.delta(rows, "x").collect()
     assert windows.centred_roll(rows, ["x"], partition_by=["x"]).count() == 4
+
+
+def test_correlation_filter_without_a_complete_row(spark):
+    from voltweave.steps import CorrelationFilter
+
+    halves = spark.createDataFrame([(float(i), None) if i % 2 else (None, float(i)) for i in range(10)], "a double, b double")
+    assert CorrelationFilter(cols=["a", "b"]).fit(halves).transform(halves).columns == ["a", "b"]

@@ -176,8 +176,10 @@ class YeoJohnson(FeatureStep):
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], method: str = "spearman") -> list[list[float]]:
-    """Correlations over the rows where every column is present."""
+    """Correlations over the rows where every column is present; NaN between columns if there is no such row."""
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    if complete.isEmpty():
+        return [[1.0 if a == b else math.nan for b in cols] for a in cols]
     vectors = VectorAssembler(inputCols=cols, outputCol="__x").transform(complete).select("__x")
     return Correlation.corr(vectors, "__x", method).first()[0].toArray().tolist()
 
