@@ -450,6 +450,74 @@ def test_language_model_is_a_distribution():
         assert math.isclose(language_model._predict(made, totals, vocabulary, every, np.full(len(every), c)).sum(), 1.0, rel_tol=1e-9)
 
 
+def plain_tables(counts, vocabulary, sweeps, seed):
+    """Tables of one context, customers seated and re-seated one at a time, after each sweep."""
+    rng, (d, theta), (d0, theta0) = np.random.default_rng(seed), language_model.CONTEXT, language_model.PARENT
+    rooms, parents = [[] for _ in counts], [[] for _ in counts]
+
+    def pick(sizes, less, new):
+        at = rng.random() * (sum(sizes) - less * len(sizes) + new)
+        for i, x in enumerate(sizes):
+            at -= x - less
+            if at < 0:
+                return i
+        return len(sizes) if new else len(sizes) - 1
+
+    def enter(tables, at):
+        if at < len(tables):
+            tables[at] += 1
+            return False
+        tables.append(1)
+        return True
+
+    def leave(tables):
+        at = pick(tables, 0, 0)
+        tables[at] -= 1
+        if not tables[at]:
+            tables.pop(at)
+            return True
+        return False
+
+    def add(w):
+        base = (theta0 + d0 * sum(map(len, parents))) / (vocabulary + 1)
+        p = (sum(parents[w]) - d0 * len(parents[w]) + base) / (theta0 + sum(map(sum, parents)))
+        if enter(rooms[w], pick(rooms[w], d, (theta + d * sum(map(len, rooms))) * p)):
+            enter(parents[w], pick(parents[w], d0, base))
+
+    for k in range(max(counts)):
+        for w in range(len(counts)):
+            if counts[w] > k:
+                add(w)
+    made = []
+    for _ in range(sweeps):
+        for w in range(len(counts)):
+            for _ in range(counts[w]):
+                if leave(rooms[w]):
+                    leave(parents[w])
+                add(w)
+        made.append([len(x) for x in rooms])
+    return np.array(made)
+
+
+def test_language_model_seats_every_customer():
+    """Frequent and rare words of one context have as many tables as one-at-a-time seating gives them."""
+    counts = [1500, 400, 60, 20] + [3] * 20 + [1] * 100
+    word, cls = np.arange(len(counts)), np.zeros(len(counts), dtype=np.int64)
+    want = np.mean([plain_tables(counts, len(counts), 5, s)[2:].mean(axis=0) for s in range(8)], axis=0)
+    got = np.mean([np.mean([t for t, _, _ in language_model.seatings(word, cls, np.array(counts), len(counts), 1.0, len(counts), s)], axis=0)
+                   for s in range(30)], axis=0)
+    assert math.isclose(got[:2].sum(), want[:2].sum(), rel_tol=0.4) and math.isclose(got[4:24].sum(), want[4:24].sum(), rel_tol=0.1)
+    assert math.isclose(got.sum(), want.sum(), rel_tol=0.1)
+
+
+def test_language_model_tables_grow_with_customers():
+    rng = np.random.default_rng(4)
+    others = rng.integers(1, 4, 3000)
+    tables = [np.mean([t[0] for t, _, _ in language_model.seatings(
+        np.arange(3001), np.zeros(3001, dtype=np.int64), np.concatenate([[n], others]), 3001, 1.0, 3001, 1)]) for n in (1_000, 100_000)]
+    assert tables[1] > 2 * tables[0] and tables[1] > 68, tables
+
+
 def test_language_model_frequent_words_make_no_difference(spark, docs):
     frame = spark.createDataFrame(list(docs.items())[:60], "doc_id long, text string")
     a, b = (language_model.score_texts(frame, n).toPandas().set_index("doc_id").sort_index() for n in (5, 100_000))
