@@ -166,6 +166,26 @@ def test_neighbours_recall_with_many_leaves(spark):
     assert hit / len(got) >= 0.9
 
 
+def test_neighbours_of_outliers_are_k(spark):
+    """Most rows lie in six groups of copies, so one leaf suffices for them; small groups beside them get 20 neighbours too."""
+    rng = np.random.default_rng(5)
+    x = np.eye(16)[np.arange(4800) % 6]
+    few = np.arange(6) * 40
+    for j, q in enumerate(few):
+        x[q:q + 6] = np.eye(16)[6 + j] + rng.standard_normal((6, 16)) * 0.01
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    from pyspark.sql import functions as F
+
+    got = neighbours.search(rows, F.col("id") % 20 == 0, 20, leaf_rows=64).toPandas()
+    assert got.groupby("query_id").size().to_dict() == {q: 20 for q in range(0, 4800, 20)}
+    hit = 0
+    for q, own in got.groupby("query_id"):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += (np.sort(score[own.vec_id]) >= np.sort(score)[-20:] - 1e-9).sum()  # copies are as good as each other
+    assert hit / (20 * 240) >= 0.9
+
+
 def test_neighbours_odd_rows(spark):
     from pyspark.sql import functions as F
 

@@ -3,7 +3,8 @@
 The tree is fitted on a bounded sample and holds every vector in one leaf. A query walks it best bin
 first: a priority queue of nodes by the distance of their centres, opened nearest first, gives the order
 in which it would visit the leaves. How many leaves are visited is calibrated: queries with known exact
-neighbours widen the visit until the wanted recall is reached. Inner products become distances by one
+neighbours widen the visit until the wanted recall is reached. A query whose leaves hold too few rows goes on
+until they hold enough. Inner products become distances by one
 more coordinate that brings all vectors to the same norm.
 """
 
@@ -81,15 +82,16 @@ class Tree:
                 at[own] = np.array(below)[np.argmin(far[np.ix_(own, below)], axis=1)]
         return np.array([self.leaf_of[n] for n in at], dtype=np.int64)
 
-    def visits(self, x: np.ndarray, most: int) -> list[list[int]]:
-        """The first ``most`` leaves of each query, best bin first."""
+    def visits(self, x: np.ndarray, least: int, sizes: np.ndarray, rows: int) -> list[list[int]]:
+        """The first leaves of each query, best bin first: ``least`` of them, and more until they hold ``rows`` rows."""
         made = []
         for far in self._distances(self.lift(x, query=True)):
-            queue, order = [(far[0], 0)], []
-            while queue and len(order) < most:
+            queue, order, held = [(far[0], 0)], [], 0
+            while queue and (len(order) < least or held < rows):
                 _, node = heapq.heappop(queue)
                 if not self.children[node]:
                     order.append(self.leaf_of[node])
+                    held += sizes[order[-1]]
                 for child in self.children[node]:
                     heapq.heappush(queue, (far[child], child))
             made.append(order)
@@ -199,7 +201,7 @@ def calibrated_visits(index: DataFrame, tree: Tree, is_query: Column, k: int, wi
     if not len(ids):
         return 1
     true = exact_neighbours(index, ids, queries, k).select("query_id", "leaf").collect()  # k rows for each of ``most`` queries
-    orders = {q: {leaf: n for n, leaf in enumerate(order)} for q, order in zip(ids.tolist(), tree.visits(queries, len(tree.leaf_nodes)))}
+    orders = {q: {leaf: n for n, leaf in enumerate(order)} for q, order in zip(ids.tolist(), tree.visits(queries, len(tree.leaf_nodes), np.zeros(len(tree.leaf_nodes), dtype=np.int64), 0))}
     places = np.array([orders[r["query_id"]][r["leaf"]] for r in true])
     visits = 1
     while len(places) and (places < visits).mean() < recall:
@@ -237,11 +239,14 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id
 
     index = stage(vectors.select("id", "v").mapInArrow(place, "id long, leaf int, v binary"), "index")
     visits = calibrated_visits(index, tree, is_query, k, width, recall)
+    leaf_sizes = np.zeros(len(tree.leaf_nodes), dtype=np.int64)
+    for row in index.groupBy("leaf").count().collect():  # leaves are bounded by the sample
+        leaf_sizes[row["leaf"]] = row["count"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                orders = shared.value.visits(_matrix(b.column("v"), width), visits)
+                orders = shared.value.visits(_matrix(b.column("v"), width), visits, leaf_sizes, k + 1)  # itself and k others
                 yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(orders, pa.list_(pa.int32()))], names=["query_id", "q", "leaves"])
 
     walked = stage(index.where(is_query).select("id", "v").mapInArrow(walk, "query_id long, q binary, leaves array<int>"), "walks")
