@@ -35,7 +35,8 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-from voltweave.llm import decontamination, jaccard, language_model, neighbours, packing, quality, repeats, secret_scan, token_counts, token_files  # noqa: E402
+from voltweave.llm import centroids, decontamination, filter_audit, jaccard, language_model, neighbours, packing, quality  # noqa: E402
+from voltweave.llm import repeats, secret_scan, simhash, token_counts, token_files  # noqa: E402
 
 
 @query("op1_jaccard_join")
@@ -92,3 +93,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), 2, 1024)
+
+
+@query("op11_filter_audit", filter_audit.REPORT_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_simhash_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"), k=3, radius=2)
+
+
+@query("op13_sharded_lloyd", centroids.CLUSTER_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
