@@ -35,6 +35,7 @@ PARTITIONS = (3, 2)  # numbers of partitions that are weighed up
 PROBE_COST = 16  # a probe costs as much as so many candidates
 CROWDED = 128
 FINGERPRINTS_AT_ONCE = 1 << 14
+ROW_NUMBERS = 64
 
 
 def fingerprint(text: str, k: int) -> int:
@@ -76,21 +77,25 @@ def _ball(bits: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(bits), r)], dtype=np.uint64).view(np.int64)
 
 
-def _summed(classes: DataFrame, count, schema: str) -> DataFrame:
-    """Adds up ``count(fps)``, pairs of a key and a number, over all fingerprints; a task sends a row per key."""
+def _summed(classes: DataFrame, count, size: int) -> np.ndarray:
+    """The sum of the ``size`` numbers ``count(fps)`` over all fingerprints; a task sends them in rows of ``ROW_NUMBERS``."""
+    names = [f"v{i}" for i in range(ROW_NUMBERS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total = np.zeros(-(-size // ROW_NUMBERS) * ROW_NUMBERS)
         for batch in batches:
             fps = batch.column("fp").to_numpy().view(np.uint64)
             for a in range(0, len(fps), FINGERPRINTS_AT_ONCE):
-                made = count(fps[a:a + FINGERPRINTS_AT_ONCE])
-                total = made if total is None else total + made
-        if total is not None:
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+                total[:size] += count(fps[a:a + FINGERPRINTS_AT_ONCE])
+        rows = total.reshape(-1, ROW_NUMBERS)
+        at = np.flatnonzero(rows.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(np.ascontiguousarray(c)) for c in rows[at].T)], names=["at", *names])
 
-    return classes.select("fp").mapInArrow(run, schema).groupBy("at").agg(F.sum("n").alias("n"))
+    sent = classes.select("fp").mapInArrow(run, ", ".join(["at long", *(f"{n} double" for n in names)]))
+    out = np.zeros((-(-size // ROW_NUMBERS), ROW_NUMBERS))
+    for row in sent.groupBy("at").agg(*[F.sum(n) for n in names]).collect():  # size / ROW_NUMBERS rows at most
+        out[row["at"]] = row[1:]
+    return out.ravel()[:size]
 
 
 def bit_correlations(classes: DataFrame) -> np.ndarray:
@@ -98,11 +103,9 @@ def bit_correlations(classes: DataFrame) -> np.ndarray:
 
     def together(fps: np.ndarray) -> np.ndarray:
         bits = np.stack([(fps >> np.uint64(b) & np.uint64(1)) for b in range(BITS)], axis=1).astype(np.float64)
-        return np.concatenate([(bits.T @ bits).ravel(), [len(fps)]]).astype(np.int64)
+        return np.concatenate([(bits.T @ bits).ravel(), [len(fps)]])
 
-    found = np.zeros(BITS * BITS + 1)
-    for row in _summed(classes, together, "at long, n long").collect():  # BITS * BITS + 1 rows at most
-        found[row["at"]] = row["n"]
+    found = _summed(classes, together, BITS * BITS + 1)
     n, both = max(found[-1], 1), found[:-1].reshape(BITS, BITS)
     share = np.diag(both) / n
     spread = np.sqrt(share * (1 - share))
@@ -204,14 +207,11 @@ def make_plan(classes: DataFrame, radius: int) -> Plan:
     r = bit_correlations(classes)
     plans = [Plan(bit_partitions(r, m), radius) for m in PARTITIONS]
     sizes = [len(p.flat) << HISTOGRAM_BITS for p in plans]
-    counts = np.zeros(sum(sizes), dtype=np.int64)
-    for row in _summed(classes, lambda fps: np.concatenate([p.count(fps) for p in plans]), "at long, n long").collect():
-        counts[row["at"]] = row["n"]  # a row per bin at most: of a fixed number
+    counts = _summed(classes, lambda fps: np.concatenate([p.count(fps) for p in plans]), sum(sizes))
     for plan, own in zip(plans, np.split(counts, np.cumsum(sizes)[:-1])):
         plan.learn(own)
-    spent = _summed(classes, lambda fps: np.array([p.thresholds(fps)[1].sum() for p in plans]), "at long, n double").collect()
-    cost = {row["at"]: row["n"] for row in spent}  # a row per plan
-    return plans[min(range(len(plans)), key=lambda i: cost.get(i, 0.0))]
+    spent = _summed(classes, lambda fps: np.array([p.thresholds(fps)[1].sum() for p in plans]), len(plans))
+    return plans[int(spent.argmin())]
 
 
 def _published(plan: Plan, probing: bool):
