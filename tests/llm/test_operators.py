@@ -332,18 +332,38 @@ def test_packing_of_ties(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.tuples(st.integers(1, 12), st.booleans()), max_size=30))
-def test_sweep_is_best_fit(items):
-    items.sort()
-    size, gap = np.array([s for s, _ in items], dtype=np.int64), np.array([g for _, g in items], dtype=bool)
-    got = dict(zip(*(x.tolist() for x in packing.sweep(size, gap)))) if items else {}
-    free, expected = [], {}
-    for k, (_, is_gap) in enumerate(items):
-        if not is_gap:
-            free.append(k)
-        elif free:
-            expected[free.pop()] = k
-    assert got == expected
+@given(st.lists(st.integers(1, 12), max_size=30), st.lists(st.integers(1, 30), max_size=20))
+def test_sweep_is_best_fit(pieces, gaps):
+    """Gap by gap from the smallest: the largest piece that fits, and as many of that size as fit."""
+    free, expected = collections.Counter(pieces), []
+    for gap in sorted(gaps):
+        fits = [s for s in +free if s <= gap]
+        if fits:
+            run = min(gap // max(fits), free[max(fits)])
+            free[max(fits)] -= run
+            expected.append((gap, max(fits), run))
+    found = packing.sweep(collections.Counter(pieces), collections.Counter(gaps))
+    assert sorted((g, s, run) for g, s, run, n in found for _ in range(n)) == sorted(expected)
+
+
+@pytest.mark.parametrize("lengths", [[7] * 3000, list(range(1, 1025)) * 3, [1 + i * i % 700 for i in range(3000)], [512] * 7, [1024, 1]])
+def test_packing_rounds(spark, lengths):
+    """Every piece once, no gap between pieces, close to best-fit decreasing, few rounds for many pieces a sequence."""
+    frame = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], packing.PIECES)
+    before = packing.stage
+    rounds = []
+    packing.stage = lambda df, name: rounds.append(name) or before(df, name)
+    try:
+        rows = packing.best_fit(frame.repartition(5), 1024, ranges=3).collect()
+    finally:
+        packing.stage = before
+    assert sorted((r["doc_id"], r["length"], r["ids_crc32"]) for r in rows) == [(i, n, i) for i, n in enumerate(lengths)]
+    used = collections.Counter()
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == used[r["sequence_id"]]
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 1024 and len(used) <= 1.01 * best_fit_decreasing(lengths) + 1
+    assert rounds.count("taken") <= 15
 
 
 # -- 4 -------------------------------------------------------------------------------------------------------------

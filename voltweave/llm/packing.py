@@ -1,16 +1,20 @@
 """Best-fit packing of token sequences, as bulk-synchronous rounds.
 
-A round range-sorts the waiting pieces and the open gaps by size in one table and sweeps every range:
-a gap takes the largest piece that fits and is still free. What a range leaves over (gaps too small for
-its pieces, pieces above its gaps) is matched across ranges from the counts of the ranges alone, by
-rank: piece and gap of one rank in a segment meet in a join. The gaps shrink and the next round begins.
-When no piece fits any gap, the largest waiting pieces open as many sequences as the waiting tokens
-fill, and the rounds go on until nothing waits.
+Waiting pieces and open gaps are range-sorted by size and numbered within their size, whatever ranges a
+size is spread over. A round sweeps the sizes upwards: every gap takes the largest piece that fits and is
+still free, and of that size as many as fit, as one run. Sizes are whole numbers up to the limit, so the
+sweep needs the counts by size alone and gives stretches of numbers: gaps so-and-so of one size take runs
+from piece so-and-so on of another. Each task finds the run of its gaps by their numbers, so no two gaps
+claim a piece. The gaps shrink, are sorted again, and the next round begins. A run leaves less than half of
+its gap, so the rounds grow with the logarithm of the limit, not with the pieces. When no piece fits any gap,
+as many sequences open as the waiting tokens fill. Pieces are not moved before the end, when they meet their
+runs by size and number.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -20,15 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.llm.common import bounded_slices, partitions
+from voltweave.llm.common import bounded_slices, expand, partitions
 from voltweave.llm.encoding import encoder
 from voltweave.sources.staging import stage
 
 SLICE_BYTES = 8 << 20
-HASH_CELLS = 4096
 PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long"
-ITEM = "size long, is_gap boolean, id long, doc_id long, piece long, start long, ids_crc32 long"
-SWEPT = ITEM + ", sequence_id long, taken long, range long, rank long"
+TAKEN = "id long, size long, piece_size long, first long, run long"
 
 
 def _cutter(path: str, end_id: int, limit: int):
@@ -63,162 +65,167 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int)
     )
 
 
-def sweep(sizes: np.ndarray, is_gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Match pieces to gaps of one range; ``sizes`` ascend, and of equal sizes pieces come first.
+def sweep(pieces: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """Match counts by size: a list of (gap size, piece size, run, number of gaps), in the order in which numbers are given.
 
-    Returns the row numbers of matched pieces and of their gaps. Like brackets: going up, a piece opens
-    and a gap closes the last one opened, which is the largest piece that fits and is still free.
+    Like brackets: going up, the pieces of a size open and a gap closes those opened last, the largest that
+    fit it; it takes a run of them. The last gap of a size of pieces may find a shorter run.
     """
-    depth = np.cumsum(np.where(is_gap, -1, 1))
-    floor = np.minimum(np.minimum.accumulate(depth), 0)
-    before = np.concatenate([[0], floor[:-1]])
-    free = is_gap & (floor < before)  # a gap that finds nothing below it
-    level = depth - floor + is_gap  # the level a bracket opens or closes, unmatched gaps aside
-    rows = np.flatnonzero(~free)
-    order = rows[np.lexsort((rows, level[rows]))]
-    kind, lev = is_gap[order], level[order]
-    hit = np.flatnonzero(~kind[:-1] & kind[1:] & (lev[:-1] == lev[1:])) if len(order) > 1 else np.empty(0, dtype=np.int64)
-    return order[hit], order[hit + 1]
-
-
-def _sweep_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matched pieces get their gap's id and size; the rest gets its rank among what the range leaves over."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    whole = pa.Table.from_batches(got).combine_chunks()
-    size, ids = whole.column("size").to_numpy(), whole.column("id").to_numpy()
-    is_gap = whole.column("is_gap").to_numpy(zero_copy_only=False)
-    pieces, gaps = sweep(size, is_gap)
-    sequence, taken = np.zeros(len(size), dtype=np.int64), np.full(len(size), -1, dtype=np.int64)
-    sequence[pieces], taken[pieces] = ids[gaps], size[gaps]
-    left = taken < 0
-    left[gaps] = False
-    rank = np.zeros(len(size), dtype=np.int64)
-    free_gaps, free_pieces = np.flatnonzero(left & is_gap), np.flatnonzero(left & ~is_gap)
-    rank[free_gaps] = np.arange(len(free_gaps))  # smallest first
-    rank[free_pieces] = np.arange(len(free_pieces))[::-1]  # largest first
-    keep = np.ones(len(size), dtype=bool)
-    keep[gaps] = False  # what is left of a used gap follows from its piece
-    own = TaskContext.get().partitionId()
-    table = whole.append_column("sequence_id", pa.array(sequence, mask=taken < 0))
-    table = table.append_column("taken", pa.array(taken, mask=taken < 0))
-    table = table.append_column("range", pa.array(np.full(len(size), own, dtype=np.int64)))
-    table = table.append_column("rank", pa.array(rank))
-    yield from table.filter(pa.array(keep)).to_batches()
-
-
-def segments(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """Match leftovers across ranges: from (range, gaps, pieces), in order, to
-    (gap range, first gap rank, piece range, first piece rank, number). One entry per range goes in."""
-    waiting: list[list[int]] = []  # range, pieces left, next rank
+    waiting: list[list[int]] = []  # size, pieces left
     made = []
-    for own, gaps, pieces in sorted(counts):
-        at = 0
-        while at < gaps and waiting:
-            top = waiting[-1]
-            n = min(gaps - at, top[1])
-            made.append((own, at, top[0], top[2], n))
-            at, top[1], top[2] = at + n, top[1] - n, top[2] + n
-            if not top[1]:
+    for size in sorted({*pieces, *gaps}):
+        if pieces.get(size):
+            waiting.append([size, pieces[size]])
+        free = gaps.get(size, 0)
+        while free and waiting:
+            own, left = waiting[-1]
+            run = min(size // own, left)
+            n = min(free, left // run)
+            made.append((size, own, run, n))
+            free -= n
+            waiting[-1][1] -= n * run
+            if not waiting[-1][1]:
                 waiting.pop()
-        if pieces:
-            waiting.append([own, pieces, 0])
     return made
 
 
+class Numbers:
+    """Numbers of rows within their size, from the places that ``numbered`` gives."""
+
+    def __init__(self, counts: list[tuple[int, int, int]]):
+        """``counts``: (range, size, rows); a row per range and one per size at most, if the table is range-sorted."""
+        self.totals: Counter[int] = Counter()
+        rows = []
+        for own, size, n in sorted(counts):
+            rows.append((own, size, self.totals[size]))
+            self.totals[size] += n
+        self.table = np.array(rows, dtype=np.int64).reshape(-1, 3)
+        self.width = int(self.table[:, 1].max(initial=0)) + 1
+        self.keys = self.table[:, 0] * self.width + self.table[:, 1]
+
+    def of(self, own: np.ndarray, size: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return self.table[np.searchsorted(self.keys, own * self.width + size), 2] + place
+
+
+def numbered(rows: DataFrame, size: str, ranges: int, name: str) -> tuple[DataFrame, Numbers]:
+    """``rows`` range-sorted by ``size`` and id and stored, with their range and their place in its rows of that size."""
+    fields = [*rows.columns, "range", "place"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, count = -1, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = batch.column(size).to_numpy()
+            at = np.arange(len(sizes))
+            first = np.maximum.accumulate(np.where(np.diff(sizes, prepend=-1) != 0, at, 0))
+            place = at - first + np.where((first == 0) & (sizes == last), count, 0)
+            last, count = int(sizes[-1]), int(place[-1]) + 1
+            own = np.full(len(sizes), TaskContext.get().partitionId(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own), pa.array(place)], names=fields)
+
+    schema = ", ".join([*(f"{c} {t}" for c, t in rows.dtypes), "range long", "place long"])
+    stored = stage(rows.repartitionByRange(ranges, size, "id").sortWithinPartitions(size, "id").mapInArrow(run, schema), name)
+    counts = stored.groupBy("range", size).agg(F.count("*").alias("n")).collect()  # ranges + sizes rows at most
+    return stored, Numbers([tuple(r) for r in counts])
+
+
+def _take(found: list[tuple[int, int, int, int]], used: dict[int, int], numbers: Numbers | None, base: int):
+    """Gives every gap its run by its number; gaps without one have run 0. ``used``: pieces taken so far, by size."""
+    rows, taken, done = [], dict(used), Counter()
+    for size, own, run, n in found:
+        rows.append((size, done[size], n, own, taken.get(own, 0), run))
+        done[size] += n
+        taken[own] = taken.get(own, 0) + n * run
+    table = np.array(sorted(rows), dtype=np.int64).reshape(-1, 6)  # at most two rows per size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, ids = batch.column("size").to_numpy(), batch.column("id").to_numpy()
+            number = numbers.of(batch.column("range").to_numpy(), size, batch.column("place").to_numpy()) if numbers else ids - base
+            # The last stretch of the gap's size that does not begin behind it.
+            low, high = np.searchsorted(table[:, 0], size, "left"), np.searchsorted(table[:, 0], size, "right")
+            at = np.full(len(size), -1, dtype=np.int64)
+            for value in np.unique(size[high > low]):
+                own = np.flatnonzero(size == value)
+                a, b = low[own[0]], high[own[0]]
+                at[own] = a + np.searchsorted(table[a:b, 1], number[own], "right") - 1
+            row = table[at] if len(table) else np.zeros((len(size), 6), dtype=np.int64)
+            inside = number - row[:, 1]
+            hit = (at >= 0) & (inside < row[:, 2])
+            first = np.where(hit, row[:, 4] + inside * row[:, 5], 0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("size"), pa.array(np.where(hit, row[:, 3], 0)), pa.array(first), pa.array(np.where(hit, row[:, 5], 0))],
+                names=["id", "size", "piece_size", "first", "run"])
+
+    return run, taken
+
+
+def _runs(limit: int):
+    """A row per piece of every run: its size and number, its sequence, its place there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, own, first, runs = (batch.column(c).to_numpy() for c in ("size", "piece_size", "first", "run"))
+            at, number = np.repeat(np.arange(len(runs)), runs), expand(first, runs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own[at]), pa.array(number), batch.column("id").take(pa.array(at)), pa.array(limit - size[at] + (number - first[at]) * own[at])],
+                names=["length", "number", "sequence_id", "offset"])
+
+    return run
+
+
+def _with_number(numbers: Numbers):
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = numbers.of(*(batch.column(c).to_numpy() for c in ("range", "length", "place")))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(number)], names=[*names, "number"])
+
+    return run
+
+
 def best_fit(pieces: DataFrame, limit: int, ranges: int | None = None) -> DataFrame:
     """Give every piece (columns of ``PIECES``) a ``sequence_id`` and an ``offset``; no sequence exceeds ``limit``.
 
-    Pieces of more than half the limit open a sequence each. Equal sizes are ordered by row number.
+    Pieces of more than half the limit open a sequence each. Equal sizes are taken in the order of row numbers.
     Repeated rows are packed one by one, a null doc_id like any other. An empty table gives an empty result.
+    The driver holds counts by size, at most ``limit``, and a row per range.
     """
     spark = pieces.sparkSession
     ranges = ranges or partitions(spark)
-    numbered = stage(pieces.withColumn("id", F.monotonically_increasing_id()), "pieces")
-    names = ["doc_id", "piece", "start", "ids_crc32"]
-    opens = F.col("length") * 2 > limit
-    size = F.col("length").alias("size")
-    placed = [numbered.where(opens).select(*names, size, F.col("id").alias("sequence_id"), F.lit(limit).cast("long").alias("taken"))]
-    gaps = numbered.where(opens & (F.col("length") < limit)).select((limit - F.col("length")).alias("size"), "id")
-    waiting = numbered.where(~opens).select(size, "id", *names)
-    while True:
-        sizes = {r["size"]: r["n"] for r in waiting.groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most ``limit`` rows
-        if not sizes:
-            break
-        largest = gaps.agg(F.max("size")).first()[0] or 0
-        if largest < min(sizes):
-            opened, waiting = _open(waiting, sizes, limit)
-            placed.append(opened)
-            gaps = opened.select((F.col("taken") - F.col("size")).alias("size"), F.col("sequence_id").alias("id"))
-            continue
-        swept, across = _round(waiting, gaps.where(F.col("size") >= min(sizes)), ranges)
-        met = [x.select(*names, "size", "sequence_id", "taken") for x in (swept.where("taken is not null"), across.where("taken is not null"))]
-        placed += met
-        used = met[0].unionByName(met[1]).where("taken > size").select(
-            (F.col("taken") - F.col("size")).alias("size"), F.col("sequence_id").alias("id"))
-        gaps = across.where("is_gap and taken is null").select("size", "id").unionByName(used)
-        waiting = across.where("not is_gap and taken is null").select("size", "id", *names)
-    whole = reduce(DataFrame.unionByName, placed)
-    return whole.select("doc_id", "piece", "start", F.col("size").alias("length"), "ids_crc32", "sequence_id",
-                        (limit - F.col("taken")).alias("offset"))
-
-
-def _round(waiting: DataFrame, gaps: DataFrame, ranges: int) -> tuple[DataFrame, DataFrame]:
-    """One sweep of all ranges, and the leftovers after the match across ranges, both stored."""
-    both = waiting.withColumn("is_gap", F.lit(False)).unionByName(gaps.withColumn("is_gap", F.lit(True)), allowMissingColumns=True)
-    order = ["size", "is_gap", "id"]
-    swept = stage(
-        both.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-        .select("size", "is_gap", "id", "doc_id", "piece", "start", "ids_crc32").mapInArrow(_sweep_range, SWEPT), "swept")
-    left = swept.where("taken is null")
-    counts = left.groupBy("range").agg(F.count_if("is_gap").alias("g"), F.count_if(~F.col("is_gap")).alias("p")).collect()  # a row per range
-    made = segments([tuple(r) for r in counts])
-    spark = waiting.sparkSession
-    tables = []
-    for gap_side in (True, False):
-        first = 0 if gap_side else 2
-        # At most two segments per range: bounded by the number of sort partitions.
-        rows = [(m[first], k, m[first + 1], m[4]) for k, m in enumerate(made)]
-        part = F.broadcast(spark.createDataFrame(rows, "range long, segment long, from long, n long"))
-        side = left.where(F.col("is_gap") == gap_side)
-        inside = (F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("from") + F.col("n"))
-        tables.append(side.alias("s").join(part.alias("p"), (F.col("s.range") == F.col("p.range")) & inside, "left").select(
-            "s.*", "segment", (F.col("rank") - F.col("from")).alias("place")))
-    g = tables[0].where("segment is not null").select("segment", "place", F.col("id").alias("__gap"), F.col("size").alias("__size"))
-    met = tables[1].where("segment is not null").drop("sequence_id", "taken").join(g, ["segment", "place"])
-    names = ["size", "is_gap", "id", "doc_id", "piece", "start", "ids_crc32"]
-    across = met.select(*names, F.col("__gap").alias("sequence_id"), F.col("__size").alias("taken"))
-    for side in tables:
-        across = across.unionByName(side.where("segment is null").select(*names, "sequence_id", "taken"))
-    return swept, stage(across, "across")
-
-
-def _open(waiting: DataFrame, sizes: dict[int, int], limit: int) -> tuple[DataFrame, DataFrame]:
-    """Sequences for the largest waiting pieces, as many as the waiting tokens fill; and the rest.
-
-    Of the size at the border no more than needed are taken, by hash of the row number, and one in any case;
-    what is missing is opened in a later round.
-    """
-    need = -(-sum(s * n for s, n in sizes.items()) // limit)
-    for border in sorted(sizes, reverse=True):
-        if sizes[border] >= need:
-            break
-        need -= sizes[border]
-    cell = F.pmod(F.xxhash64("id"), F.lit(HASH_CELLS))
-    ties = waiting.where(F.col("size") == border).groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min("id").alias("id"))
-    cells = sorted((r["cell"], r["n"], r["id"]) for r in ties.collect())  # at most HASH_CELLS rows
-    last, taken = -1, 0
-    for number, n, _ in cells:
-        if taken + n > need:
-            break
-        last, taken = number, taken + n
-    lowest = cells[0][2]
-    chosen = (F.col("size") > border) | ((F.col("size") == border) & ((cell <= last) | (F.col("id") == lowest)))
-    flagged = stage(waiting.withColumn("__opens", chosen), "opened")
-    opened = flagged.where("__opens").select("doc_id", "piece", "start", "ids_crc32", "size", F.col("id").alias("sequence_id"),
-                                             F.lit(limit).cast("long").alias("taken"))
-    return opened, flagged.where("not __opens").drop("__opens")
+    stored, places = numbered(stage(pieces.withColumn("id", F.monotonically_increasing_id()), "pieces"), "length", ranges, "sorted-pieces")
+    waiting, used = dict(places.totals), {}
+    gaps: Counter[int] = Counter()
+    state, sequences, taken = None, 0, []
+    while waiting:
+        least = min(waiting)
+        if any(size >= least for size in gaps):
+            rows, numbers = numbered(state.where(F.col("size") >= least), "size", ranges, "gaps")
+            gaps = numbers.totals
+        else:
+            large = sum(n for size, n in waiting.items() if 2 * size > limit)
+            opened = large or -(-sum(size * n for size, n in waiting.items()) // limit)
+            rows, numbers, gaps = spark.range(sequences, sequences + opened).withColumn("size", F.lit(limit).cast("long")), None, Counter({limit: opened})
+        found = sweep(waiting, gaps)
+        take, used = _take(found, used, numbers, sequences)
+        if numbers is None:
+            sequences += opened
+        taken.append(stage(rows.mapInArrow(take, TAKEN), "taken"))
+        for size, own, run, n in found:
+            gaps[size] -= n
+            gaps[size - own * run] += n
+            waiting[own] -= n * run
+        waiting = {size: n for size, n in waiting.items() if n}
+        gaps = +gaps
+        state = taken[-1].select("id", (F.col("size") - F.col("piece_size") * F.col("run")).alias("size"))
+    if not taken:
+        return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).limit(0)
+    runs = reduce(DataFrame.unionByName, taken).where("run > 0")  # one table a round
+    runs = runs.mapInArrow(_runs(limit), "length long, number long, sequence_id long, offset long")
+    named = stored.mapInArrow(_with_number(places), PIECES + ", number long")
+    return named.join(runs, ["length", "number"]).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int = 1024) -> DataFrame:
