@@ -79,10 +79,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = token_counts.token_counts(docs, tokenizer("byte_bpe_50k.json"), fresh_folder(spark, "token-cache"))
+    # The size is taken before the join on digests, so that no text goes through it.
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
-    return counted.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", size.alias("n_bytes"))
+    counted = token_counts.token_counts(docs, tokenizer("byte_bpe_50k.json"), fresh_folder(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
 @query("op9_repeat_removal")
