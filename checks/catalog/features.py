@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.tables import (
-    predictions, readings, rounded, sites, test, train, with_predictions, with_readings,
+    predictions, readings, rounded, single_link_sql, sites, test, train, ward_sql, with_predictions, with_readings,
 )
 from voltweave.functions import calendar
 from voltweave.operators import aggregates, joins, order, spatial, windows
@@ -265,12 +265,12 @@ def k1(spark, sf_dir):
     return spatial.distinct_sites(readings(spark, sf_dir, False))
 
 
-@query("k2_geo_cluster_ward")
+@query("k2_geo_cluster_ward", ward_sql("SELECT * FROM groups", "sites"))
 def k2(spark, sf_dir):
     return spatial.geo_cluster(sites(spark, sf_dir))
 
 
-@query("k3_geo_cluster_single")
+@query("k3_geo_cluster_single", single_link_sql("sites"))
 def k3(spark, sf_dir):
     return spatial.single_link_cluster(sites(spark, sf_dir))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.tables import readings, rounded, sites, table, test, train, with_readings
+from checks.tables import readings, rounded, sites, table, test, train, ward_sql, with_readings
 from voltweave.functions import calendar
 from voltweave.operators import joins
 from voltweave.plans import blocks, recipes, tables
@@ -338,14 +338,22 @@ def q_daily(spark, sf_dir):
     return rounded(tables.daily_measures(readings(spark, sf_dir)))
 
 
-@query("q_site_targets")
+GROUP_STATS = ", ".join(
+    f"round({fn} + 1e-9, 6) AS Geo_by_{c}_{name}" for c in ("POWER", "V_1", "V_2", "V_3")
+    for name, fn in (("mean", f"avg({c})"), ("median", f"quantile_cont({c}, 0.5)"), ("sd", f"stddev_samp({c})"), ("min", f"min({c})"), ("max", f"max({c})")))
+
+
+@query("q_site_targets", ward_sql(
+    "SELECT * FROM (SELECT DISTINCT LAT, LON, Geo_Group FROM grouped) JOIN stats USING (Geo_Group)", "readings",
+    "grouped AS (SELECT * FROM train JOIN groups USING (LAT, LON))", f"stats AS (SELECT Geo_Group, {GROUP_STATS} FROM grouped GROUP BY Geo_Group)"))
 def q_sites(spark, sf_dir):
-    return tables.site_targets(readings(spark, sf_dir))
+    return rounded(tables.site_targets(readings(spark, sf_dir)), keep=("LAT", "LON"))
 
 
-@query("q_site_distances")
+@query("q_site_distances", ward_sql(
+    f"SELECT LAT, LON, Geo_Group, round(log10({_DISTANCE}) + 1e-9, 6) AS dist_shanghai FROM series JOIN sites USING (SOT) JOIN groups USING (LAT, LON)", "readings", _CTES))
 def q_distances(spark, sf_dir):
-    return tables.site_distances(readings(spark, sf_dir, False))
+    return rounded(tables.site_distances(readings(spark, sf_dir, False)), keep=("LAT", "LON"))
 
 
 def baked(name: str):

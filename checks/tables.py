@@ -130,3 +130,63 @@ def rounded(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = (), nudge: f
 
 def sql_rounded(cols: list[str], digits: int = 6) -> str:
     return ", ".join(f'round({name} + 1e-9, {digits}) AS {name}' for name in cols)
+
+
+def ward_sql(body: str, places: str, *ctes: str, k: int = 10) -> str:
+    """``body`` over ``groups`` (LAT, LON, Geo_Group), Ward's groups of the rows of ``places``.
+
+    Groups that are each other's nearest merge in rounds; costs are compared at nine digits, equal ones by a mixed
+    order of the positions. The k - 1 dearest merges are undone.
+    """
+    return "WITH RECURSIVE " + ",".join([READINGS_SQL, f"""
+spots AS MATERIALIZED (SELECT LAT, LON, row_number() OVER (ORDER BY LAT, LON) - 1 AS place FROM (SELECT DISTINCT LAT, LON FROM {places})),
+points AS MATERIALIZED (SELECT *, (place + 1) * 1103515245 % 2147483647 AS id, round(LAT * 10000000)::bigint AS sx, round(LON * 10000000)::bigint AS sy FROM spots),
+tree AS (
+ SELECT id, 1::bigint AS n, sx, sy, NULL::bigint AS gone_to, NULL::double AS cost FROM points
+ UNION ALL
+ (WITH alive AS (SELECT id, n, sx, sy, sx::double / n AS x, sy::double / n AS y, n::double AS w FROM tree WHERE gone_to IS NULL),
+  gaps AS (SELECT a.id, b.id AS other, ((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) * (a.w * b.w / (a.w + b.w)) AS c
+           FROM alive a JOIN alive b ON a.id <> b.id),
+  exact AS (SELECT id, other, CASE WHEN c = 0 THEN 0 ELSE round(c / power(2, floor(log2(c)) + 1) * 1073741824) / 1073741824
+            * power(2, floor(log2(c)) + 1) END AS c FROM gaps),
+  best AS (SELECT id, min(struct_pack(c := c, lo := least(id, other), hi := greatest(id, other))) AS e FROM exact GROUP BY id),
+  pairs AS (SELECT e.lo AS a, e.hi AS b, e.c AS c FROM best GROUP BY ALL HAVING count(*) = 2)
+  SELECT s.id, (s.n + coalesce(t.n, 0))::bigint, (s.sx + coalesce(t.sx, 0))::bigint, (s.sy + coalesce(t.sy, 0))::bigint, g.a, g.c
+  FROM alive s LEFT JOIN pairs p ON p.a = s.id LEFT JOIN alive t ON t.id = p.b LEFT JOIN pairs g ON g.b = s.id
+  WHERE (SELECT count(*) FROM alive) > 1)),
+kept AS MATERIALIZED (SELECT id, gone_to FROM tree WHERE gone_to IS NOT NULL ORDER BY cost DESC, gone_to DESC, id DESC OFFSET {k - 1}),
+follow AS (
+ SELECT place, id AS top FROM points
+ UNION ALL
+ SELECT place, gone_to FROM follow JOIN kept ON kept.id = top),
+ends AS (SELECT place, top FROM follow WHERE top NOT IN (SELECT id FROM kept)),
+numbers AS (SELECT top, row_number() OVER (ORDER BY min(place)) AS g FROM ends GROUP BY top),
+groups AS MATERIALIZED (SELECT LAT, LON, g::int AS Geo_Group FROM ends JOIN numbers USING (top) JOIN spots USING (place))""", *ctes]) + body
+
+
+def single_link_sql(places: str, k: int = 10, name: str = "cluster") -> str:
+    """Groups of single linkage: every group takes its shortest edge out, round by round, until one is left; then the
+    k - 1 longest edges go and labels spread along the rest."""
+    return "WITH RECURSIVE " + READINGS_SQL + f""",
+spots AS MATERIALIZED (SELECT LAT, LON, row_number() OVER (ORDER BY LAT, LON) - 1 AS id, round(LAT * 10000000) AS x, round(LON * 10000000) AS y
+  FROM (SELECT DISTINCT LAT, LON FROM {places})),
+grow AS (
+ SELECT id, x, y, id AS part, NULL::bigint AS a, NULL::bigint AS b, NULL::double AS c FROM spots
+ UNION ALL
+ (WITH nodes AS (SELECT id, x, y, part FROM grow WHERE a IS NULL),
+  best AS (SELECT p.part, min(struct_pack(c := (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y), a := least(p.id, q.id), b := greatest(p.id, q.id),
+           o := q.part)) AS e FROM nodes p JOIN nodes q ON p.part <> q.part GROUP BY p.part),
+  lower AS (SELECT part, min(o) AS o FROM (SELECT part, e.o AS o FROM best UNION ALL SELECT e.o, part FROM best) GROUP BY part)
+  SELECT id, x, y, least(n.part, o), NULL, NULL, NULL FROM nodes n JOIN lower USING (part)
+  UNION ALL SELECT DISTINCT NULL, NULL, NULL, NULL, e.a, e.b, e.c FROM best)),
+edges AS MATERIALIZED (SELECT DISTINCT a, b, c FROM grow WHERE a IS NOT NULL),
+kept AS MATERIALIZED (SELECT a, b FROM edges ORDER BY c DESC, a DESC, b DESC OFFSET {k - 1}),
+both_ways AS MATERIALIZED (SELECT a, b FROM kept UNION ALL SELECT b, a FROM kept),
+spread AS (
+ SELECT id, id AS label, true AS moved, 0 AS step FROM spots
+ UNION ALL
+ (WITH near AS (SELECT w.a AS id, min(s.label) AS label FROM both_ways w JOIN spread s ON s.id = w.b GROUP BY w.a)
+  SELECT s.id, least(s.label, coalesce(near.label, s.label)), coalesce(near.label < s.label, false), step + 1 FROM spread s LEFT JOIN near USING (id)
+  WHERE (SELECT bool_or(moved) FROM spread))),
+labels AS (SELECT id, arg_max(label, step) AS label FROM spread GROUP BY id)
+SELECT LAT, LON, dense_rank() OVER (ORDER BY label)::int AS {name} FROM labels JOIN spots USING (id)"""

@@ -14,7 +14,7 @@ from voltweave.functions.normal import normal_quantile
 from voltweave.models import specs, tune
 from voltweave.models.resample import fit_resamples, last_fit
 from voltweave.models.specs import Workflow
-from voltweave.operators import order, sampling, spatial, stats, windows
+from voltweave.operators import clustering, order, sampling, spatial, stats, windows
 from voltweave.plans import recipes, tables
 from voltweave.sources import stage
 from voltweave.steps import CorrelationFilter, NaturalSpline, YeoJohnson
@@ -30,41 +30,72 @@ def rows(spark, sf_dir):
 
 # --- site grouping -------------------------------------------------------------------------------
 
-def brute_force(points, k, linkage):
-    groups = [[i] for i in range(len(points))]
+def one_at_a_time(points, k, linkage):
+    """Groups (sets of positions) left after merging the cheapest pair again and again; equal costs by member order."""
+    points = sorted(set(points))
+    place = {p: (i + 1) * clustering.MIXER % clustering.MODULUS if linkage == "ward" else i for i, p in enumerate(points)}
+    groups = {place[p]: [p] for p in points}
 
     def cost(a, b):
+        a, b = (np.round(np.array(groups[g]) * clustering.SCALE) for g in (a, b))
         if linkage == "single":
-            return min(((points[i] - points[j]) ** 2).sum() for i in a for j in b)
-        gap = ((points[a].mean(axis=0) - points[b].mean(axis=0)) ** 2).sum()
-        return gap * len(a) * len(b) / (len(a) + len(b))
+            gaps = [(float(clustering.comparable(((p - q) ** 2).sum())), *sorted((place[tuple(p / clustering.SCALE)], place[tuple(q / clustering.SCALE)])))
+                    for p in a for q in b]
+            return min(gaps)
+        gap = ((a.sum(axis=0) / len(a) - b.sum(axis=0) / len(b)) ** 2).sum()
+        return (float(clustering.comparable(gap * (len(a) * len(b) / (len(a) + len(b))))),)
 
+    costs = {(a, b): (*cost(a, b), a, b) for a in groups for b in groups if a < b}
     while len(groups) > k:
-        _, i, j = min((cost(a, b), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j)
-        groups[i] += groups.pop(j)
-    return {frozenset(group) for group in groups}
+        a, b = min(costs, key=costs.get)
+        groups[a] += groups.pop(b)
+        costs = {pair: c for pair, c in costs.items() if b not in pair and a not in pair}
+        costs |= {(min(a, g), max(a, g)): (*cost(min(a, g), max(a, g)), min(a, g), max(a, g)) for g in groups if g != a}
+    return {frozenset(g) for g in groups.values()}
 
 
-@pytest.mark.parametrize("linkage", ["ward", "single"])
-def test_merging_equals_brute_force(linkage):
-    points = np.random.default_rng(5).normal(size=(40, 2))
-    labels = spatial.merge_labels(points, np.ones(40), 6, linkage)
-    found = {frozenset(np.flatnonzero(labels == g).tolist()) for g in set(labels)}
-    assert found == brute_force(points, 6, linkage)
-    assert labels[0] == 1 and sorted(set(labels)) == list(range(1, 7))
+def made_groups(rows, name):
+    found = {}
+    for r in rows:
+        found.setdefault(r[name], set()).add((r["LAT"], r["LON"]))
+    assert sorted(found) == list(range(1, len(found) + 1))
+    assert [min(found[g]) for g in sorted(found)] == sorted(map(min, found.values()))
+    return {frozenset(g) for g in found.values()}
 
 
-def test_micro_clusters_stay_close_to_the_exact_groups(spark, sf_dir):
-    places = sites(spark, sf_dir)
+def point_sets():
+    rng = np.random.default_rng(5)
+    lattice = [(float(x), float(y)) for x in range(11) for y in range(9)]
+    blobs = [tuple(np.round(rng.normal(size=2) * s + c, 3)) for c, s in (((0, 0), 1), ((9, 9), 0.01), ((-40, 3), 4)) for _ in range(40)]
+    return {"lattice": lattice, "blobs": [(float(x), float(y)) for x, y in blobs], "line": [(1.0, i * i / 8) for i in range(60)]}
 
-    def within(df):
-        means = df.groupBy("Geo_Group").agg(F.avg("LAT").alias("a"), F.avg("LON").alias("b"))
-        return df.join(means, "Geo_Group").agg(F.sum((F.col("LAT") - F.col("a")) ** 2 + (F.col("LON") - F.col("b")) ** 2)).first()[0]
 
-    exact, reduced = spatial.geo_cluster(places), spatial.geo_cluster(places, micro=60)
-    assert exact.count() == reduced.count() == 150
-    assert reduced.select("Geo_Group").distinct().count() == 10
-    assert within(reduced) <= 1.25 * within(exact)
+@pytest.mark.parametrize("linkage", ["ward", "single"])
+@pytest.mark.parametrize("kind", ["lattice", "blobs", "line"])
+def test_clustering_equals_one_at_a_time(spark, linkage, kind):
+    """Ties, dense spots and outliers, points on a line: on many tiles as on one, whatever the partitioning."""
+    points = point_sets()[kind]
+    expected = one_at_a_time(points, 6, linkage)
+    df = spark.createDataFrame([*points, *points[:9], (None, 1.0)], "LAT double, LON double")
+    for tile, partitions in ((25, 7), (1000, 1)):
+        rows = spatial.geo_cluster(df.repartition(partitions), 6, linkage, name="g", tile=tile).collect()
+        assert len(rows) == len(set(points)) and made_groups(rows, "g") == expected
+
+
+def test_clusters_do_not_depend_on_partitions(spark, sf_dir):
+    places = sites(spark, sf_dir).select("LAT", "LON")
+    for linkage in ("ward", "single"):
+        found = [sorted(map(tuple, spatial.geo_cluster(places.repartition(n), linkage=linkage, tile=t).collect()))
+                 for n, t in ((1, 512), (4, 40), (64, 60))]
+        assert found[0] == found[1] == found[2] and len(found[0]) == 150
+
+
+def test_clustering_of_few_or_no_points(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0), (1.0, 2.0)], "LAT double, LON double")
+    for linkage in ("ward", "single"):
+        assert sorted(map(tuple, spatial.geo_cluster(df, 10, linkage).collect())) == [(1.0, 2.0, 1), (3.0, 2.0, 2)]
+        assert spatial.geo_cluster(df, 1, linkage).select("Geo_Group").distinct().count() == 1
+        assert spatial.geo_cluster(df.limit(0), 10, linkage).count() == 0
 
 
 # --- statistics ----------------------------------------------------------------------------------

@@ -1,27 +1,15 @@
-"""Grouping of sites by position.
-
-Hierarchical clustering is quadratic, so it never runs on all sites. Spark's ``KMeans`` first
-reduces the sites to at most ``micro`` centroids with their weights; those are merged on the driver
-(a fixed-size problem), and the group numbers are joined back. When there are no more distinct
-sites than ``micro``, every site is its own centroid and the result is the exact hierarchy.
-"""
+"""Grouping of sites by position."""
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltweave.functions import numeric
+from voltweave.operators import clustering
 from voltweave.operators.aggregates import site_mean
 from voltweave.operators.filters import first_per_key
-from voltweave.operators.joins import natural_left_join
 from voltweave.operators.order import ordered_chunks
-from voltweave.sources.staging import stage
-
-MICRO_CLUSTERS = 2000
 
 
 def distinct_sites(
@@ -33,97 +21,24 @@ def distinct_sites(
     return first_per_key(df, list(keys), order)
 
 
-def merge_labels(points: np.ndarray, weights: np.ndarray, k: int, linkage: str) -> np.ndarray:
-    """Agglomerative labels of a bounded set of weighted points.
-
-    ``ward`` merges the pair with the smallest growth of the within-group sum of squares, ``single``
-    the pair with the smallest distance. Both use a matrix of pair costs updated row by row.
-    Labels are 1..k in order of the smallest member.
-    """
-    m = len(points)
-    gaps = ((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2)
-    size = weights.astype(float).copy()
-    if linkage == "ward":
-        cost = gaps * (size[:, None] * size[None, :]) / (size[:, None] + size[None, :])
-    elif linkage == "single":
-        cost = gaps
-    else:
-        raise ValueError(f"unknown linkage {linkage!r}")
-    np.fill_diagonal(cost, np.inf)
-    owner = np.arange(m)
-    best = cost.argmin(axis=1)
-    low = cost[np.arange(m), best]
-    for _ in range(m - k):
-        a = int(low.argmin())
-        b = int(best[a])
-        if b < a:
-            a, b = b, a
-        if linkage == "ward":
-            with np.errstate(invalid="ignore"):
-                row = ((size[a] + size) * cost[a] + (size[b] + size) * cost[b] - size * cost[a, b]) / (
-                    size[a] + size[b] + size
-                )
-        else:
-            row = np.minimum(cost[a], cost[b])
-        row[[a, b]] = np.inf
-        row[~np.isfinite(cost[a]) & ~np.isfinite(cost[b])] = np.inf
-        cost[a, :], cost[:, a] = row, row
-        cost[b, :], cost[:, b] = np.inf, np.inf
-        size[a] += size[b]
-        owner[owner == b] = a
-        low[b] = np.inf
-        best[a], low[a] = row.argmin(), row.min()
-        # Rows that pointed at a or b look for their nearest again; others only compare with a.
-        stale = np.isfinite(low) & ((best == a) | (best == b))
-        stale[a] = False
-        for i in np.flatnonzero(stale):
-            best[i] = cost[i].argmin()
-            low[i] = cost[i, best[i]]
-        closer = np.isfinite(low) & (row < low)
-        closer[a] = False
-        best[closer], low[closer] = a, row[closer]
-    firsts = {root: position + 1 for position, root in enumerate(dict.fromkeys(owner.tolist()))}
-    return np.array([firsts[root] for root in owner.tolist()])
-
-
 def geo_cluster(
     sites: DataFrame,
     k: int = 10,
     linkage: str = "ward",
     keys: tuple[str, str] = ("LAT", "LON"),
     name: str = "Geo_Group",
-    micro: int = MICRO_CLUSTERS,
-    seed: int = 1,
+    tile: int = clustering.TILE,
 ) -> DataFrame:
-    """Group number 1..k per distinct position (null positions are left out)."""
-    lat, lon = keys
-    places = stage(
-        sites.select(F.col(lat).cast("double"), F.col(lon).cast("double")).dropna().distinct(), "places"
-    )
-    # limit() bounds what may reach the driver; one row more than ``micro`` tells that it does not fit.
-    few = places.orderBy(lat, lon).limit(micro + 1).collect()
-    spark = sites.sparkSession
-    if len(few) <= micro:
-        points = np.array([[row[0], row[1]] for row in few], dtype=float).reshape(-1, 2)
-        labels = merge_labels(points, np.ones(len(points)), min(k, len(points)), linkage)
-        rows = [(float(p[0]), float(p[1]), int(g)) for p, g in zip(points, labels)]
-        table = spark.createDataFrame(rows, f"{lat} double, {lon} double, {name} int")
-        return natural_left_join(places, F.broadcast(table), list(keys))  # at most ``micro`` rows
+    """Group number 1..k per distinct position, by smallest member in position order (null positions are left out).
 
-    assembled = VectorAssembler(inputCols=list(keys), outputCol="__at").transform(places)
-    model = KMeans(
-        k=micro, featuresCol="__at", predictionCol="__micro", initMode="random", maxIter=5, seed=seed
-    ).fit(assembled)
-    near = model.transform(assembled).drop("__at")
-    weight = {row[0]: row[1] for row in near.groupBy("__micro").count().collect()}
-    used = sorted(weight)
-    points = np.array(model.clusterCenters())[used]
-    order = np.lexsort((points[:, 1], points[:, 0]))
-    weights = np.array([weight[i] for i in used], dtype=float)
-    labels = merge_labels(points[order], weights[order], k, linkage)
-    rows = [(int(used[i]), int(g)) for i, g in zip(order, labels)]
-    table = spark.createDataFrame(rows, f"__micro int, {name} int")
-    return natural_left_join(near, F.broadcast(table), ["__micro"]).drop("__micro")  # ``micro`` rows
+    ``ward`` merges the pair with the smallest growth of the within-group sum of squares, ``single`` the pair with
+    the smallest distance; equal ones by the order of members that ``clustering`` fixes. The exact hierarchy at any size; fewer positions than
+    ``k`` are a group each, and an empty table gives no rows.
+    """
+    if linkage not in clustering.LINKAGES:
+        raise ValueError(f"unknown linkage {linkage!r}")
+    points = clustering.numbered_points(sites, keys)
+    return clustering.LINKAGES[linkage](points, k, name, tile).select(*keys, name)
 
 
 def single_link_cluster(sites: DataFrame, k: int = 10, name: str = "cluster", **options) -> DataFrame:
