@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.tables import readings, rounded, sites, table, test, train, ward_sql, with_readings
+from checks.tables import READINGS_SQL, readings, rounded, sites, table, test, train, ward_sql, with_readings
 from voltweave.functions import calendar
 from voltweave.operators import joins
 from voltweave.plans import blocks, recipes, tables
@@ -246,6 +246,35 @@ def j15_matrix(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "Parameter1 string, Parameter2 string, rho double"))
 
 
+JUDGED = [f"V_{i}" for i in range(1, 14)] + ["V_8b"]
+_RANKS = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE END AS {c}" for c in JUDGED)
+_STRENGTHS = " UNION ALL ".join(
+    f"SELECT {i} AS i, [" + ", ".join("1.0" if a == b else f"round(coalesce(abs(corr({a}, {b})), 0), 9)" for b in JUDGED) + "] AS s FROM ranked"
+    for i, a in enumerate(JUDGED))
+
+
+@query("j15_kept_columns", "WITH RECURSIVE " + READINGS_SQL + f""",
+wide AS (SELECT *, V_8 * 2 + V_13 / 1000 AS V_8b FROM readings),
+ranked AS MATERIALIZED (SELECT {_RANKS} FROM wide),
+m AS MATERIALIZED ({_STRENGTHS}),
+pairs AS MATERIALIZED (SELECT row_number() OVER (ORDER BY a.s[b.i + 1] DESC, a.i, b.i) AS k, a.i AS i, b.i AS j, a.s AS si, b.s AS sj
+  FROM m a JOIN m b ON a.i < b.i AND a.s[b.i + 1] > 0.9),
+walk AS (
+ SELECT 0 AS k, []::INTEGER[] AS gone
+ UNION ALL
+ SELECT w.k + 1, CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gone ELSE list_append(gone,
+   CASE WHEN round(list_avg([sj[x + 1] for x in range({len(JUDGED)}) if NOT list_contains(gone, x::INTEGER)]), 9)
+           > round(list_avg([si[x + 1] for x in range({len(JUDGED)}) if NOT list_contains(gone, x::INTEGER)]), 9) THEN j ELSE i END) END
+ FROM walk w JOIN pairs p ON p.k = w.k + 1),
+last AS (SELECT arg_max(gone, k) AS gone FROM walk)
+SELECT c AS name, NOT list_contains(gone, (i - 1)::INTEGER) AS kept FROM last,
+ (SELECT unnest({JUDGED!r}) AS c, unnest(range(1, {len(JUDGED) + 1})) AS i)""")
+def j15_kept(spark, sf_dir):
+    rows = readings(spark, sf_dir).withColumn("V_8b", F.col("V_8") * 2 + F.col("V_13") / 1000)
+    left = CorrelationFilter(cols=JUDGED, threshold=0.9).fit(rows).transform(rows).columns
+    return spark.createDataFrame([(c, c in left) for c in JUDGED], "name string, kept boolean")
+
+
 @query("j15_correlation_filter")
 def j15(spark, sf_dir):
     rows = readings(spark, sf_dir).withColumn("V_8b", F.col("V_8") * 2 + F.col("V_13") / 1000)

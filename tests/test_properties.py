@@ -4,6 +4,7 @@ import math
 import statistics
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -14,12 +15,13 @@ from voltweave.functions.normal import normal_quantile
 from voltweave.models import specs, tune
 from voltweave.models.resample import fit_resamples, last_fit
 from voltweave.models.specs import Workflow
-from voltweave.operators import clustering, order, sampling, spatial, stats, windows
+from voltweave.operators import clustering, order, quantiles, sampling, spatial, stats, windows
+from voltweave.operators import ranks as ranks_of
 from voltweave.plans import recipes, tables
 from voltweave.sources import stage
 from voltweave.steps import CorrelationFilter, NaturalSpline, YeoJohnson
 from voltweave.steps.base import sel
-from voltweave.steps.numeric import likelihoods
+from voltweave.steps.numeric import correlation_matrix, likelihoods
 from voltweave.steps.spline import natural_basis, periodic_basis
 
 
@@ -394,3 +396,51 @@ def test_a_set_of_workflows_is_mapped_with_own_points(spark, rows):
     assert sorted((r["wflow_id"], r["settings"]) for r in got) == [
         ("lasso", "penalty=0.1"), ("lasso", "penalty=10"), ("plain", ""), ("ridge", "penalty=1")]
     assert all(r["n"] == 3 and r["mean"] > 0 for r in got)
+
+
+# --- quantiles and ranks -------------------------------------------------------------------------
+
+@pytest.mark.parametrize("by", [None, ["g"]])
+def test_brackets_are_narrowed_to_a_fixed_bound(spark, by):
+    """Heavy tails, long ties, nulls, extreme sizes: as numpy, with hardly any values left to rank."""
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.pareto(0.3, 3000), -rng.pareto(0.3, 500), np.full(2000, 3.25), [1e300, -1e300, 0.0]])
+    groups = rng.integers(0, 3, len(values))
+    rows = [(int(g), float(x), float(i) if i % 3 else None) for i, (g, x) in enumerate(zip(groups, values))]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    got = quantiles.quantiles_long(df, ["a", "b"], probs, by, accuracy=100, most=20).collect()
+    assert len(got) == 10 * (3 if by else 1)
+    for r in got:
+        own = [(x if r["variable"] == "a" else y) for g, x, y in rows if not by or g == r["g"]]
+        own = [x for x in own if x is not None]
+        assert r["n"] == len(own)
+        assert r["value"] == pytest.approx(float(np.quantile(own, r["prob"])), rel=1e-9)
+
+
+def test_tied_ranks_and_pairs_of_half_filled_columns(spark):
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 9, 400).astype(float)
+    data = {"a": a, "b": a**3 - 5, "c": rng.normal(size=400), "d": -a, "e": np.full(400, 2.0)}
+    rows = [tuple(None if (k == 1 and i % 2) or (k == 3 and i % 5 == 0) else float("nan") if k == 2 and i == 7 else float(col[i])
+                  for k, col in enumerate(data.values())) for i in range(400)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data))
+    frame = pd.DataFrame(rows, columns=list(data)).astype(float)
+    ranks = frame.rank()
+    got = ranks_of.tied_ranks(df.repartition(7), ["a", "b", "c"]).toPandas()
+    for c in got:
+        assert sorted(got[c].dropna()) == sorted(ranks[c].dropna())
+    matrix = np.array(correlation_matrix(df, list(data)))
+    expected = ranks.corr().to_numpy()
+    for i in range(5):
+        for j in range(5):
+            assert i == j or (np.isnan(matrix[i, j]) if "e" in (list(data)[i], list(data)[j]) else matrix[i, j] == pytest.approx(expected[i, j], abs=1e-9))
+    kept = CorrelationFilter(cols=list(data), threshold=0.9).fit(df).transform(df).columns
+    assert len({"a", "b", "d"} & set(kept)) == 1 and {"c", "e"} <= set(kept)
+
+
+def test_filter_drops_equal_columns_without_a_complete_row(spark):
+    rows = [(float(i % 17), float(i % 17), float(i) if i % 2 else None, None if i % 2 else float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    kept = CorrelationFilter(cols=["a", "b", "c", "d"], threshold=0.9).fit(df).transform(df).columns
+    assert len({"a", "b"} & set(kept)) == 1 and {"c", "d"} <= set(kept)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltweave.functions.sql import literal, quoted
 from voltweave.operators.moments import matrix_moments, moments
 from voltweave.operators.quantiles import quantile_values
+from voltweave.operators.ranks import tied_ranks
+from voltweave.operators.stats import correlation_table
 from voltweave.steps.base import FeatureStep, columns_of
 
 
@@ -176,18 +176,28 @@ class YeoJohnson(FeatureStep):
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], method: str = "spearman") -> list[list[float]]:
-    """Correlations over the rows where every column is present; NaN between columns if there is no such row."""
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    if complete.isEmpty():
-        return [[1.0 if a == b else math.nan for b in cols] for a in cols]
-    vectors = VectorAssembler(inputCols=cols, outputCol="__x").transform(complete).select("__x")
-    return Correlation.corr(vectors, "__x", method).first()[0].toArray().tolist()
+    """Correlation of every two columns over the rows where both are present; NaN where there is none.
+
+    ``spearman`` correlates ranks that are taken over all values of a column, ties sharing their average.
+    """
+    if method not in ("spearman", "pearson"):
+        raise ValueError(f"unknown method {method!r}")
+    values = tied_ranks(df, cols) if method == "spearman" else df.selectExpr(*[f"nanvl(double({quoted(c)}), NULL) AS {quoted(c)}" for c in cols])
+    place = {c: i for i, c in enumerate(cols)}
+    out = [[1.0 if a == b else math.nan for b in cols] for a in cols]
+    for row in correlation_table(values, cols, "none").select("Parameter1", "Parameter2", "r").collect():  # columns squared
+        if row["r"] is not None and row["Parameter1"] != row["Parameter2"]:
+            out[place[row["Parameter1"]]][place[row["Parameter2"]]] = row["r"]
+    return out
 
 
 def drop_correlated(matrix: list[list[float]], threshold: float) -> list[int]:
-    """Indices to drop: strongest pair first, of which the one more correlated with the rest goes."""
+    """Indices to drop: strongest pair first, of which the one more correlated with the rest goes (or the first of the pair).
+
+    Strengths and their means are compared at nine digits, an undefined correlation counts as none.
+    """
     p = len(matrix)
-    strength = [[abs(v) if v == v else 0.0 for v in row] for row in matrix]
+    strength = [[round(abs(v), 9) if v == v else 0.0 for v in row] for row in matrix]
     pairs = sorted(
         ((strength[i][j], i, j) for i in range(p) for j in range(i + 1, p) if strength[i][j] > threshold),
         key=lambda pair: (-pair[0], pair[1], pair[2]),
@@ -197,14 +207,13 @@ def drop_correlated(matrix: list[list[float]], threshold: float) -> list[int]:
         if i in gone or j in gone:
             continue
         kept = [k for k in range(p) if k not in gone]
-        mean_i = sum(strength[i][k] for k in kept) / len(kept)
-        mean_j = sum(strength[j][k] for k in kept) / len(kept)
+        mean_i, mean_j = (round(sum(strength[x][k] for k in kept) / len(kept), 9) for x in (i, j))
         gone.add(j if mean_j > mean_i else i)
     return sorted(gone)
 
 
 class CorrelationFilter(FeatureStep):
-    """Drop columns until no pair is correlated beyond the threshold."""
+    """Drop columns until no pair is correlated beyond the threshold; a pair is judged on the rows that have both."""
 
     @staticmethod
     def learn(df: DataFrame, config: dict, roles) -> dict:
