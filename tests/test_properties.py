@@ -444,3 +444,16 @@ def test_filter_drops_equal_columns_without_a_complete_row(spark):
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
     kept = CorrelationFilter(cols=["a", "b", "c", "d"], threshold=0.9).fit(df).transform(df).columns
     assert len({"a", "b"} & set(kept)) == 1 and {"c", "d"} <= set(kept)
+
+
+def test_hash_cuts_by_radix_passes(spark):
+    """Any number of passes finds the same cuts as sorting: crowded leading bits, repeated hashes, small strata."""
+    rng = np.random.default_rng(3)
+    hashes = np.concatenate([rng.integers(0, 1 << 52, 3000), rng.integers(0, 1 << 20, 500), np.full(40, 77), [(1 << 52) - 1]])
+    rows = [(int(h), int(i % 7 == 0) + 5 * int(i == 3)) for i, h in enumerate(hashes)]
+    df = spark.createDataFrame(rows, "hash long, stratum int")
+    probs = [0.0, 0.1, 1 / 3, 0.5, 0.9, 1.0]
+    expected = {s: [float(sorted(h for h, t in rows if t == s)[int(p * (sum(t == s for _, t in rows) - 1))]) for p in probs] for s in {t for _, t in rows}}
+    for few in (1, 4, 10_000):
+        assert sampling.hash_cuts(df, probs, few) == expected
+    assert sampling.hash_cuts(df.limit(0), probs) == {}
