@@ -80,6 +80,23 @@ def j2_new(spark, sf_dir):
     return IntegerEncode(cols=["code"]).fit(rows.where("code <> '5-LOW'")).transform(rows)
 
 
+@query("j2_many_levels", with_readings("""
+SELECT ID, coalesce(code, 0)::INTEGER AS SOT FROM readings LEFT JOIN
+ (SELECT SOT, dense_rank() OVER (ORDER BY SOT) AS code FROM (SELECT DISTINCT SOT FROM readings WHERE V_13 < 20)) USING (SOT)"""))
+def j2_many(spark, sf_dir):
+    """As many levels as sites: a stored dictionary. Sites of some nations are new to it."""
+    rows = readings(spark, sf_dir, False).select("ID", "SOT", "V_13")
+    return IntegerEncode(cols=["SOT"], inline=20).fit(rows.where("V_13 < 20")).transform(rows).drop("V_13")
+
+
+@query("j3_many_levels", with_readings("""
+SELECT SOT AS level, dense_rank() OVER (ORDER BY SOT)::INTEGER AS code, count(*) AS n FROM readings GROUP BY SOT"""))
+def j3_many(spark, sf_dir):
+    rows = applied(LevelOrder(cols=["SOT"], inline=20), readings(spark, sf_dir, False).select("SOT"))
+    both = rows.withColumn("level", F.col("SOT"))
+    return applied(IntegerEncode(cols=["SOT"]), both).groupBy("level", F.col("SOT").alias("code")).agg(F.count("*").alias("n"))
+
+
 @query("j3_level_order", with_readings("""
 SELECT ID, CAST(dense_rank() OVER (ORDER BY month(DATE)::VARCHAR) AS INTEGER) AS m FROM readings"""))
 def j3(spark, sf_dir):

@@ -264,3 +264,25 @@ def test_correlation_filter_without_a_complete_row(spark):
 
     halves = spark.createDataFrame([(float(i), None) if i % 2 else (None, float(i)) for i in range(10)], "a double, b double")
     assert CorrelationFilter(cols=["a", "b"]).fit(halves).transform(halves).columns == ["a", "b"]
+
+
+def test_dictionary_of_many_levels(spark, tmp_path):
+    """Nulls, new levels, clashing names and order as with a short list; saved steps find their dictionary."""
+    from pyspark.ml import PipelineModel
+
+    from voltweave.steps import DummyEncode, IntegerEncode, LevelOrder
+
+    known = [(i, None if i % 5 == 0 else f"s{i * 7 % 60:03d}", "é" if i % 2 else "z", i) for i in range(300)]
+    df = spark.createDataFrame(known, "id int, a string, b string, code int")
+    new = spark.createDataFrame([(1, "s001", "é", 2), (2, "new", None, 3), (3, None, "a", 4)], "id int, a string, b string, code int")
+    for frame in (df, new):
+        made = [sorted(map(tuple, IntegerEncode(cols=["a", "b"], inline=n).fit(df).transform(frame).collect()), key=repr) for n in (1, 500)]
+        assert made[0] == made[1] and len(made[0]) == frame.count()
+    fitted = IntegerEncode(cols=["a"], inline=1).fit(df)
+    PipelineModel([fitted]).save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).transform(new)
+    assert again.columns == new.columns and [r["a"] for r in again.orderBy("id").collect()] == [2 if "s000" in {r[1] for r in known} else 1, 0, None]
+    ordered = LevelOrder(cols=["b"], inline=1).fit(df).transform(df)
+    assert len(DummyEncode(cols=["b"]).fit(ordered).transform(ordered).columns) == 4
+    with pytest.raises(ValueError):
+        DummyEncode(cols=["a"], max_levels=10).fit(df)
