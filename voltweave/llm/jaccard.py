@@ -23,12 +23,14 @@ from voltweave.llm.common import bounded_slices, expand, flag_maybe, partitions,
 from voltweave.llm.text_arrays import LOWERED, flat_bytes, mix, run_hashes, shingle_hashes, word_bounds
 from voltweave.sources.staging import stage
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+SEEN = 100_000  # sets that a task remembers, so as to publish copies once; more are published again
 BLOCK_SETS = 1024
 HEAD_PART = 4  # one in so many tokens of a head must be met: larger heads, tighter bounds
 NO_ID = 2**63 - 1  # stands for a null doc_id in joins
-SKETCH = "kind int, bucket int, doc_id long, row long, n long, d long, d2 long, blob binary"
-GATHERED = "kind int, doc_id long, row long, n long, d long, d2 long, token long"
+SKETCH = "kind int, bucket int, doc_id long, row long, n long, d long, blob binary"
+GATHERED_NAMES = ["kind", "doc_id", "row", "n", "d", "token"]
+GATHERED = "kind int, doc_id long, row long, n long, d long, token long"
 
 
 def least_overlap(n, percent: int):
@@ -61,56 +63,50 @@ def text_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return [np.unique(h[a:b]) for a, b in zip(at, at[1:])]
 
 
-def _digest(tokens: np.ndarray) -> tuple[int, int]:
-    spread = mix(tokens)
-    return int(spread.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(spread)).view(np.int64)) if len(tokens) else 0
+def _digest(tokens: np.ndarray) -> int:
+    return int(mix(tokens).sum(dtype=np.uint64).view(np.int64))
 
 
 def _sketcher(k: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        rows = 0
         for batch in batches:
             for part in bounded_slices(batch, "text", SLICE_BYTES):
+                if len(seen) > SEEN:
+                    seen.clear()
                 sets = text_sets(part.column("text"), k)
                 digests = [_digest(s) for s in sets]
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
                 fresh = []
-                for i, (d, _) in enumerate(digests):  # copies within a task publish once
+                for i, d in enumerate(digests):  # copies within a task publish once
                     if sizes[i] and d not in seen:
                         seen.add(d)
                         fresh.append(i)
                 heads = [sets[i][:head(sizes[i], percent)] for i in fresh]
                 tokens = np.concatenate(heads) if heads else np.empty(0, dtype=np.uint64)
-                owners = np.repeat(np.array([digests[i][0] for i in fresh], dtype=np.int64), [len(h) for h in heads])
+                owners = np.repeat(np.array([digests[i] for i in fresh], dtype=np.int64), [len(h) for h in heads])
                 blobs = pieces_of(tokens, owners, (tokens % np.uint64(buckets)).astype(np.int64), buckets)
                 n, m = len(sets), len(blobs)
                 none = [None] * m
                 yield pa.RecordBatch.from_arrays([
                     pa.array([0] * n + [1] * m, pa.int32()),
-                    pa.array([(d * 7919) % buckets for d, _ in digests] + [b for b, _, _ in blobs], pa.int32()),
+                    # Documents are dealt in turn: copies of one text, or texts without words, are not kept together.
+                    pa.array([(rows + i) % buckets for i in range(n)] + [b for b, _, _ in blobs], pa.int32()),
                     pa.array(part.column("doc_id").to_pylist() + none, pa.int64()), pa.array(part.column("row").to_pylist() + none, pa.int64()),
-                    pa.array(sizes.tolist() + none, pa.int64()), pa.array([d for d, _ in digests] + none, pa.int64()),
-                    pa.array([d for _, d in digests] + none, pa.int64()),
+                    pa.array(sizes.tolist() + none, pa.int64()), pa.array(digests + none, pa.int64()),
                     pa.array([None] * n + [t.tobytes() + o.tobytes() for _, t, o in blobs], pa.binary()),
-                ], names=["kind", "bucket", "doc_id", "row", "n", "d", "d2", "blob"])
+                ], names=["kind", "bucket", "doc_id", "row", "n", "d", "blob"])
+                rows += n
 
     return run
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One partition of buckets: rows of documents pass, of the published tokens those of two nodes or more."""
-    names = ["kind", "doc_id", "row", "n", "d", "d2", "token"]
-    tokens, owners = [], []
-    for batch in batches:
-        docs = batch.filter(pa.compute.equal(batch.column("kind"), 0))
-        yield pa.RecordBatch.from_arrays([*(docs.column(c) for c in names[:-1]), pa.nulls(docs.num_rows, pa.int64())], names=names)
-        for blob in batch.column("blob").drop_null().to_pylist():
-            half = len(blob) // 2
-            tokens.append(np.frombuffer(blob[:half], dtype=np.uint64))
-            owners.append(np.frombuffer(blob[half:], dtype=np.int64))
-    if not tokens:
-        return
-    t, o = np.concatenate(tokens), np.concatenate(owners)
+def _shared_tokens(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """Of the tokens published to one bucket those of two nodes or more."""
+    halves = [len(b) // 2 for b in blobs]
+    t = np.concatenate([np.frombuffer(b[:h], dtype=np.uint64) for b, h in zip(blobs, halves)])
+    o = np.concatenate([np.frombuffer(b[h:], dtype=np.int64) for b, h in zip(blobs, halves)])
     order = np.lexsort((o, t))
     t, o = t[order], o[order]
     once = np.ones(len(t), dtype=bool)
@@ -120,11 +116,29 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     same[1:-1] = t[1:] == t[:-1]
     shared = same[1:] | same[:-1]
     t, o = t[shared], o[shared]
-    empty = pa.nulls(len(t), pa.int64())
-    made = pa.RecordBatch.from_arrays(
-        [pa.array(np.ones(len(t), dtype=np.int32)), empty, empty, empty, pa.array(o), empty, pa.array(t.view(np.int64))], names=names)
     for a in range(0, len(t), 50_000):
-        yield made.slice(a, 50_000)
+        n = len(t[a:a + 50_000])
+        empty = pa.nulls(n, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.ones(n, dtype=np.int32)), empty, empty, empty, pa.array(o[a:a + 50_000]), pa.array(t[a:a + 50_000].view(np.int64))],
+            names=GATHERED_NAMES)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of buckets: rows of documents pass, the tokens of a bucket are settled when it ends."""
+    at, blobs = -1, []
+    for batch in batches:
+        docs = batch.filter(pa.compute.equal(batch.column("kind"), 0))
+        yield pa.RecordBatch.from_arrays([*(docs.column(c) for c in GATHERED_NAMES[:-1]), pa.nulls(docs.num_rows, pa.int64())], names=GATHERED_NAMES)
+        made = batch.filter(pa.compute.equal(batch.column("kind"), 1))
+        for bucket, blob in zip(made.column("bucket").to_pylist(), made.column("blob").to_pylist()):
+            if bucket != at and blobs:
+                yield from _shared_tokens(blobs)
+                blobs = []
+            at = bucket
+            blobs.append(blob)
+    if blobs:
+        yield from _shared_tokens(blobs)
 
 
 def _whole_sets(k: int):
@@ -133,7 +147,7 @@ def _whole_sets(k: int):
             for part in bounded_slices(batch, "text", SLICE_BYTES):
                 sets = text_sets(part.column("text"), k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_digest(s)[0] for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["d", "tokens"])
+                    [pa.array([_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["d", "tokens"])
 
     return run
 
@@ -215,9 +229,9 @@ def linked_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     count only where there is no other. Repeated rows are equal sets. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
+    buckets = 16 * partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    sketched = rows.mapInArrow(_sketcher(k, percent, buckets), SKETCH).repartition(partitions(spark), "bucket")
+    sketched = rows.mapInArrow(_sketcher(k, percent, buckets), SKETCH).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
     gathered = stage(sketched.mapInArrow(_gather, GATHERED), "heads")
     documents = gathered.where("kind = 0")
     sets = stage(documents.where("n > 0").groupBy("d", "n").agg(F.min("doc_id").alias("rep")), "sets")
