@@ -21,7 +21,8 @@ from voltweave.llm.encoding import encoder
 CACHE_SCHEMA = StructType([
     StructField("digest", StringType()), StructField("version", StringType()), StructField("n_tokens", LongType()),
 ])
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+CACHE_PIECES = 150_000  # of the encoder in a worker, beside a sort of whole texts in the same executor
 
 
 def tokenizer_version(path: str) -> str:
@@ -39,7 +40,7 @@ def read_cache(spark: SparkSession, cache: str) -> DataFrame:
 
 def _counter(path: str, version: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(path)
+        tool = encoder(path, CACHE_PIECES)
         for batch in batches:
             for part in bounded_slices(batch, "text", SLICE_BYTES):
                 _, offsets = tool.encode(part.column("text"))
