@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +68,23 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, lengths)
 
 
+KEPT: list[dict] = []  # caches that outlive a task in a worker
+
+
+def release_memory(drop_caches: bool = False) -> None:
+    """Give freed memory back to the system: Python workers are reused, and what they keep is missing in later stages.
+
+    ``drop_caches``: also what other operators have left in the worker for their own later tasks.
+    """
+    if drop_caches:
+        for cache in KEPT:
+            cache.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
 def flag_maybe(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """``rows`` with a column ``maybe``: false where the long column ``key`` is certainly not among those of ``keys``.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-from voltweave.llm.common import expand
+from voltweave.llm.common import KEPT, expand
 
 # White space by Unicode, in front of a space; such texts are cut by WORDS instead.
 UNSURE = "^ |[\\t\\n\\x0b\\f\\r \\x85\\xa0  -     　] "
@@ -53,6 +53,7 @@ def _pattern(path: str) -> tuple[regex.Pattern | None, bool]:
     return None, False
 
 _encoders: dict[tuple[str, int], CachedEncoder] = {}
+KEPT.append(_encoders)
 
 
 class CachedEncoder:

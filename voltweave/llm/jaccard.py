@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.llm.common import bounded_slices, expand, flag_maybe, partitions, pieces_of
+from voltweave.llm.common import bounded_slices, expand, flag_maybe, partitions, pieces_of, release_memory
 from voltweave.llm.text_arrays import LOWERED, flat_bytes, mix, run_hashes, shingle_hashes, word_bounds
 from voltweave.sources.staging import stage
 
@@ -69,6 +69,7 @@ def _digest(tokens: np.ndarray) -> int:
 
 def _sketcher(k: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory(drop_caches=True)
         seen: set[int] = set()
         rows = 0
         for batch in batches:
@@ -98,6 +99,7 @@ def _sketcher(k: int, percent: int, buckets: int):
                     pa.array([None] * n + [t.tobytes() + o.tobytes() for _, t, o in blobs], pa.binary()),
                 ], names=["kind", "bucket", "doc_id", "row", "n", "d", "blob"])
                 rows += n
+        release_memory(drop_caches=True)
 
     return run
 
@@ -139,6 +141,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blobs.append(blob)
     if blobs:
         yield from _shared_tokens(blobs)
+    release_memory(drop_caches=True)
 
 
 def _whole_sets(k: int):
@@ -148,6 +151,7 @@ def _whole_sets(k: int):
                 sets = text_sets(part.column("text"), k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_digest(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["d", "tokens"])
+        release_memory(drop_caches=True)
 
     return run
 

@@ -24,18 +24,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.llm.common import bounded_slices, expand, partitions
+from voltweave.llm.common import bounded_slices, expand, partitions, release_memory
 from voltweave.llm.encoding import encoder
 from voltweave.sources.staging import stage
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+CACHE_PIECES = 250_000  # of the encoder in a worker
 PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long"
 TAKEN = "id long, size long, piece_size long, first long, run long"
 
 
 def _cutter(path: str, end_id: int, limit: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(path)
+        tool = encoder(path, CACHE_PIECES)
         for batch in batches:
             for part in bounded_slices(batch, "text", SLICE_BYTES):
                 ids, offsets = tool.encode(part.column("text"))
@@ -52,6 +53,7 @@ def _cutter(path: str, end_id: int, limit: int):
                     [part.column("doc_id").take(pa.array(made[:, 0])), *(pa.array(made[:, k]) for k in range(1, 5))],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        release_memory()
 
     return cut
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from voltweave.llm.common import bounded_slices, free_name, held_out
+from voltweave.llm.common import bounded_slices, free_name, held_out, release_memory
 from voltweave.llm.text_arrays import LOWERED, flat_bytes, run_hashes, word_bounds
 
 MOST_LABELLED = 8192  # rows with labels that are learned from, by the hash of their id
@@ -121,6 +121,7 @@ class Voter:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release_memory(drop_caches=True)
     for batch in batches:
         for part in bounded_slices(batch, "text", SLICE_BYTES):
             w = term_weights(part.column("text"))
@@ -129,6 +130,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [part.column("label"), pa.array([r.tobytes() for r in rows], pa.binary()),
                  pa.array([w[i, r].astype("<f4").tobytes() for i, r in enumerate(rows)], pa.binary())],
                 names=["label", "terms", "weights"])
+    release_memory(drop_caches=True)
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, label: str = "quality") -> Voter:
@@ -154,11 +156,13 @@ def score(docs: DataFrame, voter: Voter, name: str = "__score") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(voter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory(drop_caches=True)
         tool = shared.value
         for batch in batches:
             for part in bounded_slices(batch, "text", SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(tool.score(term_weights(part.column("text"))))], names=[*part.schema.names, name])
+        release_memory(drop_caches=True)
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
