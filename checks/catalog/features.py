@@ -9,7 +9,7 @@ from checks.tables import (
     predictions, readings, rounded, single_link_sql, sites, test, train, ward_sql, with_predictions, with_readings,
 )
 from voltweave.functions import calendar
-from voltweave.operators import aggregates, joins, order, spatial, windows
+from voltweave.operators import aggregates, joins, order, spatial, user_aggregates, windows
 from voltweave.sources import stage
 
 V = [f"V_{i}" for i in range(1, 14)]
@@ -258,6 +258,17 @@ def f10(spark, sf_dir):
     return rounded(windows.acf(daily(spark, sf_dir), "POWER_mean"))
 
 
+# --- P user aggregates ---------------------------------------------------------------------------
+
+@query("p5_user_aggregates", with_readings("""
+, c AS (SELECT DATE, V_5 - avg(V_5) OVER (PARTITION BY DATE) AS d, V_5, row_number() OVER (PARTITION BY DATE ORDER BY V_5 DESC) AS place FROM readings)
+SELECT DATE, round(CASE WHEN sum(d * d) > 1e-9 THEN sqrt(count(*)) * sum(d * d * d) / power(sum(d * d), 1.5) END + 1e-7, 4) AS V_5_skew,
+       round(max(CASE WHEN place = 3 THEN V_5 END) + 1e-7, 4) AS V_5_third FROM c GROUP BY DATE"""))
+def p5(spark, sf_dir):
+    made = {"skew": user_aggregates.skewness(), "third": user_aggregates.nth_largest(3)}
+    return rounded(user_aggregates.user_aggregate(readings(spark, sf_dir, False), ["DATE"], ["V_5"], made), 4, nudge=1e-7)
+
+
 # --- K site grouping -----------------------------------------------------------------------------
 
 @query("k1_distinct_sites", with_readings("SELECT DISTINCT LAT, LON FROM readings"))

@@ -15,7 +15,7 @@ from voltweave.steps import (
     RemoveMatching, Scale, SelectStep, YeoJohnson,
 )
 from voltweave.steps.base import sel
-from voltweave.steps.numeric import correlation_matrix
+from voltweave.steps.numeric import correlation_matrix, likelihoods
 
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 DAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
@@ -156,6 +156,19 @@ def j9(spark, sf_dir):
     return rounded(applied(LogShift(cols=cols, shift=0.1), readings(spark, sf_dir).select("ID", *cols)))
 
 
+LAMBDAS = [-1.0, 0.0, 0.5, 1.0, 2.0, 3.0]
+
+
+@query("j10_likelihoods", with_readings(" UNION ALL ".join(
+    f"SELECT {lam}::DOUBLE AS lambda, round(-count(*) / 2.0::DOUBLE * ln(var_pop(y)) + {lam - 1} * sum(sign(x) * ln(abs(x) + 1)) + 1e-6, 3) AS likelihood FROM (SELECT x, CASE WHEN x >= 0 THEN "
+    + ("ln(x + 1)" if lam == 0 else f"(power(x + 1, {lam}) - 1) / {lam}") + " ELSE "
+    + ("-ln(1 - x)" if lam == 2 else f"-(power(1 - x, {2 - lam}) - 1) / {2 - lam}")
+    + " END AS y FROM (SELECT V_8 AS x FROM readings WHERE V_8 IS NOT NULL))" for lam in LAMBDAS)))
+def j10_grid(spark, sf_dir):
+    found = likelihoods(readings(spark, sf_dir, False), "V_8", LAMBDAS)
+    return rounded(spark.createDataFrame(list(zip(LAMBDAS, map(float, found))), "lambda double, likelihood double"), 3, keep=("lambda",), nudge=1e-6)
+
+
 @query("j10_yeo_johnson")
 def j10(spark, sf_dir):
     return applied(YeoJohnson(col="V_8"), readings(spark, sf_dir, False).select("ID", "V_8"))

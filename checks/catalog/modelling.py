@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.registry import query
 from checks.tables import rounded, table, test, train
 from voltweave.models import evaluate, specs, tune
-from voltweave.models.resample import cv_train_eval, fit_resamples, last_fit, resample_metrics, workflow_set
+from voltweave.models.resample import cv_train_eval, cv_train_predict, fit_resamples, last_fit, resample_metrics, workflow_set
 from voltweave.models.specs import Workflow
 from voltweave.operators.sampling import initial_split, kfold, vfold
 from voltweave.plans import recipes
@@ -89,7 +89,7 @@ def n3(spark, sf_dir):
 @query("n3_boosted_trees_early_stop")
 def n3_stop(spark, sf_dir):
     rows = train(spark, sf_dir)
-    model = specs.boosted_trees(trees=10, tree_depth=4, stop_after=1000)
+    model = specs.boosted_trees(trees=12, tree_depth=4, learn_rate=1.0, stop_after=2)
     return Workflow(recipes.recipe("rec_base", rows), model).fit(rows).predict(test(spark, sf_dir))
 
 
@@ -188,11 +188,30 @@ def n13_holdout(spark, sf_dir):
     return rounded(evaluate.metrics(scored, ["rmse", "mae", "rsq"]), 4, nudge=1e-7)
 
 
+def _predicted(scores, predictions):
+    """Predictions of the test rows beside mean and deviation of the fold scores."""
+    found = scores.select("mean", "std").first()
+    return predictions.withColumns({"mean": F.lit(found["mean"]), "std": F.lit(found["std"])})
+
+
 @query("n14_cv_train_eval")
 def n14(spark, sf_dir):
-    rows = kfold(train(spark, sf_dir), 3)
-    flow = Workflow(recipes.recipe("rec_base", rows.drop("fold")), specs.boosted_trees(trees=3, tree_depth=3))
-    return cv_train_eval(flow, rows)
+    """Five folds at the reference's depth, all rows fitted again, the test rows predicted; few trees."""
+    rows = kfold(train(spark, sf_dir), 5)
+    flow = Workflow(recipes.recipe("rec_base", rows.drop("fold")), specs.boosted_trees(trees=2, tree_depth=8))
+    return _predicted(*cv_train_predict(flow, rows, test(spark, sf_dir)))
+
+
+@query("n14_cv_train_predict", f"""WITH {FOLDED_SQL}, e AS (SELECT fold, sqrt(avg((POWER - pred) ** 2)) AS rmse FROM oof WHERE ID % 4 <> 0 GROUP BY fold),
+ m AS (SELECT regr_intercept(POWER, quantity) AS a, regr_slope(POWER, quantity) AS b FROM lines WHERE ID % 4 <> 0)
+SELECT ID, round(a + b * quantity + 1e-7, 4) AS pred, round((SELECT avg(rmse) FROM e) + 1e-7, 4) AS mean,
+       round((SELECT stddev_pop(rmse) FROM e) + 1e-7, 4) AS std FROM lines, m WHERE ID % 4 = 0""".replace(
+    "folded AS (SELECT *, ID % 5 AS fold FROM lines)", "folded AS (SELECT *, ID % 5 AS fold FROM lines WHERE ID % 4 <> 0)"))
+def n14_predict(spark, sf_dir):
+    rows = lines(spark, sf_dir)
+    learning = rows.where("ID % 4 <> 0").withColumn("fold", F.expr("int(ID % 5)"))
+    made = cv_train_predict(Workflow(line_spec(rows), specs.linear()), learning, rows.where("ID % 4 = 0").drop("POWER"))
+    return rounded(_predicted(*made), 4, nudge=1e-7)
 
 
 @query("n14_cv_scores", f"""WITH {FOLDED_SQL}, e AS (SELECT fold, sqrt(avg((POWER - pred) ** 2)) AS rmse FROM oof GROUP BY fold)

@@ -15,7 +15,7 @@ from voltweave.functions.normal import normal_quantile
 from voltweave.models import specs, tune
 from voltweave.models.resample import fit_resamples, last_fit
 from voltweave.models.specs import Workflow
-from voltweave.operators import clustering, order, quantiles, sampling, spatial, stats, windows
+from voltweave.operators import clustering, order, quantiles, sampling, spatial, stats, user_aggregates, windows
 from voltweave.operators import ranks as ranks_of
 from voltweave.plans import recipes, tables
 from voltweave.sources import stage
@@ -457,3 +457,39 @@ def test_hash_cuts_by_radix_passes(spark):
     for few in (1, 4, 10_000):
         assert sampling.hash_cuts(df, probs, few) == expected
     assert sampling.hash_cuts(df.limit(0), probs) == {}
+
+
+# --- user aggregates, early stop -----------------------------------------------------------------
+
+def test_user_aggregates_are_mergeable(spark, monkeypatch):
+    """Null keys and values, groups spread over tasks and sent more than once, no group, no row."""
+    monkeypatch.setattr(user_aggregates, "GROUPS_HELD", 2)
+    rng = np.random.default_rng(4)
+    rows = [(None if i % 7 == 0 else f"k{i % 5}", int(i % 2), None if i % 11 == 0 else float("nan") if i % 13 == 0 else float(rng.gamma(1.0))) for i in range(500)]
+    rows += [("only nulls", 1, None), ("constant", 0, 2.0), ("constant", 0, 2.0)]
+    df = spark.createDataFrame(rows, "k string, i int, x double")
+    made = {"skew": user_aggregates.skewness(), "second": user_aggregates.nth_largest(2)}
+
+    def expected(values):
+        x = np.array([v for v in values if v is not None and not math.isnan(v)])
+        d = x - x.mean() if len(x) else x
+        skew = math.sqrt(len(x)) * (d**3).sum() / (d**2).sum() ** 1.5 if len(x) and (d**2).sum() > 0 else None
+        return skew, sorted(x)[-2] if len(x) > 1 else None
+
+    for frame in (df.repartition(7), df.coalesce(1)):
+        got = {(r["k"], r["i"]): (r["x_skew"], r["x_second"]) for r in user_aggregates.user_aggregate(frame, ["k", "i"], ["x"], made).collect()}
+        assert set(got) == {(k, i) for k, i, _ in rows}
+        for (k, i), (skew, second) in got.items():
+            wanted = expected([x for a, b, x in rows if (a, b) == (k, i)])
+            assert second == wanted[1] and (skew == wanted[0] or skew == pytest.approx(wanted[0], abs=1e-9))
+    whole = user_aggregates.user_aggregate(df, [], ["x"], made).collect()
+    assert len(whole) == 1 and whole[0]["x_skew"] == pytest.approx(expected([x for *_, x in rows])[0])
+    assert user_aggregates.user_aggregate(df.limit(0), ["k"], ["x"], made).count() == 0
+    assert [tuple(r) for r in user_aggregates.user_aggregate(df.limit(0), [], ["x"], made).collect()] == [(None, None)]
+
+
+def test_boosting_stops_by_patience(spark, sf_dir, rows):
+    flow = Workflow(recipes.recipe("rec_base", rows), specs.boosted_trees(trees=12, tree_depth=4, learn_rate=1.0, stop_after=2))
+    fitted = flow.fit(rows)
+    assert fitted.model.getNumTrees < 12
+    assert specs.stop_round([5.0, 3.0, 4.0, 3.5, 1.0], 2) == 2 and specs.stop_round([5.0, 3.0, 4.0, 2.0], 2) == 4

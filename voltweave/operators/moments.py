@@ -1,7 +1,7 @@
 """Mean and standard deviation of many columns in one pass.
 
 A plan with hundreds of ``stddev`` expressions is slow to compile and to run. Here every task
-reduces its Arrow batches to one row per column, and those rows are combined by a grouped sum.
+reduces its Arrow batches to one row per column, and those rows are combined in one grouped aggregation.
 Deviations are taken from the task's own means, so the result is well conditioned.
 """
 
@@ -12,10 +12,8 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from voltweave.functions.sql import quoted
-from voltweave.sources.staging import stage
 
 FEW_COLUMNS = 16
 
@@ -67,13 +65,16 @@ def matrix_moments(
         )
 
     typed = df.selectExpr(*[f"double({quoted(c)}) AS x{i}" for i, c in enumerate(cols)])
-    parts = stage(typed.mapInArrow(reduce_rows, "i int, n double, mean double, m2 double").where("n > 0"), "moments")
-    # One row per number and task: combined around one of the task means, which keeps accuracy.
-    shift = parts.groupBy("i").agg(F.expr("min(mean) AS shift"))
-    rows = parts.join(shift, "i").groupBy("i").agg(
-        F.expr("sum(n) AS n"), F.expr("sum(n * mean) / sum(n) AS mean"),
-        F.expr("sum(m2) + sum(n * (mean - shift) * (mean - shift)) "
-               "- power(sum(n * (mean - shift)), 2) / sum(n) AS m2"),
-    ).collect()
+    parts = typed.mapInArrow(reduce_rows, "i int, n double, mean double, m2 double").where("n > 0")
+    rows = parts.groupBy("i").applyInArrow(_joined, "i int, n double, mean double, m2 double").collect()
     found = {row["i"]: (row["n"], row["mean"], row["m2"]) for row in rows}
     return [found.get(i, (0, None, None)) for i in range(width)]
+
+
+def _joined(parts: pa.Table) -> pa.Table:
+    """Moments of one number from those of the tasks (a row per task): deviations of task means are added to those inside."""
+    n, mean, m2 = (parts.column(c).to_numpy() for c in ("n", "mean", "m2"))
+    total = n.sum()
+    centre = mean[0] + (n * (mean - mean[0])).sum() / total
+    made = [total, centre, m2.sum() + (n * (mean - centre) ** 2).sum()]
+    return pa.table([parts.column("i").slice(0, 1), *(pa.array([v]) for v in made)], names=["i", "n", "mean", "m2"])
