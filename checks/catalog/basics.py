@@ -324,6 +324,7 @@ def i1(spark, sf_dir):
         "ID", *[expr.alias(name) for name, expr in calendar.date_parts(F.col("DATE")).items()])
 
 
+# Names of the two sets of weekday flags.
 DAYS = ["Mon", "Tue", "Wed", "Thur", "Fri", "Sat", "Sun"]
 LONG_DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday"]
 

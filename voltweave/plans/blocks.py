@@ -31,6 +31,7 @@ MEASURES = [f"V_{i}" for i in range(1, 14)]
 class Switches:
     """Which blocks to add. The defaults are the setting the published scores were made with."""
 
+    # The names of the switches and their defaults.
     datetime_features: bool = True
     outlier_detect: bool = True
     extract_features: bool = True
