@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-from voltweave.llm.common import KEPT, expand
+from voltweave.llm.common import KEPT, expand, release_memory
 
 # White space by Unicode, in front of a space; such texts are cut by WORDS instead.
 UNSURE = "^ |[\\t\\n\\x0b\\f\\r \\x85\\xa0  -     　] "
@@ -37,10 +37,10 @@ BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b n
 PLAIN = re.compile("[\\x00-\\x1b !-~À-ɏ]*\\Z")
 
 
-def _pattern(path: str) -> tuple[regex.Pattern | None, bool]:
+def _pattern(tokenizer) -> tuple[regex.Pattern | None, bool]:
     """(pattern that splits a piece, whether it is lower-cased first) of the kinds of file that are known."""
-    with open(path, encoding="utf-8") as file:
-        made = json.load(file)
+    # The parts alone: reading the whole file again would take a hundred MB for a moment.
+    made = {name: json.loads(part.__getstate__()) for name in ("normalizer", "pre_tokenizer") if (part := getattr(tokenizer, name)) is not None}
     norm, cut = made.get("normalizer"), made.get("pre_tokenizer") or {}
     if norm is None and cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]:
         return regex.compile(BYTE_LEVEL), False
@@ -71,7 +71,7 @@ class CachedEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.normalizer, self.cutter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
-        self.pattern, self.lower = _pattern(path)
+        self.pattern, self.lower = _pattern(self.tokenizer)
         self.most = cache_pieces
         self.clock = 0
         self.words: dict[str, bytes] = {}  # by pre-token as in the text, and as the vocabulary shows it
@@ -193,4 +193,5 @@ def encoder(path: str, cache_pieces: int = CACHE_PIECES) -> CachedEncoder:
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = CachedEncoder(path, cache_pieces)
+        release_memory()  # what reading the file took
     return _encoders[key]
