@@ -21,29 +21,44 @@ from voltweave.sources.staging import stage
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SEQUENCE_TOKENS = 1024
+# All stages share the executors: whole texts travel in smaller Arrow batches, and the encoder keeps fewer pieces.
+BATCH_ROWS = 2000
+CACHE_PIECES = 150_000
 
 ORACLE_SQL = None  # tokenizers and votes are beyond SQL; tests compare every stage with a plain version
 
 
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the documents that are its input, whose ids have labels."""
+    """Documents that score well; learns from those of its input that have labels. Null texts score as empty,
+    repeated rows each for themselves; an empty table stays empty."""
+    _small_batches(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component; repeated rows become one, documents without words all stay."""
+    _small_batches(spark)
     return jaccard.one_per_component(docs, k=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark phrase; null texts have none and stay."""
     return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, live-looking secrets overwritten; null texts stay as they are."""
     return secret_scan.redacted(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, catalog.tokenizer(TOKENIZER), END_ID, SEQUENCE_TOKENS)
+    """A row per piece; a null or empty text is a piece of the end id alone, repeated rows are packed one by one."""
+    _small_batches(spark)
+    return packing.pack(docs, catalog.tokenizer(TOKENIZER), END_ID, SEQUENCE_TOKENS, CACHE_PIECES)
 
 
 STAGES = [
