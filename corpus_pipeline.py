@@ -22,8 +22,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SEQUENCE_TOKENS = 1024
 # All stages share the executors: whole texts travel in smaller Arrow batches, and the encoder keeps fewer pieces.
-BATCH_ROWS = 2000
-CACHE_PIECES = 150_000
+BATCH_ROWS = 1000
+CACHE_PIECES = 60_000
 
 ORACLE_SQL = None  # tokenizers and votes are beyond SQL; tests compare every stage with a plain version
 
