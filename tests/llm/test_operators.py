@@ -477,14 +477,14 @@ def test_language_model_is_a_distribution():
     rows = np.zeros(4000, dtype=language_model.OCCURRENCE)
     rows["word"], rows["cls"], rows["train"] = word.astype(np.uint64) * np.uint64(977) + np.uint64(5), rng.integers(0, 6, 4000), 1
     vocabulary = len(np.unique(word))
-    made = language_model.Bucket(rows.tobytes(), b"", np.empty(0, dtype=np.uint64), vocabulary, 0, 1)
-    totals = np.zeros((language_model.SAMPLES, language_model.CLASSES + 1, 2))
-    for s, (t, m, mt) in enumerate(made.samples):
+    made = language_model.seated(rows, np.empty(0, dtype=language_model.CELL), np.empty(0, dtype=np.uint64), vocabulary, 0, 1)
+    for t, m, mt in made.samples:
         assert (t >= 1).all() and (t <= made.count).all() and (mt <= m).all()
         assert (np.bincount(made.word, weights=t, minlength=len(m)) == m).all()  # every table is a customer of the parent
-        totals[s, :language_model.CLASSES, 0] = np.bincount(made.cls, weights=made.count, minlength=language_model.CLASSES)
-        totals[s, :language_model.CLASSES, 1] = np.bincount(made.cls, weights=t, minlength=language_model.CLASSES)
-        totals[s, language_model.CLASSES] = m.sum(), mt.sum()
+    totals = made.totals().astype(float)
+    again = language_model.restored(*made.stored())
+    assert (again.totals() == made.totals()).all() and (again.words == made.words).all() and (again.count == made.count).all()
+    made = again
     for c in range(8):
         every = np.concatenate([np.arange(vocabulary), [-1]])
         assert math.isclose(language_model._predict(made, totals, vocabulary, every, np.full(len(every), c)).sum(), 1.0, rel_tol=1e-9)
@@ -561,7 +561,22 @@ def test_language_model_tables_grow_with_customers():
 def test_language_model_frequent_words_make_no_difference(spark, docs):
     frame = spark.createDataFrame(list(docs.items())[:60], "doc_id long, text string")
     a, b = (language_model.score_texts(frame, n).toPandas().set_index("doc_id").sort_index() for n in (5, 100_000))
-    assert np.allclose(a.base_score, b.base_score) and (a.n_known == b.n_known).all() and np.allclose(a.score, b.score, rtol=1e-5)
+    assert np.allclose(a.base_score, b.base_score) and (a.n_known == b.n_known).all() and np.allclose(a.score, b.score, rtol=1e-9)
+
+
+def test_language_model_does_not_follow_the_partitions(spark, docs):
+    frame = spark.createDataFrame(list(docs.items())[:60], "doc_id long, text string")
+    before, made = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n, split in ((2, 1), (8, 5), (32, 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = language_model.score_texts(frame.repartition(split), 50, 1000)  # many buckets, most words rare
+            made.append(got.toPandas().set_index("doc_id").sort_index())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in made[1:]:
+        assert (made[0].n_known == other.n_known).all()
+        assert np.allclose(made[0].score, other.score, rtol=1e-11) and np.allclose(made[0].base_score, other.base_score, rtol=1e-11)
 
 
 def test_language_model_odd_rows(odd, none):
