@@ -30,6 +30,26 @@ def test_null_keys_match_on_both_sides(spark):
     assert column(joins.natural_left_join(left, right), "v", "ID") == [10, 20, None]
 
 
+
+def test_null_keys_do_not_share_a_partition(spark):
+    """Half of the keys are null and the join is shuffled: no partition holds much more than its part."""
+    left = spark.range(40_000).selectExpr("id AS ID", "IF(id % 2 = 0, NULL, id % 500) AS a", "IF(id % 4 = 0, NULL, 'x') AS b")
+    right = spark.sql("SELECT id AS a, 'x' AS b, id AS v FROM range(500) UNION ALL SELECT NULL, 'x', -1 UNION ALL SELECT NULL, NULL, -2 UNION ALL SELECT NULL, NULL, -3")
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        made = joins.natural_left_join(left, right)
+        assert made.columns == ["ID", "a", "b", "v"]
+        got = {(r["kind"], r["v"]): r["n"] for r in made.selectExpr("ID % 4 AS kind", "IF(a IS NULL, v, v - a) AS v").groupBy("kind", "v").agg(F.count("*").alias("n")).collect()}
+        assert got == {(0, -2): 10_000, (0, -3): 10_000, (1, 0): 10_000, (2, -1): 10_000, (3, 0): 10_000}
+        sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / len(sizes), sizes
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+
+
 def test_natural_join_needs_a_shared_column(spark):
     with pytest.raises(ValueError):
         joins.natural_left_join(spark.range(1), spark.range(1).withColumnRenamed("id", "other"))

@@ -2,7 +2,9 @@
 
 Physical choice is left to Spark: the right side is either a staged table (its file size is known,
 so it is broadcast exactly when small enough) or a table with a fixed number of rows. Beyond the
-threshold the same join runs shuffled, with adaptive splitting of skewed partitions.
+threshold the same join runs shuffled, with adaptive splitting of skewed partitions. Null keys match
+null keys, and may be half of a table: they are dealt over ``SPREAD`` salts and meet copies of the few
+right rows with null keys, so that they never share one partition.
 """
 
 from __future__ import annotations
@@ -14,15 +16,34 @@ from pyspark.sql import functions as F
 
 from voltweave.functions import numeric
 
+SPREAD = 64
 
-def natural_left_join(left: DataFrame, right: DataFrame, on: list[str] | None = None) -> DataFrame:
-    """Left join on all shared column names; null keys match null keys."""
+
+def _any_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(f"`{key}`").isNull() for key in keys])
+
+
+def natural_left_join(left: DataFrame, right: DataFrame, on: list[str] | None = None, spread: list[str] | None = None) -> DataFrame:
+    """Left join on all shared column names; null keys match null keys.
+
+    ``spread``: columns of ``left`` that deal its rows with null keys, by default the first two that are
+    no keys (more would be read from the source for this alone). It changes no result.
+    """
     keys = on or [name for name in left.columns if name in right.columns]
     if not keys:
         raise ValueError("the tables share no column")
+    if spread is None:
+        spread = [name for name, kind in left.dtypes if name not in keys and not any(x in kind for x in ("map<", "variant"))][:2]
     renamed = right.withColumnsRenamed({key: f"__right_{key}" for key in keys})
-    same = reduce(lambda a, b: a & b, [left[key].eqNullSafe(renamed[f"__right_{key}"]) for key in keys])
-    return left.join(renamed, same, "left").drop(*[f"__right_{key}" for key in keys])
+    same = [left[key].eqNullSafe(renamed[f"__right_{key}"]) for key in keys]
+    if spread:
+        dealt = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in spread]), F.lit(SPREAD)).cast("int")
+        left = left.withColumn("__left_salt", F.when(_any_null(keys), dealt).otherwise(F.lit(0)))
+        copies = F.when(_any_null([f"__right_{key}" for key in keys]), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+        renamed = renamed.withColumn("__right_salt", F.explode(copies))
+        same = [left[key].eqNullSafe(renamed[f"__right_{key}"]) for key in keys] + [left["__left_salt"] == renamed["__right_salt"]]
+    made = left.join(renamed, reduce(lambda a, b: a & b, same), "left")
+    return made.drop(*[f"__right_{key}" for key in keys], "__left_salt", "__right_salt")
 
 
 def join_daily(df: DataFrame, daily: DataFrame, date: str = "DATE") -> DataFrame:
