@@ -16,6 +16,7 @@ from voltweave.sources.staging import stage
 from voltweave.steps.spec import FeatureSpec, FittedFeatures
 
 MISSING = "1e300D"  # what trees see for a null
+TASK_ROWS = 1 << 18  # training rows of trees in a task, at most about
 TUNE = "tune"  # placeholder for a setting that a search fills in
 
 
@@ -134,6 +135,10 @@ class Workflow:
         rows = stage(rows.select("__features", "__label", held.alias("__held")), "training")
         patience = self.model.settings.get("stop_after")
         held_rows = rows.where("__held")
+        # Trees keep their rows unpacked in memory, so partitions are cut by rows, not by the size of packed files.
+        parts = -(-rows.count() // TASK_ROWS)
+        if parts > rows.rdd.getNumPartitions():
+            rows = rows.repartition(parts)
         if patience is None or held_rows.isEmpty():
             return replace(fitted, model=estimator.fit(rows))
         whole = estimator.fit(rows.where("not __held"))
