@@ -579,6 +579,48 @@ def test_language_model_does_not_follow_the_partitions(spark, docs):
         assert np.allclose(made[0].score, other.score, rtol=1e-11) and np.allclose(made[0].base_score, other.base_score, rtol=1e-11)
 
 
+def test_language_model_contexts_are_words(spark):
+    """Two words that end alike are two contexts, so each sets its own followers apart; scores agree over several buckets."""
+    rows = [(i, "red cat" if i % 2 else "bed dog") for i in range(400)]
+    tried = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    frame = spark.createDataFrame(rows + [(tried[0], "red cat"), (tried[1], "red dog")], "doc_id long, text string")
+    for tokens in (language_model.BUCKET_TOKENS, 200):
+        got = {r["doc_id"]: r for r in language_model.score_texts(frame, 2, tokens).collect()}
+        assert len(got) == 402 and got[tried[0]]["score"] > got[tried[1]]["score"] + 0.8
+        assert all(r["n_known"] == 3 for r in got.values())  # also where a bucket has no such pair of a shared word
+    words, before, _ = language_model.text_tokens(pa.array(["Red cat", None, "red"]))
+    assert (before == np.append(language_model.END, words[:-1]) & language_model.CONTEXT_BITS).all() and words[0] == words[4]
+
+
+def test_language_model_shared_words():
+    """A word that two buckets share keeps about its parents' share; totals of all buckets make a distribution."""
+    rng = np.random.default_rng(5)
+    common = np.array([3, 9], dtype=np.uint64)
+    made = []
+    for b in range(2):
+        rows = np.zeros(3000, dtype=language_model.OCCURRENCE)
+        rows["word"], rows["cls"], rows["train"] = 100 + 2 * rng.integers(0, 60, 3000) + b, rng.integers(0, 50, 3000), 1
+        cells = np.zeros(1500, dtype=language_model.CELL)
+        cells["k"], cells["cls"], cells["count"] = rng.integers(0, 2, 1500), rng.integers(0, 50, 1500), 1
+        made.append(language_model.seated(rows, cells, common, 122, b, 2))
+    assert [len(m.words) for m in made] == [62, 62] and all(m.count.sum() == 4500 for m in made)
+    totals = sum(m.totals().astype(float) for m in made)  # both have all 50 contexts
+    for s in range(language_model.SAMPLES):
+        parents = sum(np.stack([x[:2] for x in m.samples[s][1:]]) for m in made)
+        for m in made:
+            m.samples[s][1][:2], m.samples[s][2][:2] = parents
+    for c in (0, 17):
+        hit = [language_model._predict(m, totals, 122, np.arange(62), np.full(62, c)) for m in made]
+        own = [np.isin(m.key, np.arange(2) * 50 + c) for m in made]  # shared words' cells of both buckets belong to them
+        p = sum(h[2:].sum() for h in hit) + language_model._predict(made[0], totals, 122, np.array([-1]), np.array([c]))[0]
+        d, theta = language_model.CONTEXT
+        parent = np.mean([(theta + d * totals[s, c, 1]) / (theta + totals[s, c, 0]) * (
+            made[0].samples[s][1][:2] - 0.7 * made[0].samples[s][2][:2] + (64 + 0.7 * totals[s, -1, 1]) / 123).sum() / (64 + totals[s, -1, 0])
+            for s in range(3)])
+        cell = np.mean([sum((m.count[o] - d * m.samples[s][0][o]).sum() for m, o in zip(made, own)) / (theta + totals[s, c, 0]) for s in range(3)])
+        assert math.isclose(p + parent + cell, 1.0, rel_tol=1e-9)
+
+
 def test_language_model_odd_rows(odd, none):
     got = language_model.score_texts(odd).collect()
     assert len(got) == len(ODD) and all(r["score"] < 0 and r["base_score"] < 0 for r in got)

@@ -1,15 +1,16 @@
-"""Hierarchical Pitman-Yor language model, with Chinese-restaurant seating sampled by Gibbs.
-
-Every context has a restaurant; all of them share one parent, the restaurant of single words, whose base
-is uniform over the training vocabulary and one unknown word. A context is the class of the word before
-(by its last byte, ``CLASSES`` of them, one for the start of a text). Words are dealt to buckets by hash:
-a table of a word in any context is a customer of the same word in the parent, so a bucket seats its words
-on its own and only totals are shared. The number of buckets follows from the training tokens, so scores
-do not depend on the cluster or its settings. A bucket is seated once and its seatings are stored; predictive
-probabilities are averaged over them.
-
-The ``FREQUENT`` most frequent words (a bounded list) are counted by map tasks before the shuffle and scored
-from a broadcast table; all other words are shuffled by occurrence. Both see all training tokens.
+"""Hierarchical Pitman-Yor language model of word pairs, with Chinese-restaurant seating sampled by Gibbs.
+
+Every word is a context with a restaurant of its own, for the word that follows it; the first word of a text
+follows the end token. All of them share one parent, the restaurant of single words, whose base is uniform over
+the training vocabulary and one unknown word. Cells (a word in a context) are dealt to buckets by the hash of the
+word: a table of a word in any context is a customer of the same word in the parent. A bucket seats its cells on its
+own and takes the totals of other buckets in proportion, a context's never above its customers; the totals used
+for probabilities are exact sums. Words of more than ``bucket_tokens`` / 8 tokens are dealt over all buckets by pair.
+The number of buckets follows from the training tokens, so scores do not depend on the cluster or its settings.
+A bucket is seated once and its seatings are stored; predictive probabilities are averaged over them.
+
+Pairs are shuffled twice: counted, to be seated, and with the places of their texts, to be scored. In between the
+totals of contexts are added by context and sent back to the buckets that have them.
 """
 
 from __future__ import annotations
@@ -18,14 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.llm.common import bounded_slices, held_out, partitions, pieces_of
-from voltweave.llm.text_arrays import LOWERED, flat_bytes, run_hashes, word_bounds
+from voltweave.llm.common import bounded_slices, held_out, partitions, pieces_of, release_memory
+from voltweave.llm.text_arrays import LOWERED, flat_bytes, mix, run_hashes, word_bounds
 from voltweave.sources.staging import stage
 
-CLASSES = 32
 FREQUENT = 65_536
 CONTEXT = (0.6, 8.0)  # discount and strength of the context restaurants
 PARENT = (0.7, 64.0)  # of their parent
@@ -34,12 +35,17 @@ BLOCK = 16  # of a cell with n customers, max(1, n / BLOCK) are seated at once
 FOLDS = 10
 BUCKET_TOKENS = 1 << 20  # training tokens per bucket of words, on average
 SLICE_BYTES = 1 << 20
-CHUNK_ROWS = 100_000  # tokens that are scored at once
+CHUNK_TOKENS, CHUNK_TEXTS = 1 << 21, 1 << 16  # tokens and texts whose pairs are shuffled together, at most about
+CHUNK_ROWS = 100_000  # pairs that are scored at once
 END = np.uint64(0x5EED0FE2D0C5)
+CONTEXT_BITS = np.uint64(2**48 - 1)  # of a word's hash, name its context
 
 
 def text_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word hash, context class, number of the text) of all tokens; every text ends with the end token."""
+    """(word hash, context, number of the text) of all tokens; every text ends with the end token.
+
+    The context is the word before, by 48 bits of its hash; that of a first word is the end token.
+    """
     data, offsets = flat_bytes(texts)
     data = LOWERED[data]
     starts, ends, text_of = word_bounds(data, offsets)
@@ -50,12 +56,10 @@ def text_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.ones(len(words), dtype=bool)
     inner[last] = False
     words[inner] = run_hashes(data, starts, ends)
-    own = np.zeros(len(words), dtype=np.uint8)
-    own[inner] = data[ends - 1].astype(np.int64) * 37 % (CLASSES - 1) + 1 if len(ends) else 0
-    before = np.zeros(len(words), dtype=np.uint8)
-    before[1:] = own[:-1]
-    before[last[:-1] + 1] = 0
-    return words, before, np.repeat(np.arange(n), counts)
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[:1] = END
+    return words, before & CONTEXT_BITS, np.repeat(np.arange(n), counts)
 
 
 def _spread(start: np.ndarray, tables: np.ndarray, amount: np.ndarray, size: np.ndarray, discount: float, draw) -> tuple[np.ndarray, np.ndarray]:
@@ -156,22 +160,35 @@ class Seating:
         return opened
 
 
-def seatings(word: np.ndarray, cls: np.ndarray, count: np.ndarray, n_words: int, share: float, vocabulary: int, seed: int):
-    """Sample seatings of one bucket's cells (word number, class, customers).
+def seatings(
+    word: np.ndarray, cls: np.ndarray, count: np.ndarray, n_words: int, share: float, vocabulary: int, seed: int,
+    times: np.ndarray | None = None, bound: np.ndarray | None = None,
+):
+    """Sample seatings of one bucket's cells (word number, context number, customers).
 
     All customers are seated by the restaurant rule, and each of them leaves and is seated anew once in a
     sweep, in ``STEPS`` random groups. Customers join a cell one by one, or ``1 / BLOCK`` of those seated at a time.
+    The only customer of a cell always has one table there: it leaves and re-enters the parent alone.
     ``share`` is the part of the vocabulary in this bucket: totals of other buckets are taken in proportion.
+    ``times`` is above 1 for words that so many buckets share; ``bound`` is the most tables a context can have.
     Yields (tables per cell, customers per word at the parent, tables per word at the parent).
     """
     rng = np.random.default_rng(seed)
     (d, theta), (d0, theta0) = CONTEXT, PARENT
-    rooms = Seating(np.minimum(count, 1))
+    contexts = int(cls.max()) + 1 if len(cls) else 0
+    times = np.ones(n_words) if times is None else times
+    bound = np.full(contexts, np.inf) if bound is None else bound
+    scale = np.where(times > 1, times, 1 / share)
+    single = count == 1
+    alone = np.bincount(word[single], minlength=n_words)  # lone customers at the parent
+    several = np.flatnonzero(~single)
+    room_word, room_cls, room_count = word[several], cls[several], count[several]
+    rooms = Seating(np.minimum(room_count, 1))
     parent = Seating(np.zeros(n_words, dtype=np.int64))
-    tables = np.zeros(CLASSES, dtype=np.int64)  # of each context
+    tables = np.bincount(cls[single], weights=scale[word[single]], minlength=contexts)  # of each context, in all buckets
 
     def base_weight() -> float:
-        return (theta0 + d0 * parent.t.sum() / share) / (vocabulary + 1)
+        return (theta0 + d0 * (parent.t * scale).sum()) / (vocabulary + 1)
 
     def join(at: Seating, cells: np.ndarray, by: np.ndarray, add) -> None:
         """Blocks of ``by`` customers, as large as those already seated allow."""
@@ -182,33 +199,45 @@ def seatings(word: np.ndarray, cls: np.ndarray, count: np.ndarray, n_words: int,
             cells, by = cells[by > 0], by[by > 0]
 
     def at_parent(words: np.ndarray, by: np.ndarray) -> None:
-        parent.add(words, by, np.full(len(words), base_weight()), d0, rng)
+        parent.add(words, by, base_weight() / times[words], d0, rng)
 
-    def settle(cells: np.ndarray, change: np.ndarray) -> None:
-        """Tables that opened (or, below 0, closed) in ``cells`` come to the parent (or leave it)."""
-        tables[:] += np.bincount(cls[cells], weights=change, minlength=CLASSES).astype(np.int64)
-        by = np.bincount(word[cells], weights=change, minlength=n_words).astype(np.int64)
+    def change_parent(by: np.ndarray) -> None:
+        """``by`` customers of each word come to the parent (or, below 0, leave it)."""
         down, up = np.flatnonzero(by < 0), np.flatnonzero(by > 0)
         if len(down):
             parent.remove(down, -by[down], rng)
         join(parent, up, by[up], at_parent)
 
-    def in_room(cells: np.ndarray, by: np.ndarray) -> None:
-        p = (parent.n[word[cells]] - d0 * parent.t[word[cells]] + base_weight()) / (theta0 + parent.n.sum() / share)
-        settle(cells, rooms.add(cells, by, (theta + d * tables[cls[cells]] / share) * p, d, rng))
+    def settle(cells: np.ndarray, change: np.ndarray) -> None:
+        """Tables that opened (or, below 0, closed) in ``cells`` come to the parent (or leave it)."""
+        np.add.at(tables, room_cls[cells], change * scale[room_word[cells]])
+        change_parent(np.bincount(room_word[cells], weights=change, minlength=n_words).astype(np.int64))
 
-    settle(np.arange(len(word)), rooms.t)
-    more = np.flatnonzero(count > 1)
-    join(rooms, more, count[more] - 1, in_room)
+    def in_room(cells: np.ndarray, by: np.ndarray) -> None:
+        w, c = room_word[cells], room_cls[cells]
+        p = (times[w] * (parent.n[w] - d0 * parent.t[w]) + base_weight()) / (theta0 + (parent.n * scale).sum())
+        opened = rooms.add(cells, by, (theta + d * np.minimum(tables[c], bound[c])) * p, d, rng)
+        some = np.flatnonzero(opened)
+        settle(cells[some], opened[some])
+
+    change_parent(alone)
+    settle(np.arange(len(several)), rooms.t)
+    join(rooms, np.arange(len(several)), room_count - 1, in_room)
     for sweep in range(BURN_IN + SAMPLES):
-        rooms.old = rooms.size.copy()
+        rooms.old, waiting = rooms.size.copy(), alone.copy()
         for step in range(STEPS):
+            gone = rng.binomial(waiting, 1 / (STEPS - step))
+            waiting -= gone
+            change_parent(-gone)
             left, closed = rooms.thin(1 / (STEPS - step), rng)
             settle(np.flatnonzero(closed), -closed[closed > 0])
+            change_parent(gone)
             cells = np.flatnonzero(left)
             join(rooms, cells, left[cells], in_room)
         if sweep >= BURN_IN:
-            yield rooms.t.copy(), parent.n.copy(), parent.t.copy()
+            made = np.ones(len(word), dtype=np.int64)
+            made[several] = rooms.t
+            yield made, parent.n.copy(), parent.t.copy()
 
 
 def _word_counts(buckets: int):
@@ -257,247 +286,383 @@ def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield made.slice(a, 50_000)
 
 
-OCCURRENCE = np.dtype([("word", "<u8"), ("key", "<i8"), ("cls", "u1"), ("train", "u1")])
-CELL = np.dtype([("k", "<i4"), ("cls", "<i4"), ("count", "<i8")])
+OCCURRENCE = np.dtype([("word", "<u8"), ("cls", "<u8"), ("train", "<i8")])  # a word, its context and their training tokens
+CELL = np.dtype([("k", "<i4"), ("cls", "<u8"), ("count", "<i8")])  # the same of a word that all buckets share, by its place
+ROW = "bucket long, kind int, chunk long, blobs array<binary>"
+SEATINGS, TOTALS, PAIRS, TEXTS, REQUEST, SHARED = range(6)  # kinds of rows, in the order in which a bucket reads them
+
+
+def _rows(rows: list[tuple[int, int, int, list[bytes]]]) -> pa.RecordBatch:
+    bucket, kind, chunk, blobs = zip(*rows) if rows else ((),) * 4
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(kind, pa.int32()), pa.array(chunk, pa.int64()),
+                                       pa.array(blobs, pa.list_(pa.binary()))], names=["bucket", "kind", "chunk", "blobs"])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, list[bytes]]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(batch.column(c)[i].as_py() for c in range(4))
+
+
+def _six(values: np.ndarray) -> bytes:
+    """Contexts as six bytes each."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unsix(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // 6, 8), dtype=np.uint8)
+    wide[:, :6] = np.frombuffer(blob, dtype=np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Counts, with the width that the largest needs before them."""
+    kind = np.min_scalar_type(int(values.max()) if len(values) else 0)
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
 
+def _unsmall(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, dtype=f"<u{blob[0]}", offset=1).astype(np.int64)
 
-def _dealer(frequent: np.ndarray, buckets: int, parts: int):
-    """Map side: rare occurrences and counts of frequent words by context, by part (buckets of equal remainder)."""
-    place = (frequent % np.uint64(buckets)).astype(np.int64) % parts
+
+def _place(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Place of each of ``of`` in ascending ``values``, -1 where it is not among them."""
+    if not len(values):
+        return np.full(len(of), -1)
+    at = np.minimum(np.searchsorted(values, of), len(values) - 1)
+    return np.where(values[at] == of, at, -1)
+
+
+def _packed_pairs(word: np.ndarray, cls: np.ndarray, count: np.ndarray) -> list[bytes]:
+    """Pairs that stand by word: each word once."""
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return [word[first].tobytes(), _small(np.diff(np.append(first, len(word)))), _six(cls), _small(count)]
+
+
+def _pairs(words: bytes, sizes: bytes, cls: bytes, count: bytes) -> np.ndarray:
+    c = _unsix(cls)
+    made = np.empty(len(c), dtype=OCCURRENCE)
+    made["word"], made["cls"], made["train"] = np.repeat(np.frombuffer(words, dtype="<u8"), _unsmall(sizes)), c, _unsmall(count)
+    return made
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray, np.ndarray]]:
+    """(slices, words, contexts, number of the text) of some texts at a time."""
+    held: list = []
+    tokens = texts = 0
+
+    def together():
+        first = np.cumsum([0, *(part.num_rows for part, _ in held)])
+        return ([part for part, _ in held], np.concatenate([t[0] for _, t in held]), np.concatenate([t[1] for _, t in held]),
+                np.concatenate([t[2] + f for (_, t), f in zip(held, first)]))
+
+    for batch in batches:
+        for part in bounded_slices(batch, "text", SLICE_BYTES):
+            for a in range(0, part.num_rows, CHUNK_TEXTS):
+                some = part.slice(a, CHUNK_TEXTS)
+                made = text_tokens(some.column("text"))
+                if held and (tokens + len(made[0]) > CHUNK_TOKENS or texts + some.num_rows > CHUNK_TEXTS):
+                    yield together()
+                    held.clear()
+                    tokens = texts = 0
+                held.append((some, made))
+                tokens, texts = tokens + len(made[0]), texts + some.num_rows
+    if held:
+        yield together()
+
+
+def _dealt_pairs(words: np.ndarray, cls: np.ndarray, shared: np.ndarray, buckets: int):
+    """(order of the tokens, first token of each pair in it, bucket of each pair), by bucket, word and context.
+
+    Words and contexts are sorted by as many bits as fit; a pair that is cut by others of the same bits comes more than once.
+    """
+    own = (words % np.uint64(buckets)).astype(np.int64)
+    both = np.flatnonzero(_place(shared, words) >= 0)
+    own[both] = (mix(words[both] ^ mix(cls[both])) % np.uint64(buckets)).astype(np.int64)
+    free = 64 - max(buckets - 1, 1).bit_length()
+    half = min(free // 2, 48)
+    key = own.astype(np.uint64) << np.uint64(free) | words >> np.uint64(64 - free + half) << np.uint64(half) | cls >> np.uint64(48 - half)
+    order = np.argsort(key)
+    w, c, b = words[order], cls[order], own[order]
+    first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1]) | (b[1:] != b[:-1])]))
+    return order, first, b[first]
+
+
+def _counter(shared: np.ndarray, buckets: int):
+    """Map side of the seating: pairs with their training tokens (0 where only held-out texts have them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = np.zeros((len(frequent), CLASSES), dtype=np.int64)
-        for batch in batches:
-            for part in bounded_slices(batch, "text", SLICE_BYTES):
-                words, cls, text_of = text_tokens(part.column("text"))
-                train = part.column("train").to_numpy(zero_copy_only=False)[text_of]
-                at = np.minimum(np.searchsorted(frequent, words), max(len(frequent) - 1, 0))
-                known = frequent[at] == words if len(frequent) else np.zeros(len(words), dtype=bool)
-                use = known & train
-                dense += np.bincount(at[use] * CLASSES + cls[use], minlength=dense.size).reshape(dense.shape)
-                rare = np.flatnonzero(~known)
-                rows = np.empty(len(rare), dtype=OCCURRENCE)
-                rows["word"], rows["cls"], rows["train"] = words[rare], cls[rare], train[rare]
-                rows["key"] = part.column("key").to_numpy()[text_of[rare]]
-                dealt = pieces_of(rows, rare, (rows["word"] % np.uint64(buckets)).astype(np.int64) % parts, parts)
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in dealt], pa.int32()), pa.array([r.tobytes() for _, r, _ in dealt], pa.binary()),
-                                                  pa.nulls(len(dealt), pa.binary())], names=["part", "rare", "cells"])
-        k, c = np.nonzero(dense)
-        cells = np.empty(len(k), dtype=CELL)
-        cells["k"], cells["cls"], cells["count"] = k, c, dense[k, c]
-        dealt = pieces_of(cells, k, place[k], parts)
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _, _ in dealt], pa.int32()), pa.nulls(len(dealt), pa.binary()),
-                                          pa.array([r.tobytes() for _, r, _ in dealt], pa.binary())], names=["part", "rare", "cells"])
+        for parts, words, cls, text_of in _chunks(batches):
+            train = np.concatenate([p.column("train").to_numpy(zero_copy_only=False) for p in parts])[text_of]
+            order, first, bucket = _dealt_pairs(words, cls, shared, buckets)
+            count = np.add.reduceat(train[order].astype(np.int64), first)
+            w, c = words[order[first]], cls[order[first]]
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            yield _rows([(b, PAIRS, 0, _packed_pairs(w[x:y], c[x:y], count[x:y])) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x])
 
     return run
 
 
-def _added(cells: list[np.ndarray]) -> np.ndarray:
-    """Cells of several tasks, those of one word and context added up."""
-    both = np.concatenate(cells) if cells else np.empty(0, dtype=CELL)
-    key, at = np.unique(both["k"].astype(np.int64) * CLASSES + both["cls"], return_inverse=True)
-    made = np.empty(len(key), dtype=CELL)
-    made["k"], made["cls"] = key // CLASSES, key % CLASSES
-    made["count"] = np.bincount(at, weights=both["count"], minlength=len(key))
-    return made
+def _dealer(shared: np.ndarray, buckets: int):
+    """Map side of the scoring: pairs with their texts, and the texts themselves by number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        for number, (parts, words, cls, text_of) in enumerate(_chunks(batches)):
+            chunk = task << 32 | number
+            order, first, bucket = _dealt_pairs(words, cls, shared, buckets)
+            w, c, text = words[order[first]], cls[order[first]], text_of[order].astype("<u2")
+            sizes, ends = np.diff(np.append(first, len(order))), np.append(first, len(order))
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+            yield _rows([(b, PAIRS, chunk, [*_packed_pairs(w[x:y], c[x:y], sizes[x:y]), text[ends[x]:ends[y]].tobytes()])
+                         for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x])
+            ids, train = (pa.concat_arrays([p.column(x) for p in parts]) for x in ("doc_id", "train"))
+            n = np.bincount(text_of, minlength=len(ids))
+            yield _rows([(chunk % buckets, TEXTS, chunk, [ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), ids.fill_null(0).to_numpy().tobytes(),
+                                                          train.to_numpy(zero_copy_only=False).tobytes(), n.astype("<i8").tobytes()])])
+
+    return run
 
 
 class Bucket:
     """The words of one bucket, their cells (word and context) with customers, and the seatings of these."""
 
-    def __init__(self, words: np.ndarray, key: np.ndarray, count: np.ndarray, samples: list):
-        self.words, self.key, self.count, self.samples = words, key, count, samples
-        self.word, self.cls = key // CLASSES, key % CLASSES
+    def __init__(self, words: np.ndarray, contexts: np.ndarray, key: np.ndarray, count: np.ndarray, samples: list):
+        self.words, self.contexts, self.key, self.count, self.samples = words, contexts, key, count, samples
+        self.word, self.cls = key // max(len(contexts), 1), key % max(len(contexts), 1)
 
     def totals(self) -> np.ndarray:
         """Per seating and context (the parent last): customers and tables."""
-        made = np.zeros((SAMPLES, CLASSES + 1, 2), dtype=np.int64)
+        n = len(self.contexts)
+        made = np.zeros((SAMPLES, n + 1, 2), dtype=np.int64)
         for s, (t, m, mt) in enumerate(self.samples):
-            made[s, :CLASSES, 0] = np.bincount(self.cls, weights=self.count, minlength=CLASSES)
-            made[s, :CLASSES, 1] = np.bincount(self.cls, weights=t, minlength=CLASSES)
-            made[s, CLASSES] = m.sum(), mt.sum()
+            made[s, :n, 0] = np.bincount(self.cls, weights=self.count, minlength=n)
+            made[s, :n, 1] = np.bincount(self.cls, weights=t, minlength=n)
+            made[s, n] = m.sum(), mt.sum()
         return made
 
     def stored(self) -> list[bytes]:
-        """words, key, count, tables, parents as bytes; ``restored`` reads them."""
-        tables = b"".join(t.astype("<i8").tobytes() for t, _, _ in self.samples)
-        parents = b"".join(x.astype("<i8").tobytes() for _, m, mt in self.samples for x in (m, mt))
-        return [self.words.tobytes(), self.key.tobytes(), self.count.tobytes(), tables, parents]
-
-
-def restored(words: bytes, key: bytes, count: bytes, tables: bytes, parents: bytes) -> Bucket:
-    own = np.frombuffer(words, dtype=np.uint64)
-    cells = np.frombuffer(key, dtype=np.int64)
-    t = np.frombuffer(tables, dtype="<i8").reshape(-1, len(cells)) if len(cells) else []
-    m = np.frombuffer(parents, dtype="<i8").reshape(-1, 2, len(own)) if len(own) else []
-    return Bucket(own, cells, np.frombuffer(count, dtype=np.int64), [(x, y[0], y[1]) for x, y in zip(t, m)])
-
-
-def seated(rows: np.ndarray, cells: np.ndarray, frequent: np.ndarray, vocabulary: int, number: int, buckets: int) -> Bucket:
-    """Seat a bucket: ``rows`` are occurrences of its rare words, ``cells`` counts of its frequent ones."""
-    trained = rows[rows["train"] == 1]
-    words = np.sort(np.concatenate([np.unique(trained["word"]), frequent[frequent % np.uint64(buckets) == np.uint64(number)]]))
-    key, count = np.unique(np.searchsorted(words, trained["word"]) * CLASSES + trained["cls"], return_counts=True)
-    word_k = np.searchsorted(words, frequent[cells["k"]]) if len(cells) else np.empty(0, dtype=np.int64)
-    key = np.concatenate([key, word_k * CLASSES + cells["cls"]]).astype(np.int64)
-    count = np.concatenate([count, cells["count"]]).astype(np.int64)
+        """Words, contexts, cells by word, their customers and tables, parents as bytes; ``restored`` reads them."""
+        return [self.words.tobytes(), _six(self.contexts), _small(np.bincount(self.word, minlength=len(self.words))), _small(self.cls), _small(self.count),
+                *(_small(x) for sample in self.samples for x in sample)]
+
+
+def restored(words: bytes, contexts: bytes, sizes: bytes, cls: bytes, count: bytes, *samples: bytes) -> Bucket:
+    own, known = np.frombuffer(words, dtype=np.uint64), _unsix(contexts)
+    key = np.repeat(np.arange(len(own)), _unsmall(sizes)) * len(known) + _unsmall(cls)
+    read = [_unsmall(x) for x in samples]
+    return Bucket(own, known, key, _unsmall(count), list(zip(read[::3], read[1::3], read[2::3])))
+
+
+def seated(
+    rows: np.ndarray, cells: np.ndarray, shared: np.ndarray, vocabulary: int, number: int, buckets: int, most=None,
+) -> Bucket:
+    """Seat a bucket: ``rows`` are pairs of its own words, ``cells`` those of the words that all buckets share.
+
+    ``most`` gives the customers a context has at most in all buckets.
+    """
+    word = np.concatenate([rows["word"], shared[cells["k"]]])
+    cls, count = np.concatenate([rows["cls"], cells["cls"]]), np.concatenate([rows["train"], cells["count"]]).astype(np.int64)
+    trained = count > 0
+    words, contexts = np.union1d(word[trained], shared), np.unique(cls)
+    key = np.searchsorted(words, word[trained]) * len(contexts) + np.searchsorted(contexts, cls[trained])
     order = np.argsort(key)
-    made = Bucket(words, key[order], count[order], [])
+    key, count = key[order], count[trained][order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, dtype=np.int64)
+    made = Bucket(words, contexts, key[first], np.add.reduceat(count, first) if len(key) else count, [])
     if len(words):
-        share = len(words) / max(vocabulary, 1)
-        made.samples = list(seatings(made.word, made.cls, made.count, len(words), share, vocabulary, number))
+        common = _place(shared, words) >= 0
+        share = max((~common).sum(), 1) / max(vocabulary - len(shared), 1)
+        bound = None if most is None else most(contexts)
+        made.samples = list(seatings(made.word, made.cls, made.count, len(words), share, vocabulary, number, np.where(common, buckets, 1), bound))
     return made
 
 
-STORED = ["words", "key", "count", "tables", "parents"]
-SEATED = "bucket long, rare binary, " + ", ".join(f"{c} binary" for c in STORED) + ", totals binary"
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
+    """Rows of a sorted partition: (bucket, its chunks and blobs)."""
+    bucket, held = None, []
+    for b, _, chunk, blobs in _read(batches):
+        if b != bucket and held:
+            yield bucket, held
+            held = []
+        bucket = b
+        held.append((chunk, blobs))
+    if held:
+        yield bucket, held
 
 
-def _seater(frequent: np.ndarray, vocabulary: int, buckets: int, parts: int):
-    """Reduce side: each bucket of a part is seated once; its occurrences and seatings are one row."""
-    place = (frequent % np.uint64(buckets)).astype(np.int64)
+def _seater(shared: np.ndarray, counted: tuple[np.ndarray, np.ndarray, int], vocabulary: int, buckets: int):
+    """Reduce side: each bucket is seated once; its seatings are one row, totals of its contexts one for each part of them."""
+    words, counts, others = counted
+
+    def most(contexts: np.ndarray) -> np.ndarray:
+        at = _place(words, contexts)
+        return np.where(at >= 0, counts[at] if len(counts) else 0, others).astype(float)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare: dict[int, list[bytes]] = {}
-        cells: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for p, r, c in zip(*(batch.column(n).to_pylist() for n in ("part", "rare", "cells"))):
-                rare.setdefault(p, [])
-                if r is not None:
-                    rare[p].append(r)
-                if c is not None:
-                    cells[p] = [_added([*cells.get(p, []), np.frombuffer(c, dtype=CELL)])]
-        for p in sorted(rare):
-            rows = np.frombuffer(b"".join(rare.pop(p)), dtype=OCCURRENCE)
-            own = _added(cells.pop(p, []))
-            of_row = (rows["word"] % np.uint64(buckets)).astype(np.int64)
-            of_cell = place[own["k"]] if len(own) else np.empty(0, dtype=np.int64)
-            order = np.argsort(of_row, kind="stable")
-            rows, of_row = rows[order], of_row[order]
-            for b in np.union1d(of_row, of_cell):
-                mine = rows[np.searchsorted(of_row, b):np.searchsorted(of_row, b, "right")]
-                made = seated(mine, own[of_cell == b], frequent, vocabulary, int(b), buckets)
-                blobs = [mine.tobytes(), *made.stored(), made.totals().tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), *(pa.array([x], pa.binary()) for x in blobs)],
-                                                 names=["bucket", "rare", *STORED, "totals"])
+        for b, held in _by_bucket(batches):
+            pairs = np.concatenate([_pairs(*blobs) for _, blobs in held])
+            held.clear()
+            k = _place(shared, pairs["word"])
+            common = pairs[k >= 0]
+            cells = np.empty(len(common), dtype=CELL)
+            cells["k"], cells["cls"], cells["count"] = k[k >= 0], common["cls"], common["train"]
+            made = seated(pairs[k < 0], cells, shared, vocabulary, b, buckets, most)
+            yield _rows([(b, SEATINGS, 0, made.stored())])
+            totals = made.totals()
+            part = (made.contexts % np.uint64(buckets)).astype(np.int64)
+            rows = [(p, REQUEST, b, [_six(c), *(_small(x) for x in (totals[0, at, 0], *totals[:, at, 1]))])
+                    for p, c, at in pieces_of(made.contexts, np.arange(len(part)), part, buckets)]
+            if made.samples:
+                parents = np.zeros((SAMPLES, len(shared) + 1, 2), dtype=np.int64)
+                own = _place(made.words, shared)
+                for s, (_, m, mt) in enumerate(made.samples):
+                    parents[s, :-1] = np.where(own[:, None] >= 0, np.stack([m, mt], axis=1)[own], 0)
+                    parents[s, -1] = m.sum(), mt.sum()
+                rows.append((b, SHARED, 0, [parents.tobytes()]))
+            yield _rows(rows)
+            del pairs, common, cells, made, totals, rows
+            release_memory()
 
     return run
 
 
-TOTALS = "sample int, cls int, customers long, tables long"
+def _add_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Totals of the contexts of a part, for each bucket that asked and in its order."""
+    for part, held in _by_bucket(batches):
+        asked = [(b, _unsix(blobs[0]), np.stack([_unsmall(x) for x in blobs[1:]])) for b, blobs in held]
+        contexts, at = np.unique(np.concatenate([c for _, c, _ in asked]), return_inverse=True)
+        values = np.concatenate([v for _, _, v in asked], axis=1)
+        total = np.stack([np.bincount(at, weights=v, minlength=len(contexts)) for v in values]).astype(np.int64)
+        for b, c, _ in asked:
+            yield _rows([(b, TOTALS, part, [_small(x) for x in total[:, np.searchsorted(contexts, c)]])])
 
 
-def _add_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((SAMPLES, CLASSES + 1, 2), dtype=np.int64)
-    for batch in batches:
-        for blob in batch.column("totals").to_pylist():
-            total += np.frombuffer(blob, dtype=np.int64).reshape(total.shape)
-    s, k = (x.ravel() for x in np.indices(total.shape[:2]))
-    yield pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(k, pa.int32()), pa.array(total[..., 0].ravel()), pa.array(total[..., 1].ravel())],
-                                     names=["sample", "cls", "customers", "tables"])
+def _add_parents(n_shared: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((SAMPLES, n_shared + 1, 2), dtype=np.int64)
+        for _, _, _, blobs in _read(batches):
+            total += np.frombuffer(blobs[0], dtype=np.int64).reshape(total.shape)
+        s, k = (x.ravel() for x in np.indices(total.shape[:2]))
+        yield pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(k, pa.int32()), pa.array(total[..., 0].ravel()), pa.array(total[..., 1].ravel())],
+                                         names=["sample", "k", "customers", "tables"])
+
+    return run
 
 
 def _predict(made: Bucket, totals: np.ndarray, vocabulary: int, word: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """Averaged predictive probability of (word number or -1 for an unknown word, class)."""
+    """Averaged predictive probability of (word number or -1 for an unknown word, context).
+
+    ``totals`` are those of the bucket's contexts; others have none and leave the word to the parent.
+    """
     (d, theta), (d0, theta0) = CONTEXT, PARENT
-    at = np.minimum(np.searchsorted(made.key, word * CLASSES + cls), max(len(made.key) - 1, 0))
-    hit = (made.key[at] == word * CLASSES + cls) & (word >= 0) if len(made.key) else np.zeros(len(word), dtype=bool)
+    context = _place(made.contexts, cls.astype(np.uint64))
+    at = _place(made.key, word * len(made.contexts) + context)
+    hit = (at >= 0) & (word >= 0) & (context >= 0)
     total = np.zeros(len(word))
     for s in range(SAMPLES):
-        m, mt = totals[s, CLASSES]
-        n, t = totals[s, cls].T
+        m, mt = totals[s, -1]
+        n, t = np.where(context >= 0, totals[s, context].T, 0)
         parent = np.full(len(word), (theta0 + d0 * mt) / (vocabulary + 1))
+        own = 0.0
         if made.samples:
             tables, wm, wt = made.samples[s]
             parent += np.where(word >= 0, wm[word] - d0 * wt[word], 0.0)
-            own = np.where(hit, made.count[at] - d * tables[at], 0.0)
-        else:
-            own = 0.0
+            own = np.where(hit, made.count[at] - d * tables[at], 0.0) if len(made.key) else 0.0
         total += (own + (theta + d * t) * parent / (theta0 + m)) / (theta + n)
     return total / SAMPLES
 
 
-SCORED = "word long, logs binary, part int, sums binary"
-SUMS = np.dtype([("key", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
+SUMS = "chunk long, kind int, blobs array<binary>"
+HELD_TEXTS = 1 << 20  # texts whose sums a task holds
 
 
-def _document_sums(sums: list[np.ndarray]) -> np.ndarray:
-    """One entry per document."""
-    both = np.concatenate(sums)
-    key, at = np.unique(both["key"], return_inverse=True)
-    made = np.empty(len(key), dtype=SUMS)
-    made["key"] = key
-    for c in ("known", "base", "score"):
-        made[c] = np.bincount(at, weights=both[c], minlength=len(key))
-    return made
+def _scorer(shared: np.ndarray, shared_counts: np.ndarray, parents: np.ndarray, vocabulary: int, tokens: int, buckets: int):
+    """Sums over the pairs of a bucket by text; a bucket reads its seatings, then totals, then pairs chunk by chunk."""
 
-
-def _scorer(frequent: np.ndarray, totals: np.ndarray, vocabulary: int, tokens: int, buckets: int, parts: int):
-    """Logs of frequent words by context, and sums over rare words by document, packed by part of the documents."""
-    place = (frequent % np.uint64(buckets)).astype(np.int64)
+    def packed(rows: list[tuple[int, int, list[bytes]]]) -> pa.RecordBatch:
+        chunk, kind, blobs = zip(*rows) if rows else ((),) * 3
+        return pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), pa.array(kind, pa.int32()), pa.array(blobs, pa.list_(pa.binary()))],
+                                          names=["chunk", "kind", "blobs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            for b, r, *blobs in zip(*(batch.column(n).to_pylist() for n in ("bucket", "rare", *STORED))):
+        sums: dict[int, np.ndarray] = {}
+
+        def out() -> pa.RecordBatch:
+            rows = [(c, PAIRS, [_small(x[0]), x[1].tobytes(), x[2].tobytes()]) for c, x in sums.items()]
+            sums.clear()
+            return packed(rows)
+
+        for b, kind, chunk, blobs in _read(batches):
+            if kind == SEATINGS:
                 made = restored(*blobs)
-                own_frequent = np.flatnonzero(place == b)
-                own = np.searchsorted(made.words, frequent[own_frequent])
-                if len(own):
-                    logs = np.stack([np.log10(_predict(made, totals, vocabulary, own, np.full(len(own), k))) for k in range(CLASSES)], axis=1).astype("<f8")
-                    n = len(own)
-                    yield pa.RecordBatch.from_arrays([pa.array(own_frequent), pa.array([x.tobytes() for x in logs], pa.binary()),
-                                                      pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=["word", "logs", "part", "sums"])
-                rows = np.frombuffer(r, dtype=OCCURRENCE)
-                if not len(rows):
-                    continue
-                word = np.searchsorted(made.words, rows["word"])
-                fit = np.minimum(word, max(len(made.words) - 1, 0))
-                word = np.where(made.words[fit] == rows["word"], fit, -1) if len(made.words) else np.full(len(word), -1)
+                part = (made.contexts % np.uint64(buckets)).astype(np.int64)
+                totals = np.zeros((SAMPLES, len(made.contexts) + 1, 2))
+                totals[:, -1] = parents[:, -1]
                 of_word = np.bincount(made.word, weights=made.count, minlength=len(made.words))
-                count = np.where(word >= 0, of_word[word], 0) if len(of_word) else np.zeros(len(word))
-                cls = rows["cls"].astype(np.int64)
-                found = np.empty(len(rows), dtype=SUMS)
-                found["key"], found["known"] = rows["key"], count > 0
-                found["base"] = np.log10((count + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
-                for a in range(0, len(word), CHUNK_ROWS):
-                    found["score"][a:a + CHUNK_ROWS] = np.log10(_predict(made, totals, vocabulary, word[a:a + CHUNK_ROWS], cls[a:a + CHUNK_ROWS]))
-                held = [_document_sums([*held, found])]
-        for sums in held:
-            dealt = pieces_of(sums, sums["key"], sums["key"] % parts, parts)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(dealt), pa.int64()), pa.nulls(len(dealt), pa.binary()), pa.array([p for p, _, _ in dealt], pa.int32()),
-                                              pa.array([x.tobytes() for _, x, _ in dealt], pa.binary())], names=["word", "logs", "part", "sums"])
+                common = _place(made.words, shared)
+                here = common >= 0
+                of_word[common[here]] = shared_counts[here]
+                for s, (_, m, mt) in enumerate(made.samples):
+                    m[common[here]], mt[common[here]] = parents[s, :-1][here].T
+            elif kind == TOTALS:
+                n, *t = (_unsmall(x) for x in blobs)
+                at = np.flatnonzero(part == chunk)
+                for s in range(SAMPLES):
+                    totals[s, at] = np.stack([n, t[s]], axis=1)
+            elif kind == PAIRS:
+                pairs, text = _pairs(*blobs[:4]), np.frombuffer(blobs[4], dtype="<u2")
+                word = _place(made.words, pairs["word"])
+                base = np.log10((np.where(word >= 0, of_word[word] if len(of_word) else 0, 0) + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
+                score = np.empty(len(pairs))
+                for a in range(0, len(pairs), CHUNK_ROWS):
+                    score[a:a + CHUNK_ROWS] = np.log10(_predict(made, totals, vocabulary, word[a:a + CHUNK_ROWS], pairs["cls"][a:a + CHUNK_ROWS]))
+                size, n = pairs["train"], int(text.max()) + 1
+                found = np.stack([np.bincount(text, weights=np.repeat(x, size), minlength=n) for x in ((word >= 0).astype(float), base, score)])
+                old = sums.get(chunk, np.zeros((3, 0)))
+                if old.shape[1] < n:
+                    old = np.pad(old, ((0, 0), (0, n - old.shape[1])))
+                old[:, :n] += found
+                sums[chunk] = old
+                if sum(x.shape[1] for x in sums.values()) > HELD_TEXTS:
+                    yield out()
+            else:
+                yield packed([(chunk, kind, blobs)])
+        yield out()
+        release_memory()
 
     return run
 
 
-def _add_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = [np.frombuffer(x, dtype=SUMS) for batch in batches for x in batch.column("sums").to_pylist()]
-    if held:
-        sums = _document_sums(held)
-        made = pa.RecordBatch.from_arrays([pa.array(sums[c]) for c in SUMS.names], names=["key", "r_known", "r_base", "r_score"])
-        for a in range(0, len(sums), 50_000):
+def _add_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of each chunk with the sums of all buckets."""
+    chunk, texts, sums = None, None, []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        valid, ids, train = (np.frombuffer(x, dtype=t) for x, t in zip(texts, ("?", "<i8", "?")))
+        total = np.zeros((3, len(ids)))
+        for known, *logs in sums:
+            for row, x in zip(total, (_unsmall(known), *(np.frombuffer(y, dtype="<f8") for y in logs))):
+                row[:len(x)] += x
+        made = pa.RecordBatch.from_arrays(
+            [pa.array(ids, mask=~valid), pa.array(train), pa.array(np.frombuffer(texts[3], dtype="<i8")), pa.array(total[0].astype(np.int64)),
+             pa.array(total[1]), pa.array(total[2])], names=["doc_id", "train", "n_tokens", "known", "base", "score"])
+        for a in range(0, len(ids), 50_000):
             yield made.slice(a, 50_000)
 
-
-def _frequent_scorer(shared, tokens: int, vocabulary: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, counts, logs = shared.value
-        base = np.log10((counts + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
-        for batch in batches:
-            for part in bounded_slices(batch, "text", SLICE_BYTES):
-                words, cls, text_of = text_tokens(part.column("text"))
-                n = part.num_rows
-                at = np.minimum(np.searchsorted(frequent, words), max(len(frequent) - 1, 0))
-                known = frequent[at] == words if len(frequent) else np.zeros(len(words), dtype=bool)
-                of = text_of[known]
-                sums = [np.bincount(of, weights=x, minlength=n) for x in (np.ones(len(of)), base[at[known]], logs[at[known], cls[known]])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("key"), part.column("train"), pa.array(np.bincount(text_of, minlength=n).astype(np.int64)),
-                     pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
-                    names=["doc_id", "key", "train", "n_tokens", "known", "base", "score"])
-
-    return run
+    for batch in batches:
+        for i in range(batch.num_rows):
+            c, kind, blobs = (batch.column(x)[i].as_py() for x in range(3))
+            if c != chunk and texts is not None:
+                yield from out()
+                texts, sums = None, []
+            chunk = c
+            if kind == TEXTS:
+                texts = blobs
+            else:
+                sums.append(blobs)
+    if texts is not None:
+        yield from out()
 
 
 def score_texts(docs: DataFrame, frequent_words: int = FREQUENT, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
@@ -505,43 +670,47 @@ def score_texts(docs: DataFrame, frequent_words: int = FREQUENT, bucket_tokens:
 
     A row whose crc32 of doc_id is divisible by ten is held out; the others are trained on, repeated rows
     as often as they come. A null or empty text is its end token. Without training rows everything is
-    unknown. An empty table gives no rows. Scores follow from the rows and the arguments alone.
+    unknown. An empty table gives no rows. Scores follow from the rows and the arguments alone. The counts of
+    ``frequent_words`` words bound the tables of their contexts while several buckets are seated.
     """
     spark = docs.sparkSession
     tasks = partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                       F.xxhash64("doc_id", "text").alias("key"), (~held_out(F.col("doc_id"), FOLDS)).alias("train"))
+                       (~held_out(F.col("doc_id"), FOLDS)).alias("train"))
     counted = rows.where("train").select("text").mapInArrow(_word_counts(4 * tasks), "bucket int, blob binary").repartition(tasks, "bucket")
     counts = stage(counted.mapInArrow(_add_counts, "word long, count long"), "word-counts")
     vocabulary, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
-    top = counts.orderBy(F.desc("count"), "word").limit(frequent_words).collect()  # a bounded list
-    top.sort(key=lambda r: r["word"] % 2**64)
-    frequent = np.array([r["word"] % 2**64 for r in top], dtype=np.uint64)
+
+    def listed(some: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        found = some.toArrow()
+        words = found.column("word").to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(words)
+        return words[order], found.column("count").to_numpy()[order]
+
     buckets = -(-tokens // bucket_tokens) or 1
-    parts = min(buckets, 4 * tasks)  # rows are dealt by part, so that there are not slices x buckets of them
-    dealt = rows.select("text", "key", "train").mapInArrow(_dealer(frequent, buckets, parts), "part int, rare binary, cells binary")
-    seats = stage(dealt.repartition(tasks, "part").mapInArrow(_seater(frequent, vocabulary, buckets, parts), SEATED), "seatings")
-    sums = seats.select("totals").mapInArrow(_add_totals, TOTALS).groupBy("sample", "cls").agg(
-        F.sum("customers").alias("n"), F.sum("tables").alias("t")).collect()  # one row per seating and class
-    totals = np.zeros((SAMPLES, CLASSES + 1, 2))
+    # Lists of bounded length: at most 8 shared words per bucket.
+    shared, shared_counts = listed(counts.where(F.col("count") > bucket_tokens // 8)) if buckets > 1 else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+    top, top_counts = listed(counts.orderBy(F.desc("count"), "word").limit(frequent_words))
+    contexts, at = np.unique(top & CONTEXT_BITS, return_inverse=True)
+    bounds = contexts, np.bincount(at, weights=top_counts, minlength=len(contexts)), int(top_counts.min()) if len(top_counts) else 0
+
+    def gathered(some: DataFrame) -> DataFrame:
+        return some.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind", "chunk")
+
+    pairs = gathered(rows.select("text", "train").mapInArrow(_counter(shared, buckets), ROW))
+    seats = stage(pairs.mapInArrow(_seater(shared, bounds, vocabulary, buckets), ROW), "seatings")
+    sums = seats.where(F.col("kind") == SHARED).mapInArrow(_add_parents(len(shared)), "sample int, k int, customers long, tables long").groupBy(
+        "sample", "k").agg(F.sum("customers").alias("n"), F.sum("tables").alias("t")).collect()  # a row per seating and shared word
+    parents = np.zeros((SAMPLES, len(shared) + 1, 2))
     for r in sums:
-        totals[r["sample"], r["cls"]] = r["n"], r["t"]
-    scored = stage(seats.drop("totals").mapInArrow(_scorer(frequent, totals, vocabulary, tokens, buckets, tasks), SCORED), "scored")
-    table = np.zeros((max(len(frequent), 1), CLASSES))
-    for r in scored.where("word is not null").select("word", "logs").collect():  # at most ``frequent_words`` rows
-        table[r["word"]] = np.frombuffer(r["logs"], "<f8")
-    shared = spark.sparkContext.broadcast((frequent, np.array([r["count"] for r in top], dtype=np.float64), table))
-    inner = rows.mapInArrow(_frequent_scorer(shared, tokens, vocabulary),
-                            "doc_id long, key long, train boolean, n_tokens long, known long, base double, score double")
-    rare = scored.where("part is not null").select("part", "sums").repartition(tasks, "part").mapInArrow(
-        _add_documents, "key long, r_known long, r_base double, r_score double")
-    times = rows.groupBy("key").agg(F.count("*").alias("times"))  # repeated rows share a key
-    both = inner.join(rare, "key", "left").join(times, "key")
-
-    def total(c: str):
-        return F.col(c) + F.coalesce(F.col(f"r_{c}") / F.col("times"), F.lit(0))
-
+        parents[r["sample"], r["k"]] = r["n"], r["t"]
+    totals = gathered(seats.where(F.col("kind") == REQUEST)).mapInArrow(_add_contexts, ROW)
+    dealt = rows.mapInArrow(_dealer(shared, buckets), ROW)
+    scored = gathered(seats.where(F.col("kind") == SEATINGS).unionAll(totals).unionAll(dealt)).mapInArrow(
+        _scorer(shared, shared_counts, parents, vocabulary, tokens, buckets), SUMS)
+    both = scored.repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(
+        _add_texts, "doc_id long, train boolean, n_tokens long, known long, base double, score double")
     return both.select(
-        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", total("known").cast("long").alias("n_known"),
-        F.lit(int(tokens)).cast("long").alias("train_tokens"), total("base").alias("base_score"), total("score").alias("score"),
-        F.pow(F.lit(10.0), -total("score") / F.col("n_tokens")).alias("perplexity"))
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", F.col("known").alias("n_known"),
+        F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
