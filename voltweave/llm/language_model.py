@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from voltweave.llm.common import bounded_slices, held_out, partitions, pieces_of, release_memory
 from voltweave.llm.text_arrays import LOWERED, flat_bytes, mix, run_hashes, word_bounds
-from voltweave.sources.staging import stage
+from voltweave.sources.staging import dropped_shuffles, stage
 
 FREQUENT = 65_536
 CONTEXT = (0.6, 8.0)  # discount and strength of the context restaurants
@@ -37,6 +37,7 @@ BUCKET_TOKENS = 1 << 20  # training tokens per bucket of words, on average
 SLICE_BYTES = 1 << 20
 CHUNK_TOKENS, CHUNK_TEXTS = 1 << 21, 1 << 16  # tokens and texts whose pairs are shuffled together, at most about
 CHUNK_ROWS = 100_000  # pairs that are scored at once
+KEY_ROWS = 1 << 18  # tokens whose sort keys are made at once
 END = np.uint64(0x5EED0FE2D0C5)
 CONTEXT_BITS = np.uint64(2**48 - 1)  # of a word's hash, name its context
 
@@ -316,13 +317,20 @@ def _unsix(blob: bytes) -> np.ndarray:
 
 
 def _small(values: np.ndarray) -> bytes:
-    """Counts, with the width that the largest needs before them."""
-    kind = np.min_scalar_type(int(values.max()) if len(values) else 0)
-    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+    """Counts, with the number of bytes that the largest needs before them."""
+    width = max(-(-(int(values.max()).bit_length() if len(values) else 0) // 8), 1)
+    if width in (1, 2, 4, 8):
+        return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    return bytes([width]) + np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
 def _unsmall(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype=f"<u{blob[0]}", offset=1).astype(np.int64)
+    width = blob[0]
+    if width in (1, 2, 4, 8):
+        return np.frombuffer(blob, dtype=f"<u{width}", offset=1).astype(np.int64)
+    wide = np.zeros(((len(blob) - 1) // width, 8), dtype=np.uint8)
+    wide[:, :width] = np.frombuffer(blob, dtype=np.uint8, offset=1).reshape(-1, width)
+    return wide.view("<i8").ravel()
 
 
 def _place(values: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -346,59 +354,77 @@ def _pairs(words: bytes, sizes: bytes, cls: bytes, count: bytes) -> np.ndarray:
     return made
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray, np.ndarray]]:
-    """(slices, words, contexts, number of the text) of some texts at a time."""
+def _chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list[pa.Array], np.ndarray, np.ndarray]]:
+    """(columns, words, number of the text) of some texts at a time; the texts themselves are not kept.
+
+    A word's context is the word before, as every text ends with the end token; that of the first word is the end token.
+    """
     held: list = []
     tokens = texts = 0
 
     def together():
-        first = np.cumsum([0, *(part.num_rows for part, _ in held)])
-        return ([part for part, _ in held], np.concatenate([t[0] for _, t in held]), np.concatenate([t[1] for _, t in held]),
-                np.concatenate([t[2] + f for (_, t), f in zip(held, first)]))
+        first = np.cumsum([0, *(len(c[0]) for c, _, _ in held)])
+        made = ([pa.concat_arrays([c[k] for c, _, _ in held]) for k in range(len(columns))], np.concatenate([w for _, w, _ in held]),
+                np.concatenate([t + f.astype(np.int32) for (_, _, t), f in zip(held, first)]))
+        held.clear()
+        return made
 
     for batch in batches:
         for part in bounded_slices(batch, "text", SLICE_BYTES):
             for a in range(0, part.num_rows, CHUNK_TEXTS):
                 some = part.slice(a, CHUNK_TEXTS)
-                made = text_tokens(some.column("text"))
-                if held and (tokens + len(made[0]) > CHUNK_TOKENS or texts + some.num_rows > CHUNK_TEXTS):
+                words, _, text_of = text_tokens(some.column("text"))
+                if held and (tokens + len(words) > CHUNK_TOKENS or texts + some.num_rows > CHUNK_TEXTS):
                     yield together()
-                    held.clear()
                     tokens = texts = 0
-                held.append((some, made))
-                tokens, texts = tokens + len(made[0]), texts + some.num_rows
+                held.append(([pa.concat_arrays([some.column(c).take(pa.array(np.arange(some.num_rows)))]) for c in columns], words, text_of.astype(np.int32)))
+                tokens, texts = tokens + len(words), texts + some.num_rows
     if held:
         yield together()
 
 
-def _dealt_pairs(words: np.ndarray, cls: np.ndarray, shared: np.ndarray, buckets: int):
-    """(order of the tokens, first token of each pair in it, bucket of each pair), by bucket, word and context.
+def _dealt_pairs(words: np.ndarray, shared: np.ndarray, buckets: int):
+    """(order of the tokens, first token of each pair in it, bucket, word and context of each pair), by bucket, word and context.
 
     Words and contexts are sorted by as many bits as fit; a pair that is cut by others of the same bits comes more than once.
     """
-    own = (words % np.uint64(buckets)).astype(np.int64)
-    both = np.flatnonzero(_place(shared, words) >= 0)
-    own[both] = (mix(words[both] ^ mix(cls[both])) % np.uint64(buckets)).astype(np.int64)
     free = 64 - max(buckets - 1, 1).bit_length()
     half = min(free // 2, 48)
-    key = own.astype(np.uint64) << np.uint64(free) | words >> np.uint64(64 - free + half) << np.uint64(half) | cls >> np.uint64(48 - half)
+    key = np.empty_like(words)
+    for a in range(0, len(words), KEY_ROWS):  # bounded temporaries
+        w = words[a:a + KEY_ROWS]
+        cls = np.concatenate([words[a - 1:a] if a else [END], w[:-1]]) & CONTEXT_BITS
+        own = w % np.uint64(buckets)
+        both = np.flatnonzero(_place(shared, w) >= 0)
+        own[both] = mix(w[both] ^ mix(cls[both])) % np.uint64(buckets)
+        key[a:a + KEY_ROWS] = own << np.uint64(free) | w >> np.uint64(64 - free + half) << np.uint64(half) | cls >> np.uint64(48 - half)
     order = np.argsort(key)
-    w, c, b = words[order], cls[order], own[order]
-    first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1]) | (b[1:] != b[:-1])]))
-    return order, first, b[first]
+    bucket = (key >> np.uint64(free))
+    del key
+    w = words[order]
+    changed = np.ones(len(order), dtype=bool)
+    changed[1:] = w[1:] != w[:-1]
+    del w
+    c = words[order - 1] & CONTEXT_BITS
+    c[order == 0] = END & CONTEXT_BITS
+    changed[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(changed)  # a pair is in one bucket
+    return order, first, bucket[order[first]].astype(np.int64), words[order[first]], c[first]
 
 
 def _counter(shared: np.ndarray, buckets: int):
     """Map side of the seating: pairs with their training tokens (0 where only held-out texts have them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts, words, cls, text_of in _chunks(batches):
-            train = np.concatenate([p.column("train").to_numpy(zero_copy_only=False) for p in parts])[text_of]
-            order, first, bucket = _dealt_pairs(words, cls, shared, buckets)
-            count = np.add.reduceat(train[order].astype(np.int64), first)
-            w, c = words[order[first]], cls[order[first]]
+        for (train,), words, text_of in _chunks(batches, "train"):
+            order, first, bucket, w, c = _dealt_pairs(words, shared, buckets)
+            trained = train.to_numpy(zero_copy_only=False)[text_of]
+            count = np.add.reduceat(trained[order], first, dtype=np.int64)
+            del words, text_of, order, first, trained
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             yield _rows([(b, PAIRS, 0, _packed_pairs(w[x:y], c[x:y], count[x:y])) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x])
+            del w, c, count, bucket
+        release_memory()
 
     return run
 
@@ -408,18 +434,20 @@ def _dealer(shared: np.ndarray, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, (parts, words, cls, text_of) in enumerate(_chunks(batches)):
+        for number, ((ids, train), words, text_of) in enumerate(_chunks(batches, "doc_id", "train")):
             chunk = task << 32 | number
-            order, first, bucket = _dealt_pairs(words, cls, shared, buckets)
-            w, c, text = words[order[first]], cls[order[first]], text_of[order].astype("<u2")
+            order, first, bucket, w, c = _dealt_pairs(words, shared, buckets)
+            text = text_of.astype("<u2")[order]
             sizes, ends = np.diff(np.append(first, len(order))), np.append(first, len(order))
+            del words, order, first
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
             yield _rows([(b, PAIRS, chunk, [*_packed_pairs(w[x:y], c[x:y], sizes[x:y]), text[ends[x]:ends[y]].tobytes()])
                          for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x])
-            ids, train = (pa.concat_arrays([p.column(x) for p in parts]) for x in ("doc_id", "train"))
             n = np.bincount(text_of, minlength=len(ids))
             yield _rows([(chunk % buckets, TEXTS, chunk, [ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), ids.fill_null(0).to_numpy().tobytes(),
                                                           train.to_numpy(zero_copy_only=False).tobytes(), n.astype("<i8").tobytes()])])
+            del w, c, text, text_of, sizes, ends, bucket
+        release_memory()
 
     return run
 
@@ -442,16 +470,28 @@ class Bucket:
         return made
 
     def stored(self) -> list[bytes]:
-        """Words, contexts, cells by word, their customers and tables, parents as bytes; ``restored`` reads them."""
-        return [self.words.tobytes(), _six(self.contexts), _small(np.bincount(self.word, minlength=len(self.words))), _small(self.cls), _small(self.count),
-                *(_small(x) for sample in self.samples for x in sample)]
+        """Words, contexts, cells by word, their customers and tables, parents as bytes; ``restored`` reads them.
+
+        Cells of one customer have one table: tables are stored for the others, and customers where they are several.
+        """
+        several = self.count > 1
+        return [self.words.tobytes(), _six(self.contexts), _small(np.bincount(self.word, minlength=len(self.words))), _small(self.cls),
+                np.packbits(several).tobytes(), _small(self.count[several]),
+                *(_small(x) for t, m, mt in self.samples for x in (t[several], m, mt))]
 
 
-def restored(words: bytes, contexts: bytes, sizes: bytes, cls: bytes, count: bytes, *samples: bytes) -> Bucket:
+def restored(words: bytes, contexts: bytes, sizes: bytes, cls: bytes, several: bytes, count: bytes, *samples: bytes) -> Bucket:
     own, known = np.frombuffer(words, dtype=np.uint64), _unsix(contexts)
     key = np.repeat(np.arange(len(own)), _unsmall(sizes)) * len(known) + _unsmall(cls)
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(several, dtype=np.uint8), count=len(key)))
+
+    def filled(values: np.ndarray) -> np.ndarray:
+        made = np.ones(len(key), dtype=np.int64)
+        made[at] = values
+        return made
+
     read = [_unsmall(x) for x in samples]
-    return Bucket(own, known, key, _unsmall(count), list(zip(read[::3], read[1::3], read[2::3])))
+    return Bucket(own, known, key, filled(_unsmall(count)), [(filled(t), m, mt) for t, m, mt in zip(read[::3], read[1::3], read[2::3])])
 
 
 def seated(
@@ -575,6 +615,7 @@ def _predict(made: Bucket, totals: np.ndarray, vocabulary: int, word: np.ndarray
 
 SUMS = "chunk long, kind int, blobs array<binary>"
 HELD_TEXTS = 1 << 20  # texts whose sums a task holds
+BATCH_BYTES = 4 << 20  # of an Arrow batch: without this bound, all blobs of a partition would be one
 
 
 def _scorer(shared: np.ndarray, shared_counts: np.ndarray, parents: np.ndarray, vocabulary: int, tokens: int, buckets: int):
@@ -672,13 +713,16 @@ def score_texts(docs: DataFrame, frequent_words: int = FREQUENT, bucket_tokens:
     as often as they come. A null or empty text is its end token. Without training rows everything is
     unknown. An empty table gives no rows. Scores follow from the rows and the arguments alone. The counts of
     ``frequent_words`` words bound the tables of their contexts while several buckets are seated.
+    Arrow batches of the session hold at most about ``BATCH_BYTES`` from then on.
     """
     spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     tasks = partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                        (~held_out(F.col("doc_id"), FOLDS)).alias("train"))
     counted = rows.where("train").select("text").mapInArrow(_word_counts(4 * tasks), "bucket int, blob binary").repartition(tasks, "bucket")
-    counts = stage(counted.mapInArrow(_add_counts, "word long, count long"), "word-counts")
+    with dropped_shuffles(spark):
+        counts = stage(counted.mapInArrow(_add_counts, "word long, count long"), "word-counts")
     vocabulary, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
 
     def listed(some: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -698,7 +742,8 @@ def score_texts(docs: DataFrame, frequent_words: int = FREQUENT, bucket_tokens:
         return some.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind", "chunk")
 
     pairs = gathered(rows.select("text", "train").mapInArrow(_counter(shared, buckets), ROW))
-    seats = stage(pairs.mapInArrow(_seater(shared, bounds, vocabulary, buckets), ROW), "seatings")
+    with dropped_shuffles(spark):
+        seats = stage(pairs.mapInArrow(_seater(shared, bounds, vocabulary, buckets), ROW), "seatings")
     sums = seats.where(F.col("kind") == SHARED).mapInArrow(_add_parents(len(shared)), "sample int, k int, customers long, tables long").groupBy(
         "sample", "k").agg(F.sum("customers").alias("n"), F.sum("tables").alias("t")).collect()  # a row per seating and shared word
     parents = np.zeros((SAMPLES, len(shared) + 1, 2))
