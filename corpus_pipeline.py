@@ -21,9 +21,11 @@ from voltweave.sources.staging import stage
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SEQUENCE_TOKENS = 1024
-# All stages share the executors: whole texts travel in smaller Arrow batches, and the encoder keeps fewer pieces.
+# All stages share the executors: whole texts travel in smaller Arrow batches, and the encoder keeps fewer pieces
+# and takes less text at once.
 BATCH_ROWS = 1000
 CACHE_PIECES = 60_000
+SLICE_BYTES = 1 << 20
 
 ORACLE_SQL = None  # tokenizers and votes are beyond SQL; tests compare every stage with a plain version
 
@@ -58,7 +60,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece; a null or empty text is a piece of the end id alone, repeated rows are packed one by one."""
     _small_batches(spark)
-    return packing.pack(docs, catalog.tokenizer(TOKENIZER), END_ID, SEQUENCE_TOKENS, CACHE_PIECES)
+    return packing.pack(docs, catalog.tokenizer(TOKENIZER), END_ID, SEQUENCE_TOKENS, CACHE_PIECES, SLICE_BYTES)
 
 
 STAGES = [

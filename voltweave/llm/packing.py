@@ -33,11 +33,11 @@ PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long"
 TAKEN = "id long, size long, piece_size long, first long, run long"
 
 
-def _cutter(path: str, end_id: int, limit: int, cache_pieces: int):
+def _cutter(path: str, end_id: int, limit: int, cache_pieces: int, slice_bytes: int = SLICE_BYTES):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path, cache_pieces)
         for batch in batches:
-            for part in bounded_slices(batch, "text", SLICE_BYTES):
+            for part in bounded_slices(batch, "text", slice_bytes):
                 ids, offsets = tool.encode(part.column("text"))
                 rows: list[tuple[int, int, int, int, int]] = []
                 end = np.array([end_id], dtype="<u4")
@@ -57,12 +57,14 @@ def _cutter(path: str, end_id: int, limit: int, cache_pieces: int):
     return cut
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int, cache_pieces: int = CACHE_PIECES) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, end_id: int, limit: int, cache_pieces: int = CACHE_PIECES, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Pieces of every document: its ids and ``end_id``, cut into ``limit`` ids, only the first piece shorter."""
     if "doc_id" not in docs.columns or "text" not in docs.columns:
         raise ValueError("documents need doc_id and text")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _cutter(tokenizer_path, end_id, limit, cache_pieces), PIECES
+        _cutter(tokenizer_path, end_id, limit, cache_pieces, slice_bytes), PIECES
     )
 
 
@@ -229,10 +231,13 @@ def best_fit(pieces: DataFrame, limit: int, ranges: int | None = None) -> DataFr
     return named.join(runs, ["length", "number"]).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int, limit: int = 1024, cache_pieces: int = CACHE_PIECES) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer_path: str, end_id: int, limit: int = 1024, cache_pieces: int = CACHE_PIECES, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """One row per piece of every document: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is a document of the end id alone. Other columns of ``docs`` are not read.
-    ``cache_pieces`` bounds what a worker keeps of the encoder's work: fewer take less memory and more time.
+    ``cache_pieces`` bounds what a worker keeps of the encoder's work, ``slice_bytes`` the text it encodes at once
+    (a longer one whole): less takes less memory and more time.
     """
-    return best_fit(token_pieces(docs, tokenizer_path, end_id, limit, cache_pieces), limit)
+    return best_fit(token_pieces(docs, tokenizer_path, end_id, limit, cache_pieces, slice_bytes), limit)
