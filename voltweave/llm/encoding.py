@@ -28,6 +28,10 @@ WORDS = re.compile(r"\s*\S+|\s+")
 
 CACHE_PIECES = 500_000
 
+# A space between the last character of one piece and the first of the next, both visible: such pieces stay apart when joined.
+APART = "(?s)\\A [^\\s\\pZ\\pC](.*[^\\s\\pZ\\pC])?\\z"
+JOINED, AT_ONCE = 200, 32  # pieces that the library gets as one text, such texts in a call
+
 # How byte-level files split a text, and the characters that stand for bytes in their vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -72,6 +76,12 @@ class CachedEncoder:
         self.tokenizer.no_padding()
         self.normalizer, self.cutter, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.pattern, self.lower = _pattern(self.tokenizer)
+        # Tokens of the byte-level kind stand for bytes one by one: lengths tell where a piece ends among the ids of joined ones.
+        self.token_bytes = None
+        if self.pattern is not None and not self.lower:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.token_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+            self.token_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.most = cache_pieces
         self.clock = 0
         self.words: dict[str, bytes] = {}  # by pre-token as in the text, and as the vocabulary shows it
@@ -106,6 +116,41 @@ class CachedEncoder:
             made.append(ids)
         return made[0] if len(made) == 1 else b"".join(made)
 
+    def _joined(self, pieces: list[str], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, ids per piece) of pieces that end at the bytes ``ends`` of their sequence; None where a token lies across two."""
+        texts = ["".join(pieces[a:a + JOINED]) for a in range(0, len(pieces), JOINED)]
+        made = [np.array(e.ids, dtype="<u4") for a in range(0, len(texts), AT_ONCE)
+                for e in self.tokenizer.encode_batch_fast(texts[a:a + AT_ONCE], add_special_tokens=False)]
+        ids = np.concatenate(made) if made else np.empty(0, "<u4")
+        if len(ids) and int(ids.max()) >= len(self.token_bytes):
+            return None
+        place = np.concatenate([[0], np.cumsum(self.token_bytes[ids])])
+        last = np.searchsorted(place, ends)
+        if not np.array_equal(place[np.minimum(last, len(ids))], ends) or (len(ends) and last[-1] != len(ids)):
+            return None
+        return ids, np.diff(last, prepend=0)
+
+    def _fresh(self, pieces: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """(places of the pieces in what follows, pieces, ids, ids per piece)."""
+        pieces = pieces.cast(pa.large_string())
+        order, joined = np.arange(len(pieces)), 0
+        ids, sizes = [], []
+        if self.token_bytes is not None:
+            apart = pc.match_substring_regex(pieces, APART).to_numpy(zero_copy_only=False)
+            order, joined = np.argsort(~apart, kind="stable"), int(apart.sum())
+            pieces = pieces.take(pa.array(order))
+            found = self._joined(pieces[:joined].to_pylist(), np.cumsum(pc.binary_length(pieces[:joined]).to_numpy()))
+            if found is None:
+                joined = 0
+            else:
+                ids, sizes = [found[0]], [found[1]]
+        made = [self._piece(p) for p in pieces[joined:].to_pylist()]
+        ids.append(np.frombuffer(b"".join(made), dtype="<u4"))
+        sizes.append(np.fromiter(map(len, made), dtype=np.int64, count=len(made)) >> 2)
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        return place, pieces, np.concatenate(ids), np.concatenate(sizes)
+
     def pieces(self, pieces: pa.Array) -> np.ndarray:
         """Numbers of distinct pieces in the cache, after adding those that were missing."""
         self.clock += 1
@@ -115,13 +160,11 @@ class CachedEncoder:
         at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         self.used[at[at >= 0]] = self.clock
         if len(fresh):
-            made = [self._piece(p) for p in fresh.to_pylist()]
-            at[missing.to_numpy(zero_copy_only=False)] = np.arange(len(fresh)) + len(self.known)
+            place, fresh, ids, sizes = self._fresh(fresh)
+            at[missing.to_numpy(zero_copy_only=False)] = place + len(self.known)
             self._keep(
-                pa.concat_arrays([self.known, fresh.cast(pa.large_string())]),
-                np.concatenate([self.pool, np.frombuffer(b"".join(made), dtype="<u4")]),
-                np.concatenate([self.sizes, np.fromiter(map(len, made), dtype=np.int64, count=len(made)) >> 2]),
-                np.concatenate([self.used, np.full(len(made), self.clock)]),
+                pa.concat_arrays([self.known, fresh]), np.concatenate([self.pool, ids]), np.concatenate([self.sizes, sizes]),
+                np.concatenate([self.used, np.full(len(fresh), self.clock)]),
             )
         return at
 
