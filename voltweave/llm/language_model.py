@@ -11,6 +11,7 @@ A bucket is seated once and its seatings are stored; predictive probabilities ar
 
 Pairs are shuffled twice: counted, to be seated, and with the places of their texts, to be scored. In between the
 totals of contexts are added by context and sent back to the buckets that have them.
+Frequent contexts are shuffled and stored as two bytes.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltweave.llm.common import bounded_slices, held_out, partitions, pieces_of, release_memory
+from voltweave.llm.common import bounded_slices, expand, held_out, partitions, pieces_of, release_memory
 from voltweave.llm.text_arrays import LOWERED, flat_bytes, mix, run_hashes, word_bounds
 from voltweave.sources.staging import dropped_shuffles, stage
 
@@ -31,6 +32,7 @@ FREQUENT = 65_536
 CONTEXT = (0.6, 8.0)  # discount and strength of the context restaurants
 PARENT = (0.7, 64.0)  # of their parent
 BURN_IN, SAMPLES, STEPS = 2, 3, 4  # sweeps before the first seating kept, seatings kept, groups that leave and are re-seated in a sweep
+PART = 8  # cells that are at most 1/8 of all are seated by themselves
 BLOCK = 16  # of a cell with n customers, max(1, n / BLOCK) are seated at once
 FOLDS = 10
 BUCKET_TOKENS = 1 << 20  # training tokens per bucket of words, on average
@@ -69,22 +71,27 @@ def _spread(start: np.ndarray, tables: np.ndarray, amount: np.ndarray, size: np.
     A table weighs its size less ``discount``. Only tables of ranges with a choice are looked at.
     """
     choice = tables > 1
-    at, got = [start[~choice]], [amount[~choice]]
+    alone, choice = np.flatnonzero(~choice), np.flatnonzero(choice)
+    at, got = [start[alone]], [amount[alone]]
     start, tables, amount = start[choice], tables[choice], amount[choice]
     last = np.cumsum(tables)
     first = last - tables
     place = np.arange(last[-1] if len(last) else 0) + np.repeat(start - first, tables)
-    total = np.concatenate([[0], np.cumsum(size[place] - discount)])
+    weight = size[place] - discount
+    total = np.zeros(len(place) + 1, dtype=weight.dtype)
+    np.cumsum(weight, out=total[1:])
     while len(amount):
-        single = last - first == 1
-        at.append(place[first[single]])
-        got.append(amount[single])
-        first, last, amount = first[~single], last[~single], amount[~single]
         middle = (first + last) // 2
-        left = draw(amount, total[middle] - total[first], total[last] - total[middle])
-        first, last, amount = np.concatenate([first, middle]), np.concatenate([middle, last]), np.concatenate([left, amount - left])
-        some = amount > 0
-        first, last, amount = first[some], last[some], amount[some]
+        if (middle == first).any():
+            single, more = np.flatnonzero(middle == first), np.flatnonzero(middle > first)
+            at.append(place[first[single]])
+            got.append(amount[single])
+            first, last, middle, amount = first[more], last[more], middle[more], amount[more]
+        cut = total[middle]
+        left = draw(amount, cut - total[first], total[last] - cut)
+        amount = np.concatenate([left, amount - left])
+        some = np.flatnonzero(amount)
+        first, last, amount = np.concatenate([first, middle])[some], np.concatenate([middle, last])[some], amount[some]
     return np.concatenate(at), np.concatenate(got)
 
 
@@ -110,6 +117,29 @@ class Seating:
         self.t -= closed
         return closed
 
+    def part(self, cells: np.ndarray) -> Seating:
+        """A seating of some cells, ascending; ``put`` takes it back."""
+        made = Seating(self.n[cells])
+        made.t = self.t[cells]
+        at = expand(self._first()[cells], made.t)
+        made.size, made.old = self.size[at], self.old[at]
+        return made
+
+    def put(self, cells: np.ndarray, part: Seating) -> None:
+        """Take back what ``part`` has made of its cells."""
+        first, n = self._first(), self.t.copy()
+        inside = np.ones(len(self.size), dtype=bool)
+        inside[expand(first[cells], n[cells])] = False
+        self.n[cells], self.t[cells] = part.n, part.t
+        theirs = expand(self._first()[cells], part.t)
+        total = int(self.t.sum())
+        ours = np.ones(total, dtype=bool)
+        ours[theirs] = False
+        size, old = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int64)
+        size[theirs], old[theirs] = part.size, part.old
+        size[ours], old[ours] = self.size[inside], self.old[inside]
+        self.size, self.old = size, old
+
     def thin(self, part: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
         """Each customer who has not moved leaves with probability ``part``: (who left, tables closed) per cell."""
         gone = ((rng.random(len(self.old)) < part) & (self.old > 0)).astype(np.int64)
@@ -140,14 +170,16 @@ class Seating:
         chance = np.where(n > 0, weight / (n + (by - 1) / 2 - discount * t + weight), 1.0)
         opened = (rng.random(len(cells)) < chance).astype(np.int64)
         several = np.flatnonzero(by > 1)
-        opened[several] = rng.binomial(by[several], chance[several])
+        if len(several):
+            opened[several] = rng.binomial(by[several], chance[several])
         joins = by - opened
         some = joins > 0
 
         def draw(amount: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             go = (rng.random(len(amount)) * (left + right) < left).astype(np.int64)
             more = np.flatnonzero(amount > 1)  # each joiner makes its table heavier for the next
-            go[more] = rng.binomial(amount[more], rng.beta(left[more], right[more]))
+            if len(more):
+                go[more] = rng.binomial(amount[more], rng.beta(left[more], right[more]))
             return go
 
         first = self._first()[cells]
@@ -155,7 +187,13 @@ class Seating:
         self.size[at] += got
         if opened.any():
             place = np.repeat(first + t, opened)
-            self.size, self.old = np.insert(self.size, place, 1), np.insert(self.old, place, 0)
+            place += np.arange(len(place))
+            stay = np.ones(len(self.size) + len(place), dtype=bool)
+            stay[place] = False
+            size, old = np.empty(len(stay), dtype=np.int64), np.empty(len(stay), dtype=np.int64)
+            size[place], old[place] = 1, 0
+            size[stay], old[stay] = self.size, self.old
+            self.size, self.old = size, old
             self.t[cells] += opened
         self.n[cells] += by
         return opened
@@ -191,16 +229,25 @@ def seatings(
     def base_weight() -> float:
         return (theta0 + d0 * (parent.t * scale).sum()) / (vocabulary + 1)
 
-    def join(at: Seating, cells: np.ndarray, by: np.ndarray, add) -> None:
-        """Blocks of ``by`` customers, as large as those already seated allow."""
+    def join(at: Seating, cells: np.ndarray, by: np.ndarray, add, names: np.ndarray | None = None) -> None:
+        """Blocks of ``by`` customers, as large as those already seated allow; ``names`` are the cells of ``at`` in all.
+
+        When few cells are left and many blocks to come, these go on by themselves: rounds cost what they seat.
+        """
         while len(cells):
+            if at is not parent and PART * len(cells) < len(at.n) and by.max() > 8 * (1 + at.n[cells].max() // BLOCK):
+                part = at.part(cells)
+                join(part, np.arange(len(cells)), by, add, cells if names is None else names[cells])
+                at.put(cells, part)
+                return
             block = np.minimum(by, np.maximum(1, at.n[cells] // BLOCK))
-            add(cells, block)
+            add(at, cells, cells if names is None else names[cells], block)
             by = by - block
-            cells, by = cells[by > 0], by[by > 0]
+            more = np.flatnonzero(by)
+            cells, by = cells[more], by[more]
 
-    def at_parent(words: np.ndarray, by: np.ndarray) -> None:
-        parent.add(words, by, base_weight() / times[words], d0, rng)
+    def at_parent(at: Seating, words: np.ndarray, _, by: np.ndarray) -> None:
+        at.add(words, by, base_weight() / times[words], d0, rng)
 
     def change_parent(by: np.ndarray) -> None:
         """``by`` customers of each word come to the parent (or, below 0, leave it)."""
@@ -214,12 +261,12 @@ def seatings(
         np.add.at(tables, room_cls[cells], change * scale[room_word[cells]])
         change_parent(np.bincount(room_word[cells], weights=change, minlength=n_words).astype(np.int64))
 
-    def in_room(cells: np.ndarray, by: np.ndarray) -> None:
-        w, c = room_word[cells], room_cls[cells]
+    def in_room(at: Seating, cells: np.ndarray, names: np.ndarray, by: np.ndarray) -> None:
+        w, c = room_word[names], room_cls[names]
         p = (times[w] * (parent.n[w] - d0 * parent.t[w]) + base_weight()) / (theta0 + (parent.n * scale).sum())
-        opened = rooms.add(cells, by, (theta + d * np.minimum(tables[c], bound[c])) * p, d, rng)
+        opened = at.add(cells, by, (theta + d * np.minimum(tables[c], bound[c])) * p, d, rng)
         some = np.flatnonzero(opened)
-        settle(cells[some], opened[some])
+        settle(names[some], opened[some])
 
     change_parent(alone)
     settle(np.arange(len(several)), rooms.t)
@@ -316,9 +363,47 @@ def _unsix(blob: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+class Contexts:
+    """Contexts as bytes: two for one of the frequent ``listed`` (ascending, the first 65,536 of them), six for any other."""
+
+    def __init__(self, listed: np.ndarray):
+        self.listed = listed[:1 << 16]
+        self.slot = np.zeros(1 << 20, dtype=np.uint16)  # by the last bits; of several listed contexts there, the others take six bytes
+        self.slot[self.listed & np.uint64((1 << 20) - 1)] = np.arange(len(self.listed))
+
+    def pack(self, values: np.ndarray) -> bytes:
+        if not len(self.listed):
+            return b"\0" + _six(values)
+        place = self.slot[values & np.uint64((1 << 20) - 1)]
+        known = self.listed[place] == values
+        return b"\1" + len(values).to_bytes(8, "little") + np.packbits(known).tobytes() + place[known].astype("<u2").tobytes() + _six(values[~known])
+
+    def unpack(self, blob: bytes) -> np.ndarray:
+        if not blob[0]:
+            return _unsix(blob[1:])
+        n = int.from_bytes(blob[1:9], "little")
+        first = 9 + -(-n // 8)
+        known = np.unpackbits(np.frombuffer(blob, dtype=np.uint8, count=first - 9, offset=9), count=n).view(bool)
+        listed = int(known.sum())
+        made = np.empty(n, dtype=np.uint64)
+        made[known] = self.listed[np.frombuffer(blob, dtype="<u2", count=listed, offset=first)]
+        made[~known] = _unsix(blob[first + 2 * listed:])
+        return made
+
+
+ANY = Contexts(np.empty(0, dtype=np.uint64))  # six bytes each
+
+
 def _small(values: np.ndarray) -> bytes:
-    """Counts, with the number of bytes that the largest needs before them."""
+    """Counts, with the number of bytes that the largest needs before them.
+
+    Where most are small: 0, their number, a byte each and those from 255 on after them.
+    """
     width = max(-(-(int(values.max()).bit_length() if len(values) else 0) // 8), 1)
+    if width > 1:
+        large = values >= 255
+        if 10 + len(values) + width * int(large.sum()) < 1 + width * len(values):
+            return b"\0" + len(values).to_bytes(8, "little") + np.minimum(values, 255).astype(np.uint8).tobytes() + _small(values[large])
     if width in (1, 2, 4, 8):
         return bytes([width]) + values.astype(f"<u{width}").tobytes()
     return bytes([width]) + np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
@@ -326,6 +411,11 @@ def _small(values: np.ndarray) -> bytes:
 
 def _unsmall(blob: bytes) -> np.ndarray:
     width = blob[0]
+    if not width:
+        n = int.from_bytes(blob[1:9], "little")
+        made = np.frombuffer(blob, dtype=np.uint8, count=n, offset=9).astype(np.int64)
+        made[made == 255] = _unsmall(blob[9 + n:])
+        return made
     if width in (1, 2, 4, 8):
         return np.frombuffer(blob, dtype=f"<u{width}", offset=1).astype(np.int64)
     wide = np.zeros(((len(blob) - 1) // width, 8), dtype=np.uint8)
@@ -341,14 +431,14 @@ def _place(values: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.where(values[at] == of, at, -1)
 
 
-def _packed_pairs(word: np.ndarray, cls: np.ndarray, count: np.ndarray) -> list[bytes]:
+def _packed_pairs(word: np.ndarray, cls: np.ndarray, count: np.ndarray, contexts: Contexts) -> list[bytes]:
     """Pairs that stand by word: each word once."""
     first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-    return [word[first].tobytes(), _small(np.diff(np.append(first, len(word)))), _six(cls), _small(count)]
+    return [word[first].tobytes(), _small(np.diff(np.append(first, len(word)))), contexts.pack(cls), _small(count)]
 
 
-def _pairs(words: bytes, sizes: bytes, cls: bytes, count: bytes) -> np.ndarray:
-    c = _unsix(cls)
+def _pairs(words: bytes, sizes: bytes, cls: bytes, count: bytes, contexts: Contexts = ANY) -> np.ndarray:
+    c = contexts.unpack(cls)
     made = np.empty(len(c), dtype=OCCURRENCE)
     made["word"], made["cls"], made["train"] = np.repeat(np.frombuffer(words, dtype="<u8"), _unsmall(sizes)), c, _unsmall(count)
     return made
@@ -412,28 +502,32 @@ def _dealt_pairs(words: np.ndarray, shared: np.ndarray, buckets: int):
     return order, first, bucket[order[first]].astype(np.int64), words[order[first]], c[first]
 
 
-def _counter(shared: np.ndarray, buckets: int):
+NONE = np.empty(0, dtype=np.uint64)
+
+
+def _counter(shared: np.ndarray, buckets: int, listed: np.ndarray = NONE):
     """Map side of the seating: pairs with their training tokens (0 where only held-out texts have them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts = Contexts(listed)
         for (train,), words, text_of in _chunks(batches, "train"):
             order, first, bucket, w, c = _dealt_pairs(words, shared, buckets)
             trained = train.to_numpy(zero_copy_only=False)[text_of]
             count = np.add.reduceat(trained[order], first, dtype=np.int64)
             del words, text_of, order, first, trained
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            yield _rows([(b, PAIRS, 0, _packed_pairs(w[x:y], c[x:y], count[x:y])) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x])
+            yield _rows([(b, PAIRS, 0, _packed_pairs(w[x:y], c[x:y], count[x:y], contexts)) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x])
             del w, c, count, bucket
         release_memory()
 
     return run
 
 
-def _dealer(shared: np.ndarray, buckets: int):
+def _dealer(shared: np.ndarray, buckets: int, listed: np.ndarray):
     """Map side of the scoring: pairs with their texts, and the texts themselves by number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
+        task, contexts = TaskContext.get().partitionId(), Contexts(listed)
         for number, ((ids, train), words, text_of) in enumerate(_chunks(batches, "doc_id", "train")):
             chunk = task << 32 | number
             order, first, bucket, w, c = _dealt_pairs(words, shared, buckets)
@@ -441,7 +535,7 @@ def _dealer(shared: np.ndarray, buckets: int):
             sizes, ends = np.diff(np.append(first, len(order))), np.append(first, len(order))
             del words, order, first
             cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            yield _rows([(b, PAIRS, chunk, [*_packed_pairs(w[x:y], c[x:y], sizes[x:y]), text[ends[x]:ends[y]].tobytes()])
+            yield _rows([(b, PAIRS, chunk, [*_packed_pairs(w[x:y], c[x:y], sizes[x:y], contexts), text[ends[x]:ends[y]].tobytes()])
                          for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x])
             n = np.bincount(text_of, minlength=len(ids))
             yield _rows([(chunk % buckets, TEXTS, chunk, [ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), ids.fill_null(0).to_numpy().tobytes(),
@@ -469,19 +563,21 @@ class Bucket:
             made[s, n] = m.sum(), mt.sum()
         return made
 
-    def stored(self) -> list[bytes]:
+    def stored(self, contexts: Contexts = ANY) -> list[bytes]:
         """Words, contexts, cells by word, their customers and tables, parents as bytes; ``restored`` reads them.
 
         Cells of one customer have one table: tables are stored for the others, and customers where they are several.
         """
         several = self.count > 1
-        return [self.words.tobytes(), _six(self.contexts), _small(np.bincount(self.word, minlength=len(self.words))), _small(self.cls),
+        return [self.words.tobytes(), contexts.pack(self.contexts), _small(np.bincount(self.word, minlength=len(self.words))), _small(self.cls),
                 np.packbits(several).tobytes(), _small(self.count[several]),
                 *(_small(x) for t, m, mt in self.samples for x in (t[several], m, mt))]
 
 
-def restored(words: bytes, contexts: bytes, sizes: bytes, cls: bytes, several: bytes, count: bytes, *samples: bytes) -> Bucket:
-    own, known = np.frombuffer(words, dtype=np.uint64), _unsix(contexts)
+def restored(
+    words: bytes, contexts: bytes, sizes: bytes, cls: bytes, several: bytes, count: bytes, *samples: bytes, coded: Contexts = ANY,
+) -> Bucket:
+    own, known = np.frombuffer(words, dtype=np.uint64), coded.unpack(contexts)
     key = np.repeat(np.arange(len(own)), _unsmall(sizes)) * len(known) + _unsmall(cls)
     at = np.flatnonzero(np.unpackbits(np.frombuffer(several, dtype=np.uint8), count=len(key)))
 
@@ -532,7 +628,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
 
 
 def _seater(shared: np.ndarray, counted: tuple[np.ndarray, np.ndarray, int], vocabulary: int, buckets: int):
-    """Reduce side: each bucket is seated once; its seatings are one row, totals of its contexts one for each part of them."""
+    """Reduce side: each bucket is seated once; its seatings are one row."""
     words, counts, others = counted
 
     def most(contexts: np.ndarray) -> np.ndarray:
@@ -540,42 +636,59 @@ def _seater(shared: np.ndarray, counted: tuple[np.ndarray, np.ndarray, int], voc
         return np.where(at >= 0, counts[at] if len(counts) else 0, others).astype(float)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts = Contexts(words)
         for b, held in _by_bucket(batches):
-            pairs = np.concatenate([_pairs(*blobs) for _, blobs in held])
+            pairs = np.concatenate([_pairs(*blobs, contexts) for _, blobs in held])
             held.clear()
             k = _place(shared, pairs["word"])
             common = pairs[k >= 0]
             cells = np.empty(len(common), dtype=CELL)
             cells["k"], cells["cls"], cells["count"] = k[k >= 0], common["cls"], common["train"]
             made = seated(pairs[k < 0], cells, shared, vocabulary, b, buckets, most)
-            yield _rows([(b, SEATINGS, 0, made.stored())])
-            totals = made.totals()
-            part = (made.contexts % np.uint64(buckets)).astype(np.int64)
-            rows = [(p, REQUEST, b, [_six(c), *(_small(x) for x in (totals[0, at, 0], *totals[:, at, 1]))])
-                    for p, c, at in pieces_of(made.contexts, np.arange(len(part)), part, buckets)]
+            yield _rows([(b, SEATINGS, 0, made.stored(contexts))])
             if made.samples:
                 parents = np.zeros((SAMPLES, len(shared) + 1, 2), dtype=np.int64)
                 own = _place(made.words, shared)
                 for s, (_, m, mt) in enumerate(made.samples):
                     parents[s, :-1] = np.where(own[:, None] >= 0, np.stack([m, mt], axis=1)[own], 0)
                     parents[s, -1] = m.sum(), mt.sum()
-                rows.append((b, SHARED, 0, [parents.tobytes()]))
-            yield _rows(rows)
-            del pairs, common, cells, made, totals, rows
+                yield _rows([(b, SHARED, 0, [parents.tobytes()])])
+            del pairs, common, cells, made
             release_memory()
 
     return run
 
 
-def _add_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _asker(listed: np.ndarray, buckets: int):
+    """Totals of the contexts of stored buckets, a row for each part of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts = Contexts(listed)
+        for b, _, _, blobs in _read(batches):
+            made = restored(*blobs, coded=contexts)
+            totals = made.totals()
+            part = (made.contexts % np.uint64(buckets)).astype(np.int64)
+            yield _rows([(p, REQUEST, b, [contexts.pack(c), *(_small(x) for x in (totals[0, at, 0], *totals[:, at, 1]))])
+                         for p, c, at in pieces_of(made.contexts, np.arange(len(part)), part, buckets)])
+        release_memory()
+
+    return run
+
+
+def _add_contexts(listed: np.ndarray):
     """Totals of the contexts of a part, for each bucket that asked and in its order."""
-    for part, held in _by_bucket(batches):
-        asked = [(b, _unsix(blobs[0]), np.stack([_unsmall(x) for x in blobs[1:]])) for b, blobs in held]
-        contexts, at = np.unique(np.concatenate([c for _, c, _ in asked]), return_inverse=True)
-        values = np.concatenate([v for _, _, v in asked], axis=1)
-        total = np.stack([np.bincount(at, weights=v, minlength=len(contexts)) for v in values]).astype(np.int64)
-        for b, c, _ in asked:
-            yield _rows([(b, TOTALS, part, [_small(x) for x in total[:, np.searchsorted(contexts, c)]])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coded = Contexts(listed)
+        for part, held in _by_bucket(batches):
+            asked = [(b, coded.unpack(blobs[0]), np.stack([_unsmall(x) for x in blobs[1:]])) for b, blobs in held]
+            contexts, at = np.unique(np.concatenate([c for _, c, _ in asked]), return_inverse=True)
+            values = np.concatenate([v for _, _, v in asked], axis=1)
+            total = np.stack([np.bincount(at, weights=v, minlength=len(contexts)) for v in values]).astype(np.int64)
+            ends = np.cumsum([len(c) for _, c, _ in asked])
+            yield _rows([(b, TOTALS, part, [_small(x) for x in total[:, at[end - len(c):end]]]) for (b, c, _), end in zip(asked, ends)])
+
+    return run
 
 
 def _add_parents(n_shared: int):
@@ -618,7 +731,7 @@ HELD_TEXTS = 1 << 20  # texts whose sums a task holds
 BATCH_BYTES = 4 << 20  # of an Arrow batch: without this bound, all blobs of a partition would be one
 
 
-def _scorer(shared: np.ndarray, shared_counts: np.ndarray, parents: np.ndarray, vocabulary: int, tokens: int, buckets: int):
+def _scorer(shared: np.ndarray, shared_counts: np.ndarray, parents: np.ndarray, vocabulary: int, tokens: int, buckets: int, listed: np.ndarray):
     """Sums over the pairs of a bucket by text; a bucket reads its seatings, then totals, then pairs chunk by chunk."""
 
     def packed(rows: list[tuple[int, int, list[bytes]]]) -> pa.RecordBatch:
@@ -628,6 +741,7 @@ def _scorer(shared: np.ndarray, shared_counts: np.ndarray, parents: np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        contexts = Contexts(listed)
 
         def out() -> pa.RecordBatch:
             rows = [(c, PAIRS, [_small(x[0]), x[1].tobytes(), x[2].tobytes()]) for c, x in sums.items()]
@@ -636,7 +750,7 @@ def _scorer(shared: np.ndarray, shared_counts: np.ndarray, parents: np.ndarray,
 
         for b, kind, chunk, blobs in _read(batches):
             if kind == SEATINGS:
-                made = restored(*blobs)
+                made = restored(*blobs, coded=contexts)
                 part = (made.contexts % np.uint64(buckets)).astype(np.int64)
                 totals = np.zeros((SAMPLES, len(made.contexts) + 1, 2))
                 totals[:, -1] = parents[:, -1]
@@ -652,7 +766,7 @@ def _scorer(shared: np.ndarray, shared_counts: np.ndarray, parents: np.ndarray,
                 for s in range(SAMPLES):
                     totals[s, at] = np.stack([n, t[s]], axis=1)
             elif kind == PAIRS:
-                pairs, text = _pairs(*blobs[:4]), np.frombuffer(blobs[4], dtype="<u2")
+                pairs, text = _pairs(*blobs[:4], contexts), np.frombuffer(blobs[4], dtype="<u2")
                 word = _place(made.words, pairs["word"])
                 base = np.log10((np.where(word >= 0, of_word[word] if len(of_word) else 0, 0) + 0.1) / (tokens + 0.1 * (vocabulary + 1)))
                 score = np.empty(len(pairs))
@@ -741,7 +855,8 @@ def score_texts(docs: DataFrame, frequent_words: int = FREQUENT, bucket_tokens:
     def gathered(some: DataFrame) -> DataFrame:
         return some.repartition(tasks, "bucket").sortWithinPartitions("bucket", "kind", "chunk")
 
-    pairs = gathered(rows.select("text", "train").mapInArrow(_counter(shared, buckets), ROW))
+    listed = bounds[0]
+    pairs = gathered(rows.select("text", "train").mapInArrow(_counter(shared, buckets, listed), ROW))
     with dropped_shuffles(spark):
         seats = stage(pairs.mapInArrow(_seater(shared, bounds, vocabulary, buckets), ROW), "seatings")
     sums = seats.where(F.col("kind") == SHARED).mapInArrow(_add_parents(len(shared)), "sample int, k int, customers long, tables long").groupBy(
@@ -749,10 +864,12 @@ def score_texts(docs: DataFrame, frequent_words: int = FREQUENT, bucket_tokens:
     parents = np.zeros((SAMPLES, len(shared) + 1, 2))
     for r in sums:
         parents[r["sample"], r["k"]] = r["n"], r["t"]
-    totals = gathered(seats.where(F.col("kind") == REQUEST)).mapInArrow(_add_contexts, ROW)
-    dealt = rows.mapInArrow(_dealer(shared, buckets), ROW)
-    scored = gathered(seats.where(F.col("kind") == SEATINGS).unionAll(totals).unionAll(dealt)).mapInArrow(
-        _scorer(shared, shared_counts, parents, vocabulary, tokens, buckets), SUMS)
+    seats = seats.where(F.col("kind") == SEATINGS)
+    with dropped_shuffles(spark):
+        totals = stage(gathered(seats.mapInArrow(_asker(listed, buckets), ROW)).mapInArrow(_add_contexts(listed), ROW), "totals")
+    dealt = rows.mapInArrow(_dealer(shared, buckets, listed), ROW)
+    scored = gathered(seats.unionAll(totals).unionAll(dealt)).mapInArrow(
+        _scorer(shared, shared_counts, parents, vocabulary, tokens, buckets, listed), SUMS)
     both = scored.repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(
         _add_texts, "doc_id long, train boolean, n_tokens long, known long, base double, score double")
     return both.select(
